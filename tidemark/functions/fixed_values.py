@@ -28,7 +28,7 @@ BOT_MAX_FOLLOWER_RATIO = 0.1
 
 # Word frequency: which texts, which words are left out.
 WORD_TEXT_PATTERN = "hurricane|emergency|help"
-WORD_NOT_LETTER = "[^a-zA-Zàèéìòù]"
+WORD_LETTERS = "a-zA-Zàèéìòù"
 STOP_WORDS = (
     "a", "an", "the", "is", "in", "on", "for", "with", "of", "to", "and", "rt", "i", "you", "he",
     "she", "our", "are", "this", "by", "at", "as", "we", "who", "it", "all", "have", "so", "about",

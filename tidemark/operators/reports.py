@@ -84,18 +84,21 @@ def word_frequency(
     *,
     text_pattern: str = fixed.WORD_TEXT_PATTERN,
     stop_words: Sequence[str] = fixed.STOP_WORDS,
-    not_letter: str = fixed.WORD_NOT_LETTER,
+    letters: str = fixed.WORD_LETTERS,
     text_fields: Sequence[str] = TEXT_FIELDS,
 ) -> DataFrame:
-    """Words of the reshared texts that match ``text_pattern``, most frequent first."""
+    """Words of the reshared texts that match ``text_pattern``, most frequent first.
+
+    All but ``letters`` and white space is removed once per text, and unwanted words leave the array
+    before it is exploded; measured several times faster than a filter on the exploded words.
+    """
     text = text_of(ORIGINAL, text_fields)
+    cleaned = F.regexp_replace(F.lower(text), rf"[^{letters}\s]", "")
+    words = F.filter(F.split(cleaned, r"\s+"), lambda word: ~word.isin("", *stop_words))
     return (
         posts.filter(F.col(ORIGINAL).isNotNull())
         .filter(text.rlike(any_case(text_pattern)))
-        .select(F.explode(F.split(F.lower(text), r"\s+")).alias("parola"))
-        .select(F.regexp_replace("parola", not_letter, "").alias("parola_pulita"))
-        .filter(F.col("parola_pulita") != "")
-        .filter(~F.col("parola_pulita").isin(*stop_words))
+        .select(F.explode(words).alias("parola_pulita"))
         .groupBy("parola_pulita")
         .agg(F.count(F.lit(1)).alias("frequenza"))
         .orderBy(F.desc("frequenza"))

@@ -323,13 +323,13 @@ def t3(spark, sf_dir):
     "t3b_hashtags",
     """
     SELECT hashtag, count(*) AS n_posts FROM (
-      SELECT DISTINCT page_id, unnest(regexp_extract_all(lower(html), '#([\\p{L}\\p{N}_]+)', 1)) AS hashtag
+      SELECT DISTINCT page_id, unnest(regexp_extract_all(lower(url || ' ' || html), '#([\\p{L}\\p{N}_]+)', 1)) AS hashtag
       FROM pages)
     GROUP BY hashtag
     """,
 )
 def t3b(spark, sf_dir):
-    return filters.hashtag_counts(table(spark, sf_dir, "pages"), text=F.col("html"))
+    return filters.hashtag_counts(table(spark, sf_dir, "pages"), text=F.concat_ws(" ", "url", "html"))
 
 
 @checked(
