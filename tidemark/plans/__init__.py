@@ -4,7 +4,7 @@ import importlib
 
 from tidemark.plans.registry import ORACLES, QUERIES
 
-_MODULES = ("checked_reports",)
+_MODULES = ("checked_reports", "checked_sources", "checked_profiles", "checked_charts")
 
 
 def _load():
