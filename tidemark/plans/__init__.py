@@ -4,7 +4,7 @@ import importlib
 
 from tidemark.plans.registry import ORACLES, QUERIES
 
-_MODULES = ("checked_reports", "checked_sources", "checked_profiles", "checked_charts")
+_MODULES = ("checked_reports", "checked_sources", "checked_profiles", "checked_charts", "checked_ml")
 
 
 def _load():
