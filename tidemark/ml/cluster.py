@@ -14,6 +14,7 @@ from pyspark.sql.types import StringType
 
 from tidemark.functions import fixed_values as fixed
 from tidemark.ml.features import cluster_features
+from tidemark.session import in_parallel
 
 
 @dataclass
@@ -26,20 +27,21 @@ class Clusters:
     scores: dict[int, float] = field(default_factory=dict)
 
 
-def _best_k(ready: DataFrame, make, ks: Sequence[int]) -> Clusters:
+def _best_k(ready: DataFrame, make, ks: Sequence[int], threads: int) -> Clusters:
     evaluator = ClusteringEvaluator(predictionCol="cluster", featuresCol="features", metricName="silhouette")
-    scores, best = {}, None
-    for k in ks:
+
+    def attempt(k: int):
         model = make(k).fit(ready)
         labelled = model.transform(ready)
-        if model.summary.k < 2 or labelled.select("cluster").distinct().limit(2).count() < 2:
-            continue  # the silhouette needs two clusters
-        scores[k] = evaluator.evaluate(labelled)
-        if best is None or scores[k] > scores[best[0]]:
-            best = (k, labelled)
-    if best is None:
+        if sum(size > 0 for size in model.summary.clusterSizes) < 2:
+            return k, None, labelled  # the silhouette needs two clusters
+        return k, evaluator.evaluate(labelled), labelled
+
+    tried = {k: (score, rows) for k, score, rows in in_parallel(attempt, ks, threads) if score is not None}
+    if not tried:
         raise ValueError("no number of clusters gave two clusters")
-    return Clusters(best[1], best[0], scores[best[0]], scores)
+    best = max(tried, key=lambda k: (tried[k][0], -k))
+    return Clusters(tried[best][1], best, tried[best][0], {k: score for k, (score, _) in tried.items()})
 
 
 def _candidates(rows: int, max_k: int) -> range:
@@ -48,13 +50,18 @@ def _candidates(rows: int, max_k: int) -> range:
     return range(2, min(max_k, rows // 2) + 1)
 
 
-def _search(df: DataFrame, features: Sequence[str], make, max_k: int) -> Clusters:
+def _search(df: DataFrame, features: Sequence[str], make, max_k: int, threads: int) -> Clusters:
     ready = cluster_features(df, features).persist(StorageLevel.MEMORY_AND_DISK)
-    return _best_k(ready, make, _candidates(ready.count(), max_k))
+    return _best_k(ready, make, _candidates(ready.count(), max_k), threads)
 
 
 def k_means(
-    df: DataFrame, features: Sequence[str], *, max_k: int = fixed.KMEANS_MAX_K, seed: int = fixed.ML_SEED
+    df: DataFrame,
+    features: Sequence[str],
+    *,
+    max_k: int = fixed.KMEANS_MAX_K,
+    seed: int = fixed.ML_SEED,
+    threads: int = 4,
 ) -> Clusters:
     """K-Means for k = 2..max_k on all rows; the k with the best silhouette wins."""
 
@@ -64,11 +71,16 @@ def k_means(
             maxIter=fixed.KMEANS_MAX_ITER, tol=fixed.KMEANS_TOL,
         )
 
-    return _search(df, features, make, max_k)
+    return _search(df, features, make, max_k, threads)
 
 
 def bisecting_k_means(
-    df: DataFrame, features: Sequence[str], *, max_k: int = fixed.KMEANS_MAX_K, seed: int = fixed.ML_SEED
+    df: DataFrame,
+    features: Sequence[str],
+    *,
+    max_k: int = fixed.KMEANS_MAX_K,
+    seed: int = fixed.ML_SEED,
+    threads: int = 4,
 ) -> Clusters:
     """Bisecting K-Means with the same search for k."""
 
@@ -77,7 +89,7 @@ def bisecting_k_means(
             k=k, featuresCol="features", predictionCol="cluster", seed=seed, maxIter=fixed.KMEANS_MAX_ITER
         )
 
-    return _search(df, features, make, max_k)
+    return _search(df, features, make, max_k, threads)
 
 
 def cluster_members(rows: DataFrame, features: Sequence[str], *, cluster: str = "cluster") -> DataFrame:

@@ -12,7 +12,7 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(node, label): the smallest node reachable over the edges (u, v).
 
     Each round takes the smallest label among the neighbours and then the label of that label, so long
-    chains shrink fast. Rounds end when nothing changes; each is checkpointed.
+    chains shrink fast. Rounds end when nothing changes; each is stored.
     """
     both = settle(
         edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
@@ -21,11 +21,12 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     while True:
         seen = current.select(F.col("node").alias("v"), F.col("label").alias("seen"))
         nearest = both.join(seen, "v").groupBy(F.col("u").alias("node")).agg(F.min("seen").alias("seen"))
-        lowered = current.join(nearest, "node", "left").select(
-            "node", F.col("label").alias("before"), F.least("label", "seen").alias("label")
+        lowered = settle(
+            current.join(nearest, "node", "left").select(
+                "node", F.col("label").alias("before"), F.least("label", "seen").alias("label")
+            )
         )
-        lowered = settle(lowered)
         if not lowered.filter(F.col("label") != F.col("before")).take(1):
             return lowered.select("node", "label")
         further = lowered.select(F.col("node").alias("label"), F.col("label").alias("next"))
-        current = settle(lowered.join(further, "label").select("node", F.col("next").alias("label")))
+        current = lowered.join(further, "label").select("node", F.col("next").alias("label"))

@@ -29,7 +29,7 @@ from tidemark.functions import fixed_values as fixed
 from tidemark.functions.ordinal import with_ordinal
 from tidemark.ml.components import components
 from tidemark.ml.features import standardized
-from tidemark.session import settle
+from tidemark.session import in_parallel, settle
 
 MAX_FEATURES = 6  # neighbour blocks grow as 3^features
 FEW_SPOTS = 32  # boxes up to this size are compared point by point
@@ -209,34 +209,30 @@ def _touching_dense(dense: DataFrame, undecided: DataFrame, grid: _Grid) -> Data
         )
 
 
-def dbscan(
-    df: DataFrame, features: Sequence[str], *, key: str, eps: float, min_samples: int, output: str = "cluster"
-) -> DataFrame:
-    """All columns and the cluster of each row, -1 for noise.
+def _located(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """The rows with their coordinates ``x0..``."""
+    if not 1 <= len(features) <= MAX_FEATURES:
+        raise ValueError(f"1 to {MAX_FEATURES} features are supported, not {len(features)}")
+    # Adding 0.0 turns -0.0 into 0.0, so that equal points have equal keys.
+    places = {f"x{i}": F.col(name).cast("double") + F.lit(0.0) for i, name in enumerate(features)}
+    return df.dropna(subset=list(features)).withColumns(places)
 
-    ``features`` are columns on a common scale (see ``dbscan_standardized``) and ``key`` names every
-    row. Clusters are numbered by the smallest key of their core points; a border point between
-    clusters joins the one with the smallest number.
-    """
-    dims = len(features)
-    if not 1 <= dims <= MAX_FEATURES:
-        raise ValueError(f"1 to {MAX_FEATURES} features are supported, not {dims}")
+
+def _spots(located: DataFrame, dims: int, key: str) -> DataFrame:
+    """Distinct points, their weight and the smallest key among their rows."""
+    xs = [f"x{i}" for i in range(dims)]
+    return settle(located.groupBy(*xs).agg(F.count(F.lit(1)).alias("w"), F.min(key).alias("first")))
+
+
+def _spot_clusters(places: DataFrame, dims: int, eps: float, min_samples: int, output: str) -> DataFrame:
+    """The cluster of every spot: (x0.., w, output)."""
     grid = _Grid(eps, dims)
     xs = grid.coordinates()
-    rows = df.dropna(subset=list(features)).withColumns(
-        # Adding 0.0 turns -0.0 into 0.0, so that equal points have equal keys.
-        {x: F.col(name).cast("double") + F.lit(0.0) for x, name in zip(xs, features)}
-    )
-    spots = settle(
-        rows.groupBy(*xs)
-        .agg(F.count(F.lit(1)).alias("w"), F.min(key).alias("first"))
-        .withColumn("cell", grid.cell())
-    )
+    spots = places.withColumn("cell", grid.cell())
     cells = settle(spots.groupBy("cell").agg(*grid.box(), F.min("first").alias("first")))
-    is_dense = F.col("n") >= min_samples
-    dense_cells = cells.filter(is_dense).select("cell", F.col("first").alias("node"))
-    dense = settle(spots.join(dense_cells.select("cell"), "cell", "left_semi"))
-    thin = settle(spots.join(dense_cells.select("cell"), "cell", "left_anti"))
+    placed = settle(spots.join(cells.select("cell", F.col("n").alias("n_cell")), "cell"))
+    dense, thin = placed.filter(F.col("n_cell") >= min_samples), placed.filter(F.col("n_cell") < min_samples)
+    dense_cells = cells.filter(F.col("n") >= min_samples).select("cell", F.col("first").alias("node"))
     pairs = settle(
         _cell_pairs(cells, grid).withColumns(
             {"dense_a": F.col("n_a") >= min_samples, "dense_b": F.col("n_b") >= min_samples}
@@ -259,7 +255,7 @@ def dbscan(
     counts = (
         touching.select(*xs, "hits")
         .unionByName(near.select(*of_a, F.col("w_b").alias("hits")))
-        .unionByName(thin.join(cells.select("cell", "n"), "cell").select(*xs, F.col("n").alias("hits")))
+        .unionByName(thin.select(*xs, F.col("n_cell").alias("hits")))
         .groupBy(*xs)
         .agg(F.sum("hits").alias("hits"))
     )
@@ -319,14 +315,31 @@ def dbscan(
     )
     core_numbers = thin_core.join(numbered, "cell").select(*xs, F.col("number").alias("own"))
     thin_numbers = (
-        thin.select(*xs)
+        thin.select(*xs, "w")
         .join(border, xs, "left")
         .join(core_numbers, xs, "left")
-        .select(*xs, F.coalesce("own", "number", F.lit(-1)).alias(output))
+        .select(*xs, "w", F.coalesce("own", "number", F.lit(-1)).alias(output))
     )
-    dense_numbers = dense.join(numbered, "cell").select(*xs, F.col("number").alias(output))
-    labels = settle(dense_numbers.unionByName(thin_numbers))
-    return rows.join(labels, xs).drop(*xs)
+    dense_numbers = dense.join(numbered, "cell").select(*xs, "w", F.col("number").alias(output))
+    return settle(dense_numbers.unionByName(thin_numbers))
+
+
+def dbscan(
+    df: DataFrame, features: Sequence[str], *, key: str, eps: float, min_samples: int, output: str = "cluster"
+) -> DataFrame:
+    """All columns and the cluster of each row, -1 for noise.
+
+    ``features`` are columns on a common scale (see ``dbscan_standardized``) and ``key`` names every
+    row. Clusters are numbered by the smallest key of their core points; a border point between
+    clusters joins the one with the smallest number.
+    """
+    located, dims = _located(df, features), len(features)
+    return _labelled(located, _spot_clusters(_spots(located, dims, key), dims, eps, min_samples, output), dims)
+
+
+def _labelled(located: DataFrame, clusters: DataFrame, dims: int) -> DataFrame:
+    xs = [f"x{i}" for i in range(dims)]
+    return located.join(clusters.drop("w"), xs).drop(*xs)
 
 
 def dbscan_standardized(
@@ -346,32 +359,36 @@ def dbscan_search(
     key: str,
     eps: Sequence[float] = fixed.DBSCAN_EPS,
     min_samples: Sequence[int] = fixed.DBSCAN_MIN_SAMPLES,
+    threads: int = 8,
 ) -> tuple[DataFrame, dict[str, float]]:
     """The clustering with the best silhouette among those of two clusters or more, and its parameters.
 
     Noise counts as a class of its own. The silhouette uses squared distances, which Spark computes in
-    one pass; the usual one compares all pairs of points.
+    one pass over the weighted spots; the usual one compares all pairs of points.
     """
-    scaled = settle(standardized(df, features))
-    names = [f"z_{name}" for name in features]
-    vectors = VectorAssembler(inputCols=names, outputCol="__features")
-    silhouette = ClusteringEvaluator(featuresCol="__features", predictionCol="cluster")
-    best, chosen = None, {}
-    for distance, least in product(eps, min_samples):
-        rows = settle(dbscan(scaled, names, key=key, eps=distance, min_samples=least))
-        sizes = rows.agg(
+    dims = len(features)
+    located = _located(settle(standardized(df, features)), [f"z_{name}" for name in features])
+    places = _spots(located, dims, key)
+    vectors = VectorAssembler(inputCols=[f"x{i}" for i in range(dims)], outputCol="__features")
+    silhouette = ClusteringEvaluator(featuresCol="__features", predictionCol="class", weightCol="w")
+
+    def attempt(chosen: tuple[float, int]):
+        clusters = _spot_clusters(places, dims, *chosen, "cluster")
+        sizes = clusters.agg(
             F.count_distinct(F.when(F.col("cluster") >= 0, F.col("cluster"))).alias("clusters"),
-            F.count_if(F.col("cluster") < 0).alias("noise"),
+            F.sum(F.when(F.col("cluster") < 0, F.col("w")).otherwise(0)).alias("noise"),
         ).first()
         if sizes["clusters"] < 2:
-            continue
-        score = silhouette.evaluate(vectors.transform(rows).withColumn("cluster", F.col("cluster").cast("double")))
-        if best is None or score > chosen["silhouette"]:
-            best = rows
-            chosen = {
-                "eps": distance, "min_samples": least, "silhouette": score,
-                "n_clusters": sizes["clusters"], "n_noise": sizes["noise"],
-            }
-    if best is None:
+            return None
+        classes = vectors.transform(clusters).withColumn("class", F.col("cluster").cast("double"))
+        found = {
+            "eps": chosen[0], "min_samples": chosen[1], "n_clusters": sizes["clusters"], "n_noise": sizes["noise"],
+            "silhouette": silhouette.evaluate(classes.withColumn("w", F.col("w").cast("double"))),
+        }
+        return clusters, found
+
+    tried = [one for one in in_parallel(attempt, list(product(eps, min_samples)), threads) if one]
+    if not tried:
         raise ValueError("no parameters tried gave two clusters")
-    return best, chosen
+    clusters, chosen = max(tried, key=lambda one: one[1]["silhouette"])
+    return _labelled(located, clusters, dims), chosen

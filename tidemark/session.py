@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -46,8 +49,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Cut the lineage by a reliable checkpoint, so that lost executors cost no recomputation."""
-    shared_folder(df.sparkSession)
-    if not df.sparkSession.sparkContext.getCheckpointDir():
-        df.sparkSession.sparkContext.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+    """Write a table to the shared folder and read it back.
+
+    This cuts the lineage, survives lost executors, and lets Spark plan the following joins by the real
+    size of the table.
+    """
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def in_parallel(work: Callable, items: Sequence, threads: int) -> list:
+    """Run independent Spark jobs from several threads of the driver; results in the order of items."""
+    if threads <= 1 or len(items) <= 1:
+        return [work(item) for item in items]
+    spark = SparkSession.getActiveSession()
+    pool = ThreadPool(min(threads, len(items)))
+    try:
+        return pool.map(inheritable_thread_target(spark)(work), items, chunksize=1)
+    finally:
+        pool.close()
