@@ -110,6 +110,8 @@ COUNT_NAME = "Conteggio"
 
 # Machine learning.
 ML_SEED = 42
+ROWS_PER_TASK_LEAST = 20_000
+ROWS_PER_TASK_MOST = 2_000_000
 MIN_ROWS_CLUSTERING = 10
 MIN_ROWS_SUPERVISED = 50
 HASHED_FEATURES = 256

@@ -142,13 +142,13 @@ def _touching_points(thin: DataFrame, dense: DataFrame, pairs: DataFrame, grid:
         .drop("cell_a")
     )
     found = []
-    level = 0
+    level, close = 0, dense.filter(F.col("m_cell") <= FEW_SPOTS)
     while True:
         frontier = settle(frontier.filter(grid.within(grid.nearest())).withColumn("inside", grid.within(grid.furthest())))
         found.append(frontier.filter("inside").select(*xs, "cell_b", F.col("n_b").alias("hits")))
         open_ = frontier.filter("NOT inside")
         few = open_.filter(F.col("m_b") <= FEW_SPOTS).select(*xs, "cell_b", "part_b")
-        compared = few.join(_spots_of_parts(dense, grid, level, "b"), ["cell_b", "part_b"]).filter(
+        compared = few.join(_spots_of_parts(close, grid, level, "b"), ["cell_b", "part_b"]).filter(
             grid.points_near("", "_b")
         )
         found.append(compared.select(*xs, "cell_b", F.col("w_b").alias("hits")))
@@ -156,10 +156,10 @@ def _touching_points(thin: DataFrame, dense: DataFrame, pairs: DataFrame, grid:
         if not many.take(1):
             break
         level += 1
-        wanted = dense.join(many.select(F.col("cell_b").alias("cell")).distinct(), "cell", "left_semi")
+        close = dense.join(many.select(F.col("cell_b").alias("cell")).distinct(), "cell", "left_semi")
         frontier = (
             many.select(*xs, *[f"{s}{i}_a" for i in grid.axes for s in ("lo", "hi")], "cell_b", F.col("part_b").alias("whole_b"))
-            .join(_parts(wanted, grid, level, "b"), ["cell_b", "whole_b"])
+            .join(_parts(close, grid, level, "b"), ["cell_b", "whole_b"])
             .drop("whole_b")
         )
     hits = reduce(DataFrame.unionByName, found)
@@ -174,6 +174,7 @@ def _touching_dense(dense: DataFrame, undecided: DataFrame, grid: _Grid) -> Data
     )
     found = []
     level = 0
+    close = {of: dense.filter(F.col("m_cell") <= FEW_SPOTS) for of in ("a", "b")}
     while True:
         frontier = settle(frontier.filter(grid.within(grid.nearest())).withColumn("inside", grid.within(grid.furthest())))
         open_ = frontier.filter("NOT inside")
@@ -181,8 +182,8 @@ def _touching_dense(dense: DataFrame, undecided: DataFrame, grid: _Grid) -> Data
         compared = (
             open_.filter(few)
             .select("cell_a", "part_a", "cell_b", "part_b")
-            .join(_spots_of_parts(dense, grid, level, "a"), ["cell_a", "part_a"])
-            .join(_spots_of_parts(dense, grid, level, "b"), ["cell_b", "part_b"])
+            .join(_spots_of_parts(close["a"], grid, level, "a"), ["cell_a", "part_a"])
+            .join(_spots_of_parts(close["b"], grid, level, "b"), ["cell_b", "part_b"])
             .filter(grid.points_near("_a", "_b"))
         )
         touching = settle(
@@ -193,18 +194,14 @@ def _touching_dense(dense: DataFrame, undecided: DataFrame, grid: _Grid) -> Data
         if not many.take(1):
             return reduce(DataFrame.unionByName, found)
         level += 1
-        parts = {
-            of: _parts(
-                dense.join(many.select(F.col(f"cell_{of}").alias("cell")).distinct(), "cell", "left_semi"), grid, level, of
-            )
+        close = {
+            of: dense.join(many.select(F.col(f"cell_{of}").alias("cell")).distinct(), "cell", "left_semi")
             for of in ("a", "b")
         }
         frontier = (
-            many.select(
-                "cell_a", "cell_b", F.col("part_a").alias("whole_a"), F.col("part_b").alias("whole_b")
-            )
-            .join(parts["a"], ["cell_a", "whole_a"])
-            .join(parts["b"], ["cell_b", "whole_b"])
+            many.select("cell_a", "cell_b", F.col("part_a").alias("whole_a"), F.col("part_b").alias("whole_b"))
+            .join(_parts(close["a"], grid, level, "a"), ["cell_a", "whole_a"])
+            .join(_parts(close["b"], grid, level, "b"), ["cell_b", "whole_b"])
             .drop("whole_a", "whole_b")
         )
 
@@ -230,7 +227,8 @@ def _spot_clusters(places: DataFrame, dims: int, eps: float, min_samples: int, o
     xs = grid.coordinates()
     spots = places.withColumn("cell", grid.cell())
     cells = settle(spots.groupBy("cell").agg(*grid.box(), F.min("first").alias("first")))
-    placed = settle(spots.join(cells.select("cell", F.col("n").alias("n_cell")), "cell"))
+    sizes = cells.select("cell", F.col("n").alias("n_cell"), F.col("m").alias("m_cell"))
+    placed = settle(spots.join(sizes, "cell"))
     dense, thin = placed.filter(F.col("n_cell") >= min_samples), placed.filter(F.col("n_cell") < min_samples)
     dense_cells = cells.filter(F.col("n") >= min_samples).select("cell", F.col("first").alias("node"))
     pairs = settle(

@@ -30,6 +30,16 @@ def need_rows(df: DataFrame, least: int) -> int:
     return rows
 
 
+def fitting_tasks(df: DataFrame, rows: int) -> DataFrame:
+    """Even partitions for iterative training, whose every step pays for every task.
+
+    Small tables get few partitions, medium ones a few per core, and none of more than some million
+    rows. One shuffle of the feature table, before the many passes over it.
+    """
+    few = min(rows // fixed.ROWS_PER_TASK_LEAST + 1, 4 * df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(max(few, rows // fixed.ROWS_PER_TASK_MOST + 1))
+
+
 def encode_text(df: DataFrame, column: str, output: str, *, by_frequency: bool) -> DataFrame:
     """Text values as 0, 1, 2, ...: the most frequent first, or in alphabetical order.
 
@@ -61,7 +71,7 @@ def cluster_features(df: DataFrame, features: Sequence[str], *, least: int = fix
     """All columns of the rows without nulls in the features, and their vector ``features``."""
     need_columns(df, features)
     ready = df.dropna(subset=list(features))
-    need_rows(ready, least)
+    rows = need_rows(ready, least)
     inputs = []
     for name in features:
         kind = df.schema[name].dataType
@@ -72,7 +82,7 @@ def cluster_features(df: DataFrame, features: Sequence[str], *, least: int = fix
             ready = ready.withColumn(f"{name}_number", number(F.col(name), kind))
             inputs.append(f"{name}_number")
     assembled = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep").transform(ready)
-    return assembled.drop(*inputs)
+    return fitting_tasks(assembled.drop(*inputs), rows)
 
 
 def supervised_features(
@@ -84,7 +94,7 @@ def supervised_features(
     ready = df
     for name in (*features, target):
         ready = ready.filter(F.col(name).isNotNull())
-    need_rows(ready, least)
+    rows = need_rows(ready, least)
     texts = [name for name in features if isinstance(df.schema[name].dataType, StringType)]
     inputs = []
     for name in features:
@@ -100,7 +110,8 @@ def supervised_features(
         stages.append(FeatureHasher(inputCols=texts, outputCol="hashed_features", numFeatures=fixed.HASHED_FEATURES))
         inputs.append("hashed_features")
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"))
-    return Pipeline(stages=stages).fit(ready).transform(ready).drop(*inputs)
+    assembled = Pipeline(stages=stages).fit(ready).transform(ready).drop(*inputs)
+    return fitting_tasks(assembled, rows)
 
 
 def standardized(df: DataFrame, features: Sequence[str]) -> DataFrame:

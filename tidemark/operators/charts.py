@@ -105,18 +105,13 @@ def bin_of(value: Column, low: Column, high: Column, bins: int) -> Column:
 def density(df: DataFrame, x: str, y: str, *, bins: int = fixed.DENSITY_BINS) -> DataFrame:
     """Rows per cell of a bins x bins grid over the range of both columns."""
     pairs = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna()
-    edge = {
-        (name, side): pairs.agg(how(name)).scalar()
-        for name in ("x", "y")
-        for side, how in (("low", F.min), ("high", F.max))
-    }
-    return (
-        pairs.groupBy(
-            bin_of(F.col("x"), edge["x", "low"], edge["x", "high"], bins).alias("x_bin"),
-            bin_of(F.col("y"), edge["y", "low"], edge["y", "high"], bins).alias("y_bin"),
-        )
-        .agg(F.count(F.lit(1)).alias("n"))
+    edges = F.struct(
+        F.min("x").alias("x_low"), F.max("x").alias("x_high"), F.min("y").alias("y_low"), F.max("y").alias("y_high")
     )
+    edge = pairs.agg(edges.alias("edge")).scalar()
+    x_bin = bin_of(F.col("x"), edge["x_low"], edge["x_high"], bins)
+    y_bin = bin_of(F.col("y"), edge["y_low"], edge["y_high"], bins)
+    return pairs.groupBy(x_bin.alias("x_bin"), y_bin.alias("y_bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def heat_map(df: DataFrame, x: str, y: str, z: str | None = None, *, agg: str = "max") -> DataFrame:

@@ -153,9 +153,9 @@ def m10(spark, sf_dir):
 
 @checked("m10b_dbscan_search")
 def m10b(spark, sf_dir):
-    help_points = help_set(spark, sf_dir).withColumn("row", F.xxhash64("TestoTweet", "Utente", "Data"))
-    places = help_points.groupBy(*HELP_FEATURES).agg(F.min("row").alias("row"))
-    rows, chosen = dbscan.dbscan_search(places, HELP_FEATURES, key="row")
+    places = help_set(spark, sf_dir).select(*HELP_FEATURES).distinct()
+    named = places.withColumn("place", F.concat_ws("/", *HELP_FEATURES))
+    rows, chosen = dbscan.dbscan_search(named, HELP_FEATURES, key="place")
     return rows.select(
         *HELP_FEATURES, "cluster", *[F.lit(value).alias(name) for name, value in sorted(chosen.items())]
     )
