@@ -48,7 +48,8 @@ def conform(value: Column, have: DataType, want: DataType) -> Column:
     if isinstance(have, ArrayType) and isinstance(want, ArrayType):
         return F.transform(value, lambda item: conform(item, have.elementType, want.elementType))
     if isinstance(have, StringType) and isinstance(want, _NESTED):
-        return F.from_json(value, want)
+        opening = r"^\s*\[" if isinstance(want, ArrayType) else r"^\s*\{"
+        return F.when(value.rlike(opening) & F.try_parse_json(value).isNotNull(), F.from_json(value, want))
     if isinstance(have, _NESTED) or isinstance(want, _NESTED) or not _castable(have, want):
         return F.lit(None).cast(want)
     return value.try_cast(want)
