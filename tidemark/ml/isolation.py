@@ -30,25 +30,32 @@ def mean_path(n: int) -> float:
     return 2.0 * (math.log(n - 1) + np.euler_gamma) - 2.0 * (n - 1) / n
 
 
+def _hash_limit(wanted: int, total: int) -> int:
+    """The hash below which surely ``wanted`` of ``total`` rows lie, but not many more."""
+    share = min(1.0, (1.3 * wanted + 10 * math.sqrt(wanted)) / total)
+    return min(int(-(2**63) + share * 2**64), 2**63 - 1)
+
+
 def _samples(scaled: DataFrame, names: Sequence[str], key: str, trees: int, rows: int, seed: int, total: int):
-    """(tree, features): for each tree its rows, chosen by hash, at most ``rows`` per tree."""
-    draw = F.xxhash64(F.col(key), F.lit(seed))
+    """(tree, features): for each tree its rows, chosen by hash, at most ``rows`` per tree.
+
+    A hash limit leaves little more than the sample before anything is sorted or shuffled.
+    """
     wanted = trees * rows
     chosen = scaled.select(key, *names)
     if total > 2 * wanted:
-        # A slightly too large share by hash first, then exactly ``wanted`` rows, dealt out to the trees.
-        share = min(1.0, 1.3 * wanted / total + 10 * math.sqrt(wanted) / total)
-        limit = int(-(2**63) + share * (2**64 - 1))
-        pool = chosen.filter(draw <= F.lit(limit)).orderBy(draw, key).limit(wanted)
-        dealt = Window.orderBy("__draw", key)  # over the ``wanted`` rows only
+        # One sample for all trees, dealt out in the order of the hash; the window is over it only.
+        draw = F.xxhash64(F.col(key), F.lit(seed))
+        pool = chosen.withColumn("__draw", draw).filter(F.col("__draw") <= F.lit(_hash_limit(wanted, total)))
+        dealt = F.row_number().over(Window.orderBy("__draw", key)) - 1
         return (
-            pool.withColumn("__draw", draw)
-            .withColumn("tree", ((F.row_number().over(dealt) - 1) % trees).cast("int"))
-            .select("tree", key, *names)
+            pool.orderBy("__draw", key).limit(wanted).withColumn("tree", (dealt % trees).cast("int")).select("tree", key, *names)
         )
     # Fewer rows than that: every tree draws its own sample of the rows.
-    drawn = chosen.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).withColumn(
-        "__draw", F.xxhash64(F.col(key), F.lit(seed), F.col("tree"))
+    drawn = (
+        chosen.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+        .withColumn("__draw", F.xxhash64(F.col(key), F.lit(seed), F.col("tree")))
+        .filter(F.col("__draw") <= F.lit(_hash_limit(rows, total)))
     )
     order = Window.partitionBy("tree").orderBy("__draw", key)
     return (

@@ -15,6 +15,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a table in fewer parts than there are cores, spread over them; others as they are.
+
+    The given files have one part each, on which all later work of a post would run in one task.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _text_fields() -> dict[str, Column]:
     """The text stands in ``full_text``, in ``extended_tweet`` or in ``text``, by the counter k."""
     k = F.coalesce(F.col("retweet_count"), F.lit(0))
@@ -28,7 +37,7 @@ def _text_fields() -> dict[str, Column]:
 def flat_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per event, without nesting."""
     documents = table(spark, sf_dir, "documents")
-    events = table(spark, sf_dir, "events")
+    events = spread(table(spark, sf_dir, "events"))
     n_docs = documents.agg((F.max("doc_id") + 1).alias("n")).scalar()
     created = F.concat(
         F.date_format("ts", "EEE MMM dd HH:mm:ss"), F.lit(" +0000 "), F.date_format("ts", "yyyy")

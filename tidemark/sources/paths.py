@@ -42,24 +42,35 @@ def _children(value: Column, above: Column | None) -> Column:
     return F.coalesce(fields, F.array().cast(empty))
 
 
+def _without_values(level: str, *, deepest: bool) -> Column:
+    """Paths and types of a level; at the deepest one ``open`` marks objects with more below."""
+
+    def shown(entry: Column) -> Column:
+        open_ = entry["value"].isNotNull() if deepest else F.lit(False)
+        return F.struct(entry["path"].alias("path"), entry["type"].alias("type"), open_.alias("open"))
+
+    return F.transform(level, shown)
+
+
 def typed_paths(lines: DataFrame, *, line: str = "value", by: Sequence[str] = (), max_depth: int = 10) -> DataFrame:
     """Per path (and ``by``) and type the number of records that have it.
 
-    One scan: each level hands on what is below it, and only counts are shuffled. ``unexpanded`` counts
-    objects deeper than ``max_depth``. Lines that are not JSON objects are passed over.
+    One scan: the levels of a record are arrays, exploded together, and only counts are shuffled.
+    ``unexpanded`` counts objects deeper than ``max_depth``. Lines that are no JSON object are passed over.
     """
     parsed = lines.select(*by, F.try_parse_json(line).alias("root"))
-    level = parsed.select(*by, F.explode(_children(F.col("root"), None)).alias("e"))
-    for _ in range(max_depth - 1):
-        done = F.struct(
-            F.col("e.path").alias("path"), F.col("e.type").alias("type"), F.lit(None).cast("variant").alias("value")
-        )
-        level = level.select(
-            *by, F.explode(F.concat(F.array(done), _children(F.col("e.value"), F.col("e.path")))).alias("e")
-        )
+    found = parsed.select(*by, _children(F.col("root"), None).alias("level_1"))
+    levels = ["level_1"]
+    for depth in range(2, max_depth + 1):
+        objects = F.filter(levels[-1], lambda e: e["value"].isNotNull())
+        below = F.flatten(F.transform(objects, lambda e: _children(e["value"], e["path"])))
+        levels.append(f"level_{depth}")
+        found = found.withColumn(levels[-1], below)
+    shown = [_without_values(name, deepest=name == levels[-1]) for name in levels]
     return (
-        level.groupBy(*by, F.col("e.path").alias("path"), F.col("e.type").alias("type"))
-        .agg(F.count(F.lit(1)).alias("records"), F.count("e.value").alias("unexpanded"))
+        found.select(*by, F.explode(F.concat(*shown)).alias("e"))
+        .groupBy(*by, F.col("e.path").alias("path"), F.col("e.type").alias("type"))
+        .agg(F.count(F.lit(1)).alias("records"), F.count_if("e.open").alias("unexpanded"))
     )
 
 
