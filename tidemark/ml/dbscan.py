@@ -293,7 +293,14 @@ def _spot_clusters(places: DataFrame, dims: int, eps: float, min_samples: int, o
     )
     undecided = settle(undecided)
     if undecided.take(1):
-        joined = components(nodes, first_edges.unionByName(edges_of(_touching_dense(dense, undecided, grid))))
+        of_u, of_v = (joined.select(F.col("node").alias(end), F.col("label").alias(f"l{end}")) for end in ("u", "v"))
+        more = edges_of(_touching_dense(dense, undecided, grid)).join(of_u, "u").join(of_v, "v")
+        merged = components(
+            joined.select(F.col("label").alias("node")).distinct(),
+            more.select(F.col("lu").alias("u"), F.col("lv").alias("v")),
+        )
+        merged = merged.select(F.col("node").alias("label"), F.col("label").alias("top"))
+        joined = joined.join(merged, "label").select("node", F.col("top").alias("label"))
 
     # Numbers of the clusters in the order of their smallest core key, which is the label itself.
     numbers = with_ordinal(joined.select("label").distinct(), ["label"], "number")

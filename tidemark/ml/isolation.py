@@ -149,14 +149,9 @@ def isolation_forest(
     names = [f"z_{name}" for name in features]
     total = scaled.count()
     size = min(sample_rows, total)
-    forest = (
-        _samples(scaled, names, key, trees, size, seed, total)
-        .groupBy("tree")
-        .applyInPandas(_grow(names, key, seed), _TREE)
-        .orderBy("tree")
-        .collect()
-    )
-    score = _scorer(forest, size)
+    samples = _samples(scaled, names, key, trees, size, seed, total)
+    forest = samples.groupBy("tree").applyInPandas(_grow(names, key, seed), _TREE).collect()
+    score = _scorer(sorted(forest, key=lambda tree: tree["tree"]), size)
     scored = settle(scaled.withColumn("Score", score(F.struct(*names))).drop(*names))
     limits = {level: percentile(scored, "Score", level) for level in contamination}
     flagged = scored.agg(

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructType
 
 from tidemark.operators import profile
 from tidemark.plans.posts import posts, table, with_posts
@@ -17,8 +17,14 @@ from tidemark.session import scratch_path
 from tidemark.sources import paths as json_paths
 from tidemark.sources import readers, repair, shaping, sinks
 
-EVENT_FIELDS = "event_id bigint, user_id bigint, event_type string, value double, props string"
-EVENT_SCHEMA = StructType.fromDDL(EVENT_FIELDS)
+EVENT_SCHEMA = (
+    StructType()
+    .add("event_id", LongType())
+    .add("user_id", LongType())
+    .add("event_type", StringType())
+    .add("value", DoubleType())
+    .add("props", StringType())
+)
 EVENT_NAMES = EVENT_SCHEMA.fieldNames()
 EVENTS_SQL = "SELECT event_id, user_id, event_type, value, props FROM events"
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
