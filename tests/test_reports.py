@@ -180,3 +180,12 @@ def test_volume_peaks_across_stretches(spark, table, monkeypatch):
     monkeypatch.setattr(filters, "STRETCH_SLOTS", 10)
     short = filters.volume_peaks(table(*rows), bucket_seconds=60, history=10, z_limit=3.0)
     assert sorted(found.collect()) == sorted(short.collect())
+
+
+def test_reports_read_only_the_fields_they_need(spark, table, tmp_path):
+    table(post(of=original())).write.parquet(str(tmp_path / "posts"))
+    stored = spark.read.parquet(str(tmp_path / "posts"))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    for report in (reports.post_types, reports.viral_labels, reports.volume_by_minute, reports.daily_activity):
+        plan = report(stored)._jdf.queryExecution().executedPlan().toString()
+        assert "text:string" not in plan and "ReadSchema" in plan

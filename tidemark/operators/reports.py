@@ -28,6 +28,14 @@ TEXT_FIELDS = ("full_text", "text")
 ORIGINAL = "retweeted_status"
 
 
+def is_reshare() -> Column:
+    """Whether a post reshares another one.
+
+    Naming one field beside the struct lets Spark read that field alone instead of the whole struct.
+    """
+    return F.col(ORIGINAL).isNotNull() | F.col("retweeted_status.id_str").isNotNull()
+
+
 def bot_candidates(
     posts: DataFrame,
     *,
@@ -139,7 +147,7 @@ def author_categories(
 def post_types(posts: DataFrame) -> DataFrame:
     """Reshares, quotes, posts with replies and plain originals."""
     kind = (
-        F.when(F.col(ORIGINAL).isNotNull(), fixed.POST_TYPE_RESHARE)
+        F.when(is_reshare(), fixed.POST_TYPE_RESHARE)
         .when(F.col("quoted_status_id_str").isNotNull(), fixed.POST_TYPE_QUOTE)
         .when(F.col("reply_count") > 0, fixed.POST_TYPE_REPLIED)
         .otherwise(fixed.POST_TYPE_ORIGINAL)
@@ -301,7 +309,7 @@ def viral_labels(posts: DataFrame, *, viral_above: int = fixed.VIRAL_ABOVE) -> D
             (F.max("retweeted_status.favorite_count") + F.max("favorite_count")).alias("likes"),
         )
     )
-    plain = posts.filter(F.col(ORIGINAL).isNull()).select(
+    plain = posts.filter(~is_reshare()).select(
         F.col("id_str").alias("tweet_id"),
         F.col("user.followers_count").alias("Followers"),
         F.col("user.verified").alias("is_verified"),

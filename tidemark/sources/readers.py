@@ -107,12 +107,19 @@ def read_as(spark: SparkSession, fmt: str, paths: Paths, schema: StructType | No
     return tolerant_reader(spark, fmt, schema).format(fmt).load(_paths(paths))
 
 
+def read_by_name(spark: SparkSession, fmt: str, paths: Paths, schema: StructType | None) -> DataFrame:
+    """Like ``read_as``, but CSV columns go by their header: Spark matches a CSV schema by position."""
+    if fmt != "csv" or schema is None:
+        return read_as(spark, fmt, paths, schema)
+    return coerce(tolerant_reader(spark, "csv").option("inferSchema", False).csv(_paths(paths)), schema)
+
+
 def read_any(spark: SparkSession, paths: Sequence[str], schema: StructType | None = None) -> DataFrame:
     """Files of mixed formats as one table; one scan per format, columns united by name."""
     by_format: dict[str, list[str]] = {}
     for path in paths:
         by_format.setdefault(format_of(path), []).append(path)
-    first, *rest = [read_as(spark, fmt, group, schema) for fmt, group in sorted(by_format.items())]
+    first, *rest = [read_by_name(spark, fmt, group, schema) for fmt, group in sorted(by_format.items())]
     for other in rest:
         first = first.unionByName(other, allowMissingColumns=True)
     return first
@@ -239,8 +246,10 @@ def load_many(spark: SparkSession, inputs: Sequence[str], target: StructType) ->
     for fmt, group in sorted(by_format.items()):
         if fmt == "parquet":
             raw = read_parquet(spark, group)
+        elif fmt == "json":
+            raw = read_json(spark, group, target)
         else:
-            raw = tolerant_reader(spark, fmt, target if fmt == "json" else None).format(fmt).load(group)
+            raw = tolerant_reader(spark, "csv").option("inferSchema", False).csv(group)
         located = with_provenance(raw, inputs)
         parts.append(coerce(located, target, keep=("source_file", "source_id")))
     first, *rest = parts
