@@ -383,4 +383,5 @@ def t5(spark, sf_dir):
     found = filters.volume_peaks(
         posts(spark, sf_dir), bucket_seconds=3600, history=24, z_limit=2.0
     )
-    return rounded(found, z_score=6).withColumn("bucket", F.date_format("bucket", "yyyy-MM-dd HH:mm"))
+    in_utc = F.to_utc_timestamp("bucket", F.current_timezone())
+    return rounded(found, z_score=6).withColumn("bucket", F.date_format(in_utc, "yyyy-MM-dd HH:mm"))
