@@ -15,27 +15,37 @@ in ``keep`` are carried; a clash with ``n_tokens``, ``ids`` or ``decoded`` raise
 import json
 import zlib
 from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Bytes of text in a block, if no single text is longer.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 24 << 20
 #: Words of documents in one packed row, if no single text has more.
 ROW_WORDS = 100_000
 _PACKED = "key string, block long, part int, docs binary, positions binary, words binary, slots binary"
 
 
+def _compress(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(data)
+
+
+def _decompress(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
 def _pack(numbers: np.ndarray) -> bytes:
     """Unsigned 32-bit numbers by byte plane, compressed: small numbers leave the high planes empty."""
-    return zlib.compress(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+    return _compress(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
 
 
 def _unpack(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(data), dtype=np.uint8).reshape(4, -1)
+    planes = np.frombuffer(_decompress(data), dtype=np.uint8).reshape(4, -1)
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
@@ -51,8 +61,15 @@ def _split(buckets: int):
     """Rows of (keep struct, text) to packed blocks: a row for each bucket of words, then rows of documents."""
 
     def finish(block: int, keys: list, positions: list[np.ndarray], slots: _Slots) -> Iterator[dict]:
-        words = list(slots)
-        of = np.fromiter((zlib.crc32(w) % buckets for w in words), dtype=np.int64, count=len(words))
+        # Words by falling number of uses, so that most positions are small numbers.
+        uses = np.bincount(np.concatenate(positions), minlength=len(slots))
+        by_use = np.argsort(-uses, kind="stable")
+        rank = np.empty(len(slots), dtype=np.uint32)
+        rank[by_use] = np.arange(len(slots), dtype=np.uint32)
+        positions = [rank[p] for p in positions]
+        listed = list(slots)
+        words = [listed[i] for i in by_use.tolist()]
+        of = np.fromiter(map(zlib.crc32, words), dtype=np.int64, count=len(words)) % buckets
         order = np.argsort(of, kind="stable")
         edges = np.flatnonzero(np.diff(of[order], prepend=-1)) if len(order) else []
         nothing = {"docs": None, "positions": None, "words": None, "slots": None}
@@ -60,7 +77,7 @@ def _split(buckets: int):
             part = int(of[order[start]])
             own = order[start:end]
             # words hold no white space, so a space parts them
-            packed = {"words": zlib.compress(b" ".join([words[i] for i in own]), 1), "slots": _pack(own)}
+            packed = {"words": _compress(b" ".join([words[i] for i in own])), "slots": _pack(own)}
             yield nothing | packed | {"key": f"words/{part}", "block": block, "part": part}
         at = part = 0
         while at < len(positions):
@@ -72,7 +89,7 @@ def _split(buckets: int):
             ipc = pa.BufferOutputStream()
             with pa.ipc.new_stream(ipc, table.schema) as writer:
                 writer.write_table(table)
-            packed = {"docs": zlib.compress(ipc.getvalue(), 1), "positions": _pack(np.concatenate(positions[at:to]))}
+            packed = {"docs": _compress(ipc.getvalue().to_pybytes()), "positions": _pack(np.concatenate(positions[at:to]))}
             yield nothing | packed | {"key": f"docs/{block}/{part}", "block": block, "part": buckets + part}
             at, part = to, part + 1
 
@@ -94,7 +111,7 @@ def _split(buckets: int):
                     yield out()
                     block, keys, positions, slots, size = block + 1, [], [], _Slots(), 0
                 words = text.split()
-                positions.append(np.fromiter((slots[w] for w in words), dtype=np.uint32, count=len(words)))
+                positions.append(np.fromiter(map(slots.__getitem__, words), dtype=np.uint32, count=len(words)))
                 keys.append(key.slice(i, 1))
                 size += len(text)
         if positions:
@@ -114,7 +131,6 @@ def _encode(tokenizer_json: str):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _word_tokenizer(tokenizer_json)
-        known: dict[bytes, bytes] = {}
         part = None
         for batch in batches:
             rows = batch.to_pylist()
@@ -122,20 +138,31 @@ def _encode(tokenizer_json: str):
                 if row["words"] is None:  # documents pass
                     continue
                 if row["part"] != part:  # rows come by bucket
-                    known, part = {}, row["part"]
-                words = zlib.decompress(row["words"]).split(b" ")
+                    known: dict[bytes, int] = {}
+                    ids, lengths = [], []
+                    part = row["part"]
+                words = _decompress(row["words"]).split(b" ")
                 new = [w for w in words if w not in known]
                 if new:
-                    encoded = tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-                    known.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(new, encoded))
-                ids = [known[w] for w in words]
-                lengths = np.array([len(x) // 4 for x in ids], dtype=np.uint32)
-                row["words"] = b"".join(len(x).to_bytes(4, "little") + x for x in (_pack(lengths), _pack(np.frombuffer(b"".join(ids), dtype="<u4"))))
+                    encoded = [e.ids for e in tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)]
+                    known.update(zip(new, range(len(known), len(known) + len(new))))
+                    lengths.append(np.fromiter(map(len, encoded), dtype=np.int64, count=len(new)))
+                    ids.append(np.fromiter(chain.from_iterable(encoded), dtype=np.uint32))
+                    lengths, ids = [np.concatenate(lengths)], [np.concatenate(ids)]
+                    starts = np.cumsum(lengths[0]) - lengths[0]
+                own = np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))
+                parts = _pack(lengths[0][own]), _pack(ids[0][_spread(starts[own], lengths[0][own])])
+                row["words"] = b"".join(len(x).to_bytes(4, "little") + x for x in parts)
             yield pa.RecordBatch.from_pylist(rows, schema=batch.schema)
 
     return run
 
 
+def _spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The positions starts[0], starts[0] + 1, ... of all stretches, one after the other."""
+    return np.repeat(starts - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))
+
+
 def _two(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     n = int.from_bytes(data[:4], "little")
     return _unpack(data[4 : 4 + n]), _unpack(data[8 + n :])
@@ -159,17 +186,16 @@ def _assemble(pieces: list[str]):
                 self.text[slot] = " ".join(joined[s : s + n])
 
     def results(row: dict, words: Words) -> pa.RecordBatch:
-        table = pa.ipc.open_stream(zlib.decompress(row["docs"])).read_all().combine_chunks()
+        table = pa.ipc.open_stream(_decompress(row["docs"])).read_all().combine_chunks()
         positions, counts = _unpack(row["positions"]).astype(np.int64), table.column("n").to_numpy()
         ends = np.cumsum(counts)
         n_tokens, id_bytes, decoded = [], [], []
         for a, b in zip((ends - counts).tolist(), ends.tolist()):
             own = positions[a:b]
             n = words.length[own]
-            total = int(n.sum())
-            spots = np.repeat(words.start[own] - (np.cumsum(n) - n), n) + np.arange(total)
-            n_tokens.append(total)
-            id_bytes.append(words.ids[spots].tobytes())
+            own_ids = words.ids[_spread(words.start[own], n)]
+            n_tokens.append(len(own_ids))
+            id_bytes.append(own_ids.tobytes())
             # a word without ids leaves no piece, and so no space
             decoded.append(" ".join([words.text[p] for p in own[n > 0].tolist()]))
         keys = pa.concat_arrays(table.column("key").chunks)

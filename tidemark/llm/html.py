@@ -45,7 +45,12 @@ NAMES = frozenset(
     "complementary contentinfo alertdialog skip".split()
 )
 
-_MARKUP = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)/?>", re.S)
+# A comment, CDATA, a declaration, a tag, or a tag with an open quote.
+_MARKUP = re.compile(
+    r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)"
+    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^<>\"']++|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)>",
+    re.S,
+)
 _NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _HIDES = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?false)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 _WORD = re.compile(r"[a-z]+")
@@ -61,114 +66,152 @@ class Block:
     words: frozenset  # of their classes, ids and roles
 
 
-def blocks_of(page: str) -> list[Block]:
-    """The visible text blocks of a page in order, white space as one space."""
-    out: list[Block] = []
-    stack: list[tuple] = []  # (name, number, words, hidden)
-    parts: list[str] = []
-    state = {"linked": 0, "links": 0, "hidden": 0}
+class Element:
+    """An open element, with what it and those around it say about their text."""
+
+    __slots__ = ("name", "hides", "path", "names", "words")
+
+    def __init__(self, name: str, number: int, around: "Element | None", words: frozenset, hides: bool):
+        self.name, self.hides = name, hides
+        path, names, others = (around.path, around.names, around.words) if around else ((), (), frozenset())
+        block = name not in INLINE
+        self.path = (*path, number) if block else path
+        self.names = (*names, name) if block else names
+        self.words = others | words if words else others
+
+
+class Page:
+    """Reads markup in order into blocks."""
+
+    def __init__(self):
+        self.blocks: list[Block] = []
+        self.stack: list[Element] = []
+        self.parts: list[str] = []
+        self.linked = self.links = self.hidden = self.number = 0
 
-    def flush():
-        text = " ".join(unescape("".join(parts)).split())
+    def flush(self) -> None:
+        if not self.parts:
+            return
+        text = "".join(self.parts)
+        text = " ".join((unescape(text) if "&" in text else text).split())
         if text:
-            out.append(Block(text, min(state["linked"], len(text)), tuple(e[1] for e in stack if e[0] not in INLINE), tuple(e[0] for e in stack if e[0] not in INLINE), frozenset().union(*(e[2] for e in stack))))
-        parts.clear()
-        state["linked"] = 0
-
-    def leave():
-        name, _, _, hides = stack.pop()
-        state["hidden"] -= hides
-        state["links"] -= name == "a"
-
-    def take(text: str):
-        if text and not state["hidden"]:
-            parts.append(text)
-            if state["links"]:
-                state["linked"] += len(text.strip())
-
-    at, number = 0, 0
-    end = len(page)
+            top = self.stack[-1] if self.stack else Element("br", 0, None, frozenset(), False)
+            self.blocks.append(Block(text, min(self.linked, len(text)), top.path, top.names, top.words))
+        self.parts.clear()
+        self.linked = 0
+
+    def take(self, text: str) -> None:
+        if text and not self.hidden:
+            self.parts.append(text)
+            if self.links:
+                self.linked += len(text.strip())
+
+    def leave(self, depth: int) -> None:
+        while len(self.stack) > depth:
+            gone = self.stack.pop()
+            self.hidden -= gone.hides
+            self.links -= gone.name == "a"
+
+    def open(self, name: str, attributes: str) -> None:
+        """Close what the element cannot stand in, then enter it."""
+        stack = self.stack
+        ends = CLOSED_BY.get(name, ()) if name not in IN_P else (*CLOSED_BY.get(name, ()), "p")
+        if ends:
+            for i in range(len(stack) - 1, -1, -1):
+                if stack[i].name in ends:
+                    self.leave(i)
+                    break
+                if stack[i].name in SCOPE:
+                    break
+        words, hides = frozenset(), name in HIDDEN
+        if attributes:
+            if "=" in attributes:
+                words = frozenset(w for g in _NAMED.findall(attributes) for w in _WORD.findall("".join(g).lower()))
+            hides = hides or bool(_HIDES.search(attributes))
+        self.number += 1
+        stack.append(Element(name, self.number, stack[-1] if stack else None, words, hides))
+        self.hidden += hides
+        self.links += name == "a"
+
+    def close(self, name: str) -> None:
+        """Leave the innermost element of the name; an inline end does not close the parts of a page."""
+        for i in range(len(self.stack) - 1, -1, -1):
+            if self.stack[i].name == name:
+                self.leave(i)
+                return
+            if name in INLINE and self.stack[i].name in SCOPE:
+                return
+
+
+def blocks_of(text: str) -> list[Block]:
+    """The visible text blocks of a page in order, white space as one space."""
+    page, at, end = Page(), 0, len(text)
     while at < end:
-        m = _MARKUP.search(page, at)
+        m = _MARKUP.search(text, at)
         if m is None:
-            take(page[at:])
+            page.take(text[at:])
             break
-        take(page[at : m.start()])
+        page.take(text[at : m.start()])
         at = m.end()
-        closing, name, attributes = m.groups()
+        closing, name, attributes = m.group(1, 2, 3) if m.group(2) else m.group(4, 5, 6)
         if name is None:
             if m.group().startswith("<![CDATA["):
-                take(m.group()[9:].removesuffix("]]>").replace("&", "&amp;"))
+                page.take(m.group()[9:].removesuffix("]]>").replace("&", "&amp;"))
             continue
         name = name.lower()
         if name not in INLINE:
-            flush()
+            page.flush()
         elif name == "br":
-            take(" ")
+            page.take(" ")
         if closing:
-            names = [e[0] for e in stack]
-            if name in names:
-                back = len(names) - 1 - names[::-1].index(name)
-                if name in INLINE and any(n in SCOPE for n in names[back:]):
-                    continue  # an inline end does not close the parts of a page
-                while len(stack) > back:
-                    leave()
-            continue
-        if name in IN_P and any(e[0] == "p" for e in stack):
-            back = max(i for i, e in enumerate(stack) if e[0] == "p")
-            if not any(e[0] in SCOPE for e in stack[back:]):
-                while len(stack) > back:
-                    leave()
-        if name in CLOSED_BY:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in CLOSED_BY[name]:
-                    while len(stack) > i:
-                        leave()
-                    break
-                if stack[i][0] in SCOPE:
-                    break
-        if name in VOID or m.group().endswith("/>") and name in INLINE:
-            continue
-        number += 1
-        words = frozenset(w for g in _NAMED.findall(attributes) for w in _WORD.findall("".join(g).lower())) if "=" in attributes else frozenset()
-        hides = name in HIDDEN or "hid" in attributes.lower() and bool(_HIDES.search(attributes)) or "none" in attributes and bool(_HIDES.search(attributes))
-        stack.append((name, number, words, hides))
-        state["hidden"] += hides
-        state["links"] += name == "a"
-        if name in RAW:
-            close = re.compile(rf"</{name}\s*>", re.I).search(page, at)
-            if name == "textarea" and not state["hidden"]:
-                take(page[at : close.start() if close else end])
-                flush()
-            at = close.end() if close else end
-            leave()
-    flush()
-    return out
-
-
-def seed(block: Block) -> int:
+            page.close(name)
+        elif name not in VOID and not (name in INLINE and attributes.endswith("/")):
+            page.open(name, attributes)
+            if name in RAW:  # no markup inside
+                over = re.compile(rf"</{name}\s*>", re.I).search(text, at)
+                page.take(text[at : over.start() if over else end])
+                page.flush()
+                at = over.end() if over else end
+                page.leave(len(page.stack) - 1)
+    page.flush()
+    return page.blocks
+
+
+def seed(names: tuple, words: frozenset) -> int:
     """1: in a part named as content, -1: in one named as something else, 0: neither."""
-    if any(n in BOILERPLATE and not (n == "header" and "article" in block.names[: i + 1]) for i, n in enumerate(block.names)) or block.words & NAMES:
+    if words & NAMES or any(n in BOILERPLATE and not (n == "header" and "article" in names[:i]) for i, n in enumerate(names)):
         return -1
-    return 1 if any(n in CONTENT for n in block.names) else 0
+    return 1 if any(n in CONTENT for n in names) else 0
+
+
+def _bucket(feature: str) -> int:
+    return zlib.crc32(feature.encode()) % FEATURES
+
+
+def _place_features(names: tuple, words: frozenset) -> list[int]:
+    """Of the elements a block stands in."""
+    return [_bucket(x) for x in (*(f"in {n}" for n in sorted(set(names))), *(f"as {w}" for w in sorted(words)), f"own {names[-1] if names else ''}")]
+
 
+def _text_features(block: Block, i: int, n: int) -> tuple:
+    """Of the text of block i of n."""
+    return len(block.text).bit_length(), 4 * block.linked // len(block.text), block.text[-1] in ".!?", 4 * i // n
 
-def _features(block: Block, i: int, n: int) -> list[int]:
-    share = block.linked / len(block.text)
-    names = [f"in {x}" for x in set(block.names)] + [f"as {x}" for x in block.words] + [f"own {block.names[-1] if block.names else ''}"]
-    names += ["bias", f"length {min(10, len(block.text).bit_length())}", f"links {int(share * 4)}", f"ends {block.text[-1] in '.!?'}", f"place {4 * i // n}"]
-    return [zlib.crc32(x.encode()) % FEATURES for x in names]
 
+def _text_buckets(features: tuple) -> list[int]:
+    length, links, ends, place = features
+    return [_bucket(x) for x in ("bias", f"length {min(10, length)}", f"links {links}", f"ends {ends}", f"place {place}")]
 
-def train(pages: list[str], steps: int = 12, seed_: int = 5) -> np.ndarray:
+
+def train(pages: list[str], visits: int = 100_000, seed_: int = 5) -> np.ndarray:
     """Logistic weights from the blocks whose part is named, each class with half the weight."""
     rows, y = [], []
     for page in pages:
         blocks = blocks_of(page or "")
         for i, b in enumerate(blocks):
-            s = seed(b)
+            s = seed(b.names, b.words)
             if s:
-                rows.append(_features(b, i, len(blocks)))
+                rows.append(_place_features(b.names, b.words) + _text_buckets(_text_features(b, i, len(blocks))))
                 y.append(s)
     weights = np.zeros(FEATURES)
     if len(set(y)) < 2:
@@ -176,14 +219,12 @@ def train(pages: list[str], steps: int = 12, seed_: int = 5) -> np.ndarray:
     y = np.array(y)
     weight = np.where(y > 0, 0.5 / (y > 0).mean(), 0.5 / (y < 0).mean())
     rng, squares = np.random.default_rng(seed_), np.full(FEATURES, 1e-6)
-    for _ in range(steps):
+    for _ in range(max(1, min(12, visits // len(rows)))):
         for i in rng.permutation(len(rows)):
             at = rows[i]
             g = -weight[i] * y[i] / (1 + np.exp(y[i] * weights[at].sum()))
             squares[at] += g * g
             weights[at] -= 0.1 * g / np.sqrt(squares[at])
-        if len(rows) > 20_000:
-            break
     return weights
 
 
@@ -243,10 +284,32 @@ def max_flow_side(terminal: list[float], edges: list[tuple[int, int, float]]) ->
     return side
 
 
-def content(blocks: list[Block], weights: np.ndarray, strength: float = 1.0, named: float = 12.0) -> list[bool]:
-    """Labels by minimum cut. ``named`` is added to the cost against the part a block stands in."""
+class Costs:
+    """What a block's label costs, remembered by the elements it stands in and by the look of its text."""
+
+    def __init__(self, weights: np.ndarray, named: float = 12.0):
+        self.weights, self.named = weights, named
+        self.places: dict[tuple, tuple[float, float]] = {}
+        self.looks: dict[tuple, float] = {}
+
+    def __call__(self, block: Block, i: int, n: int) -> float:
+        """The cost of calling it boilerplate, less that of calling it content."""
+        key = (block.names, block.words)
+        if key not in self.places:
+            if len(self.places) > 50_000:
+                self.places.clear()
+            self.places[key] = (float(self.weights[_place_features(*key)].sum()), self.named * seed(*key))
+        look = _text_features(block, i, n)
+        if look not in self.looks:
+            self.looks[look] = float(self.weights[_text_buckets(look)].sum())
+        place, fixed = self.places[key]
+        return max(-6.0, min(6.0, place + self.looks[look])) + fixed
+
+
+def content(blocks: list[Block], costs: Costs, strength: float = 1.0) -> list[bool]:
+    """Labels by minimum cut."""
     n = len(blocks)
-    terminal = [float(np.clip(weights[_features(b, i, n)].sum(), -6, 6)) + named * seed(b) for i, b in enumerate(blocks)]
+    terminal = [costs(b, i, n) for i, b in enumerate(blocks)]
     edges = []
     for i in range(n - 1):
         a, b = blocks[i].path, blocks[i + 1].path
@@ -273,16 +336,18 @@ def fit(pages: DataFrame, max_pages: int = 500, id_col: str = "page_id", html_co
 def main_text(html: Column, weights: np.ndarray) -> Column:
     """struct(text, n_blocks, n_content): the article's blocks, one on each line."""
 
-    def extract(page: str | None) -> tuple[str, int, int]:
+    def extract(page: str | None, costs: Costs) -> tuple[str, int, int]:
         blocks = blocks_of(page) if page else []
-        own = [b.text for b, keep in zip(blocks, content(blocks, weights)) if keep]
+        own = [b.text for b, keep in zip(blocks, content(blocks, costs)) if keep]
         return "\n".join(own), len(blocks), len(own)
 
     kinds = {"text": pa.string(), "n_blocks": pa.int32(), "n_content": pa.int32()}
 
     def work():
+        costs = Costs(weights)
+
         def do(pages: pa.Array) -> pa.Array:
-            columns = zip(*[extract(p) for p in pages.to_pylist()])
+            columns = zip(*[extract(p, costs) for p in pages.to_pylist()])
             return struct_array(**{n: pa.array(c, type=t) for (n, t), c in zip(kinds.items(), columns)})
 
         return do
