@@ -74,7 +74,7 @@ RULES = [
 RESTRICTED = ["All-Rights-Reserved", "CC-BY-NC-4.0"]
 COPYLEFT = ["CC-BY-SA-4.0", "GPL-2.0", "GPL-3.0", "MPL-2.0"]
 #: Every known sentence has one of these words, so a text without them is not cut up.
-ANCHORS = ["licen", "permi", "copyright", "warrant", "redistribut", "rights", "free", "compliance", "cc"]
+ANCHORS = ["licen", "permission", "copyright", "warrant", "redistribut", "rights", "software"]
 
 
 def sentences(text: Column) -> Column:
@@ -90,24 +90,39 @@ def identifiers(text: Column, known: dict[str, str]) -> Column:
     return F.filter(F.transform(sentences(text), lambda s: table[s]), lambda x: x.isNotNull())
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def held(ids: Column, rules: Sequence[tuple[str, Sequence[str]]]) -> Column:
     """The licenses with a rule that occurs in the identifiers as an unbroken sequence; null entries for the others."""
     line = F.concat(F.lit(","), F.array_join(ids, ","), F.lit(","))
-    return F.array(*[F.when(F.contains(line, F.lit("," + ",".join(rule) + ",")), F.lit(name)) for name, rule in rules])
+    return _let(line, lambda x: F.array(*[F.when(F.contains(x, F.lit("," + ",".join(rule) + ",")), F.lit(name)) for name, rule in rules]))
 
 
 def scan(text: Column, sentence_table: dict[str, Sequence[str]] = SENTENCES, rules: Sequence[tuple[str, Sequence[str]]] = RULES, anchors: Sequence[str] = ANCHORS) -> Column:
     """struct(sentences, licenses): identifiers found, by lines, and licenses in alphabetical order."""
     known = {s: name for name, texts in sentence_table.items() for s in texts}
-    lower = F.lower(text)
-    may = F.lit(False)
-    for word in anchors:
-        may |= F.contains(lower, F.lit(word))
-    by_line = identifiers(text, known)
-    joined = identifiers(F.regexp_replace(text, r"([^\n])\n(?=[^\n])", "$1 "), known)
+    joined = F.regexp_replace(text, r"([^\n])\n(?=[^\n])", "$1 ")
+    both = F.struct(identifiers(text, known).alias("lines"), identifiers(joined, known).alias("joined"))
+
+    def result(ids: Column) -> Column:
+        found = F.concat(held(ids["lines"], rules), held(ids["joined"], rules))
+        return F.struct(ids["lines"].alias("sentences"), F.array_sort(F.array_compact(F.array_distinct(found))).alias("licenses"))
+
     nothing = F.array().cast("array<string>")
-    found = F.array_sort(F.array_compact(F.array_distinct(F.concat(held(by_line, rules), held(joined, rules)))))
-    return F.struct(F.when(may, by_line).otherwise(nothing).alias("sentences"), F.when(may, found).otherwise(nothing).alias("licenses"))
+    return F.when(_has_any(text, anchors), _let(both, result)).otherwise(F.struct(nothing.alias("sentences"), nothing.alias("licenses")))
+
+
+def _has_any(text: Column, anchors: Sequence[str]) -> Column:
+    def one(lower: Column) -> Column:
+        out = F.lit(False)
+        for word in anchors:
+            out |= F.contains(lower, F.lit(word))
+        return out
+
+    return F.coalesce(_let(F.lower(text), one), F.lit(False))
 
 
 def terms(licenses: Column) -> Column:

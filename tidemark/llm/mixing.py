@@ -32,7 +32,16 @@ FEATURES = 1 << 14
 
 
 def words(text: Column) -> Column:
-    return F.filter(F.split(F.coalesce(text, F.lit("")), " "), lambda w: w != "")
+    """What stands between single spaces. Empty words, which double spaces make, are one more feature."""
+    return F.split(F.coalesce(text, F.lit("")), " ")
+
+
+def n_words(text: Column) -> Column:
+    """How many words, empty ones not counted; without parting the text where no two spaces meet."""
+    text = F.coalesce(text, F.lit(""))
+    odd = (text == "") | F.contains(text, F.lit("  ")) | F.startswith(text, F.lit(" ")) | F.endswith(text, F.lit(" "))
+    counted = F.size(F.filter(words(text), lambda w: w != ""))
+    return F.when(odd, counted).otherwise(F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit(""))) + 1).cast("double")
 
 
 class Domains:
@@ -46,9 +55,9 @@ class Domains:
         counted = docs.withColumn("__words", words(F.col(text_col)))
         if self.model is None:
             p = F.array(*[F.lit(1.0) for _ in self.names]) if self.names else F.array().cast("array<double>")
-            return counted.withColumn("__tokens", F.size("__words").cast("double")).withColumn("__p", p).drop("__words")
+            return counted.withColumn("__tokens", n_words(F.col(text_col))).withColumn("__p", p).drop("__words")
         scored = self.model.transform(counted)
-        return scored.withColumn("__tokens", F.size("__words").cast("double")).withColumn("__p", vector_to_array("__probability")).drop(
+        return scored.withColumn("__tokens", n_words(F.col(text_col))).withColumn("__p", vector_to_array("__probability")).drop(
             "__words", "__counts", "__features", "__raw", "__probability", "__prediction"
         )
 
