@@ -5,8 +5,8 @@ to a label are kept by support and confidence, and only if no rule on fewer of t
 sure. An inverted index from token to rule finds the rules a URL holds in full. All in DataFrame operations.
 
 Edge cases: a null URL, or one without ``://``, has an empty host and path, no tokens, no rule and
-the default verdict. Without labels or mined rules the fixed rules and the default decide. Of mined rules that
-match, the surest decides; ties go to larger support, then to ``block``. Equal URLs are judged once.
+the default verdict. Without labels or mined rules the fixed rules and the default decide. Rules are mined for
+verdicts other than the default; of those that match, the surest decides, ties go to larger support, then to ``block``. Equal URLs are judged once.
 """
 
 from collections.abc import Sequence
@@ -55,24 +55,25 @@ def fitting_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -
 
 
 def tokens(url: Column) -> Column:
-    """What a URL is made of: host labels, its last two labels, words in them, path segments and query names.
-
-    Digits become one ``0``, so that numbered pages share a token.
+    """What a URL is made of: its domain (the last two labels), the other host labels, the words of those
+    that have several, path segments and query names. Digits become one ``0``, so that numbered pages share a token.
     """
     h, p = host(url), path(url)
-    labels = F.filter(F.split(h, r"\."), lambda x: x != "")
-    prefixed = lambda parts, mark: F.transform(parts, lambda x: F.concat(F.lit(mark), F.regexp_replace(x, "[0-9]+", "0")))
-    words = F.filter(F.split(h, r"[^a-z0-9]+"), lambda x: x != "")
+    marked = lambda parts, mark: F.transform(parts, lambda x: F.concat(F.lit(mark), F.regexp_replace(x, "[0-9]+", "0")))
+    domain = F.substring_index(h, ".", -2)
+    above = F.when(h != domain, F.substr(h, F.lit(1), F.length(h) - F.length(domain) - 1)).otherwise("")
+    labels = F.filter(F.split(above, r"\."), lambda x: x != "")
+    several = F.filter(labels, lambda x: F.rlike(x, F.lit("[a-z0-9][^a-z0-9]+[a-z0-9]")))
+    words = F.filter(F.split(F.array_join(several, "."), "[^a-z0-9]+"), lambda x: x != "")
     segments = F.filter(F.split(F.translate(p, UPPER, LOWER), "/"), lambda x: x != "")
     names = F.regexp_extract_all(_rest(url), F.lit(r"[?&]([^=&#]+)"), 1)
-    domain = F.array(F.concat(F.lit("domain:"), F.substring_index(h, ".", -2)))
-    scheme = F.array(F.concat(F.lit("scheme:"), F.translate(F.substring_index(url, "://", 1), UPPER, LOWER)))
-    all_of = F.concat(prefixed(labels, "label:"), prefixed(words, "word:"), prefixed(segments, "path:"), prefixed(names, "query:"), domain, scheme)
-    return F.when((F.instr(url, "://") > 0) & (h != ""), F.array_distinct(all_of))
+    scheme = F.concat(F.lit("scheme:"), F.translate(F.substring_index(url, "://", 1), UPPER, LOWER))
+    sets = [marked(labels, "label:"), marked(words, "word:"), marked(segments, "path:"), marked(names, "query:")]
+    return F.when((F.instr(url, "://") > 0) & (h != ""), F.array_distinct(F.concat(F.array(F.concat(F.lit("domain:"), domain), scheme), *sets)))
 
 
-def mine(labelled: DataFrame, min_support: float = 0.002, min_count: int = 20, min_confidence: float = 0.8) -> DataFrame:
-    """(rule_id, tokens, verdict, confidence, support) from rows of (url, verdict).
+def mine(labelled: DataFrame, min_support: float = 0.003, min_count: int = 20, min_confidence: float = 0.8, default: str = "allow") -> DataFrame:
+    """(rule_id, tokens, verdict, confidence, support) from rows of (url, verdict), for verdicts other than the default.
 
     A combination counts if ``min_support`` of the labelled URLs and ``min_count`` of them hold it with its
     verdict. Support bounds the table: URLs have few tokens, so few sets can be that frequent.
@@ -82,7 +83,7 @@ def mine(labelled: DataFrame, min_support: float = 0.002, min_count: int = 20, m
     baskets = settle(
         labelled.select(tokens(F.col("url")).alias("items"), "verdict")
         .filter("items IS NOT NULL AND verdict IS NOT NULL")
-        .select(F.array_append("items", F.concat(F.lit(LABEL), "verdict")).alias("items"))
+        .select(F.when(F.col("verdict") == default, F.col("items")).otherwise(F.array_append("items", F.concat(F.lit(LABEL), "verdict"))).alias("items"))
     )
     n = baskets.count()
     if n < min_count:
