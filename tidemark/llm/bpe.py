@@ -19,13 +19,16 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm.common import give_back
+
 #: Bytes of text in a block, if no single text is longer.
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 12 << 20
 #: Words of documents in one packed row, if no single text has more.
 ROW_WORDS = 100_000
 _PACKED = "key string, block long, part int, docs binary, positions binary, words binary, slots binary"
@@ -116,6 +119,8 @@ def _split(buckets: int):
                 size += len(text)
         if positions:
             yield out()
+        del keys, positions, slots
+        give_back()
 
     return run
 
@@ -133,10 +138,10 @@ def _encode(tokenizer_json: str):
         tokenizer = _word_tokenizer(tokenizer_json)
         part = None
         for batch in batches:
-            rows = batch.to_pylist()
+            of_words = pc.is_valid(batch.column("words"))
+            yield batch.filter(pc.invert(of_words))  # documents pass
+            rows = batch.filter(of_words).to_pylist()
             for row in rows:
-                if row["words"] is None:  # documents pass
-                    continue
                 if row["part"] != part:  # rows come by bucket
                     known: dict[bytes, int] = {}
                     ids, lengths = [], []
@@ -154,6 +159,8 @@ def _encode(tokenizer_json: str):
                 parts = _pack(lengths[0][own]), _pack(ids[0][_spread(starts[own], lengths[0][own])])
                 row["words"] = b"".join(len(x).to_bytes(4, "little") + x for x in parts)
             yield pa.RecordBatch.from_pylist(rows, schema=batch.schema)
+        del tokenizer
+        give_back()
 
     return run
 
@@ -214,6 +221,8 @@ def _assemble(pieces: list[str]):
                 else:
                     words = words or Words(slots, coded)
                     yield results(row, words)
+        del slots, coded, words
+        give_back()
 
     return run
 

@@ -1,5 +1,7 @@
 """What the text operators share: Arrow columns over whole texts, and the hold-out rule."""
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -21,6 +23,15 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(ARROW_ROWS))
 
 
+def give_back() -> None:
+    """Return freed memory to the system. Spark keeps a Python worker for later tasks, and with it what it holds."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def slices(texts: pa.Array) -> Iterator[pa.Array]:
     """Consecutive parts of a string array of about SLICE_BYTES; a longer text is a part of its own."""
     lengths = pc.fill_null(pc.binary_length(texts), 0)
@@ -47,6 +58,8 @@ def text_column(work: Callable[[], Callable[[pa.Array], pa.Array]], schema: str,
         for batch in batches:
             parts = [do(part) for part in slices(batch)]
             yield pa.concat_arrays(parts) if parts else pa.array([], type=arrow_type)
+        del do
+        give_back()
 
     return F.arrow_udf(run, schema)
 
