@@ -145,10 +145,11 @@ def test_read_only_view(spark, table):
         with pytest.raises(ValueError):
             view.run_sql(spark, text)
     many = spark.range(50)
-    assert view.limited(many, 3, order_by=["id"]).count() == 10
+    assert view.limited(many, 3, order_by=["id"]).count() == 3
+    assert view.limited(many).count() == view.run_sql(spark, "SELECT * FROM range(50)").count() == 50
+    assert view.run_sql(spark, "SELECT 'please drop food' AS t, `id` AS `update` FROM range(9) -- delete", limit=5).count() == 5
     assert view.limited(many, 20).first()["total_rows"] == 50
     assert view.limited(many.filter("id < 0")).count() == 0
-    assert view.bounded_limit(10**6) == 10_000
 
 
 def test_filters(table):

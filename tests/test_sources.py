@@ -55,7 +55,7 @@ def test_csv_quotes_blanks_and_spaces(spark, put):
 
 @pytest.mark.parametrize(
     "path, fmt",
-    [("a.csv", "csv"), ("A.JSON", "json"), ("a.jsonl", "json"), ("d/a.json.gz", "json"), ("a.pq", "parquet"), ("a.parquet/", "parquet"), ("a", "csv")],
+    [("a.csv", "csv"), ("A.JSON", "json"), ("a.jsonl", "json"), ("d/a.json.gz", "json"), ("a.pq", "parquet"), ("a.parquet/", "parquet"), ("a", None), ("a.txt", None)],
 )
 def test_format_by_extension(path, fmt):
     assert readers.format_of(path) == fmt
@@ -126,12 +126,14 @@ def test_null_structs_stay_null(spark):
 def test_merge_types():
     merge = shaping.merge_types
     struct = StructType.fromDDL
-    assert merge(struct("a int, b string"), struct("b bigint, c string")) == struct("a int, b bigint, c string")
+    assert merge(struct("a int, b string"), struct("b bigint, c string")) == struct("a int, b string, c string")
     assert merge(struct("a struct<x:int>"), struct("a struct<y:int>")) == struct("a struct<x:int,y:int>")
     assert merge(ArrayType(struct("a int")), ArrayType(struct("b int"))) == ArrayType(struct("a int, b int"))
-    assert merge(StringType(), struct("a int")) == struct("a int")
+    assert merge(StringType(), struct("a int")) == StringType()
     assert merge(struct("a int"), StringType()) == StringType()
-    assert merge(ArrayType(StringType()), struct("a int")) == struct("a int")
+    assert merge(ArrayType(StringType()), struct("a int")) == StringType()
+    for one, two, both in [("int", "bigint", "bigint"), ("double", "int", "double"), ("date", "timestamp", "timestamp"), ("int", "decimal(10,2)", "decimal(22,2)"), ("map<string,int>", "map<string,bigint>", "map<string,bigint>")]:
+        assert merge(struct(f"x {one}"), struct(f"x {two}")) == merge(struct(f"x {two}"), struct(f"x {one}")) == struct(f"x {both}")
 
 
 def test_drift_becomes_one_table(spark, put):
@@ -140,13 +142,9 @@ def test_drift_becomes_one_table(spark, put):
     united = shaping.evolve_union([one, two]).orderBy("id").collect()
     assert [(r["id"], r["place"], r["only"]) for r in united] == [(1, '{"name":"x"}', True), (2, "plain", None)]
     back = shaping.evolve_union([two, one]).orderBy("id").collect()
-    assert [(r["id"], r["place"]) for r in back] == [(1, ("x",)), (2, None)]
-
-
-def test_schema_depth():
-    depth = lambda ddl: shaping.schema_depth(StructType.fromDDL(ddl))
-    assert depth("a int") == 2
-    assert depth("a struct<b:array<struct<c:int>>>") == 5
+    assert [(r["id"], r["place"]) for r in back] == [(1, '{"name":"x"}'), (2, "plain")]
+    many = shaping.evolve_union([spark.sql("SELECT map('a', 1) AS m, 5000000000 AS n"), spark.sql("SELECT map('b', 1.5D) AS m, 1 AS n")])
+    assert {(tuple(r["m"].items()), r["n"]) for r in many.collect()} == {((("a", 1.0),), 5000000000), ((("b", 1.5),), 1)}
 
 
 def test_flatten_keeps_arrays(spark):

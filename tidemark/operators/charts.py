@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
 from tidemark.functions import fixed_values as fixed
+from tidemark.ml.features import number
 
 HEAT_FUNCTIONS = {"mean": F.avg, "sum": F.sum, "max": F.max, "count": F.count}
 
@@ -83,10 +84,8 @@ def heat_matrix(df: DataFrame, x: str, y: str, z: str, x_values: list, *, agg: s
 
 def few_values(df: DataFrame, column: str, *, most: int = fixed.CROSSTAB_MAX_VALUES) -> list | None:
     """The distinct values of a column in order, or ``None`` when there are more than ``most``."""
-    found = df.select(column).distinct().limit(most + 1).collect()
-    if len(found) > most:
-        return None
-    return sorted((row[0] for row in found if row[0] is not None))
+    found = df.select(column).dropna().distinct().limit(most + 1).collect()
+    return sorted(row[0] for row in found) if len(found) <= most else None
 
 
 def crosstab(df: DataFrame, x: str, y: str, x_values: list) -> DataFrame:
@@ -102,9 +101,22 @@ def bin_of(value: Column, low: Column, high: Column, bins: int) -> Column:
     return F.when(width > 0, F.least(inner, F.lit(bins - 1))).otherwise(F.lit(0))
 
 
+_MEASURED = (NumericType, DateType, TimestampType, TimestampNTZType)
+
+
 def density(df: DataFrame, x: str, y: str, *, bins: int = fixed.DENSITY_BINS) -> DataFrame:
-    """Rows per cell of a bins x bins grid over the range of both columns."""
-    pairs = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna()
+    """Rows per cell over both columns: numbers and points in time in equal bins of their range, counted from 0,
+    other values each by itself."""
+    plain = [name for name in (x, y) if not isinstance(df.schema[name].dataType, _MEASURED)]
+    measured = {name: number(F.col(name), df.schema[name].dataType) for name in {x, y} - {*plain}}
+    if plain:
+        rows = df.dropna(subset=[x, y])
+        edges = [f(c).alias(f"{part}_{name}") for name, c in measured.items() for part, f in (("low", F.min), ("high", F.max))]
+        edge = rows.agg(F.struct(*edges).alias("edge")).scalar() if edges else None
+        cell = {name: bin_of(c, edge[f"low_{name}"], edge[f"high_{name}"], bins) for name, c in measured.items()}
+        cell |= {name: F.col(name) for name in plain}
+        return rows.groupBy(cell[x].alias("x_bin"), cell[y].alias("y_bin")).agg(F.count(F.lit(1)).alias("n"))
+    pairs = df.select(measured[x].alias("x"), measured[y].alias("y")).dropna()
     edges = F.struct(
         F.min("x").alias("x_low"), F.max("x").alias("x_high"), F.min("y").alias("y_low"), F.max("y").alias("y_high")
     )
@@ -118,6 +130,7 @@ def heat_map(df: DataFrame, x: str, y: str, z: str | None = None, *, agg: str =
     """Cells of z, else the crosstab when both sides have few values, else the density."""
     if z is not None:
         return heat_cells(df, x, y, z, agg=agg)
+    df = df.dropna(subset=[x, y])
     x_values, y_values = few_values(df, x), few_values(df, y)
     if x_values is not None and y_values is not None:
         return crosstab(df, x, y, x_values)

@@ -257,7 +257,7 @@ def keyword_posts(
     text = text_of(ORIGINAL, text_fields)
     return (
         posts.filter(F.col(ORIGINAL).isNotNull())
-        .filter(text.rlike(any_case("|".join(keywords))))
+        .filter(text.rlike(any_case("|".join(rf"\Q{word}\E" for word in keywords))))
         .withColumn("KeywordTrovate", found_keywords(text, keywords))
     )
 

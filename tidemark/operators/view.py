@@ -16,37 +16,48 @@ def register(df: DataFrame, name: str = fixed.DEFAULT_VIEW) -> DataFrame:
     return df
 
 
+# Text, quoted names and comments: what stands in them is data, not a keyword.
+_QUOTED = re.compile(r"""'(?:\\.|[^'\\])*'|"(?:\\.|[^"\\])*"|`[^`]*`|--[^\n]*|/\*.*?\*/""", re.S)
+
+
+def keywords(text: str) -> list[str]:
+    """The bare words of a statement in upper case, in order."""
+    return re.findall(r"\w+", _QUOTED.sub(" ", text).upper())
+
+
 def check_read_only(text: str) -> None:
     """Raise ``ValueError`` unless ``text`` is a reading statement without a writing keyword."""
-    statement = text.strip().upper()
-    if not statement:
-        raise ValueError("the query is empty")
-    if not statement.startswith(fixed.SQL_FIRST_WORDS):
-        raise ValueError(f"a query must start with one of {', '.join(fixed.SQL_FIRST_WORDS)}")
-    found = set(fixed.SQL_REJECTED_WORDS).intersection(re.split(r"[\s(),;]+", statement))
-    if found:
-        raise ValueError(f"not allowed in a query: {', '.join(sorted(found))}")
+    match keywords(text):
+        case []:
+            raise ValueError("the query is empty")
+        case [first, *_] if first not in fixed.SQL_FIRST_WORDS:
+            raise ValueError(f"a query must start with one of {', '.join(fixed.SQL_FIRST_WORDS)}")
+        case words if writing := sorted({*words} & {*fixed.SQL_REJECTED_WORDS}):
+            raise ValueError(f"not allowed in a query: {', '.join(writing)}")
 
 
-def bounded_limit(limit: int) -> int:
-    return max(fixed.LIMIT_LEAST, min(fixed.LIMIT_LARGEST, limit))
+def _cut(df: DataFrame, limit: int | None) -> DataFrame:
+    if limit is None:
+        return df
+    if limit < 0:
+        raise ValueError("a limit must not be negative")
+    return df.limit(limit)
 
 
-def run_sql(spark: SparkSession, text: str, limit: int | None = fixed.LIMIT_DEFAULT) -> DataFrame:
-    """Run a reading statement. The limit becomes part of the plan; ``None`` returns every row."""
+def run_sql(spark: SparkSession, text: str, limit: int | None = None) -> DataFrame:
+    """Run a reading statement: the whole result, or as many rows as a given limit says."""
     check_read_only(text)
-    result = spark.sql(text)
-    return result if limit is None else result.limit(bounded_limit(limit))
+    return _cut(spark.sql(text), limit)
 
 
-def limited(df: DataFrame, limit: int = fixed.LIMIT_DEFAULT, order_by: list | None = None) -> DataFrame:
-    """The first rows of a result, each with the size of the whole as ``total_rows``.
+def limited(df: DataFrame, limit: int | None = None, order_by: list | None = None) -> DataFrame:
+    """The first ``limit`` rows of a result (all without one), each with the size of the whole as ``total_rows``.
 
     With ``order_by`` the cut is a distributed top-k. An empty result gives an empty frame.
     """
     total = df.agg(F.count(F.lit(1))).scalar()
     chosen = df.orderBy(*order_by) if order_by else df
-    return chosen.limit(bounded_limit(limit)).withColumn("total_rows", total)
+    return _cut(chosen, limit).withColumn("total_rows", total)
 
 
 def describe(spark: SparkSession, name: str = fixed.DEFAULT_VIEW) -> DataFrame:

@@ -138,3 +138,34 @@ def c8(spark, sf_dir):
 )
 def c9(spark, sf_dir):
     return charts.heat_map(table(spark, sf_dir, "lineitem"), "l_extendedprice", "l_partkey")
+
+
+@checked(
+    "c9b_density_date_text",
+    """
+    WITH o AS (SELECT date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS date)) AS d, o_orderpriority AS p FROM orders),
+    e AS (SELECT CAST(min(d) AS double) AS d0, CAST(max(d) AS double) AS d1 FROM o)
+    SELECT CAST(least(floor((d - d0) / ((d1 - d0) / 50)), 49) AS integer) AS x_bin, p AS y_bin, count(*) AS n FROM o, e GROUP BY 1, 2
+    """,
+)
+def c9b(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").withColumn("day", F.col("o_orderdate").cast("date"))
+    return charts.heat_map(orders, "day", "o_orderpriority")
+
+
+@checked(
+    "c8b_crosstab_with_nulls",
+    """
+    SELECT n AS c_nationkey, """
+    + ", ".join(f"count(*) FILTER (s = '{s}') AS \"{s}\"" for s in ("AUTOMOBILE", "BUILDING", "HOUSEHOLD", "MACHINERY"))
+    + """ FROM (SELECT CASE WHEN c_nationkey > 2 THEN c_nationkey END AS n, nullif(c_mktsegment, 'FURNITURE') AS s FROM customer)
+    WHERE n IS NOT NULL AND s IS NOT NULL GROUP BY n
+    """,
+)
+def c8b(spark, sf_dir):
+    """Rows without one of the values count nowhere."""
+    holed = table(spark, sf_dir, "customer").select(
+        F.when(F.col("c_nationkey") > 2, F.col("c_nationkey")).alias("c_nationkey"),
+        F.nullif(F.col("c_mktsegment"), F.lit("FURNITURE")).alias("c_mktsegment"),
+    )
+    return charts.heat_map(holed, "c_mktsegment", "c_nationkey")

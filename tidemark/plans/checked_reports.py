@@ -49,6 +49,18 @@ def q0(spark, sf_dir):
     )
 
 
+@checked("q0b_unlimited_sql", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
+def q0b(spark, sf_dir):
+    view.register(spark.read.parquet(f"{sf_dir}/lineitem.parquet"), "lines_of_orders")
+    return view.run_sql(spark, "SELECT l_orderkey, l_linenumber, l_quantity FROM lines_of_orders")
+
+
+@checked("q0c_literal_words", "SELECT event_type, 'please drop food' AS said, count(*) AS n FROM events GROUP BY 1, 2")
+def q0c(spark, sf_dir):
+    view.register(spark.read.parquet(f"{sf_dir}/events.parquet"), "all_events")
+    return view.run_sql(spark, "SELECT event_type, 'please drop food' AS said, count(*) AS n FROM all_events GROUP BY 1, 2 -- delete")
+
+
 @checked(
     "q1_bot_candidates",
     with_posts(

@@ -262,7 +262,7 @@ def s13(spark, sf_dir):
 )
 def s14(spark, sf_dir):
     target = StructType.fromDDL("event_id bigint, user_id string, event_type string, note string")
-    return readers.load_many(spark, _mixed_files(spark, sf_dir), target).drop("source_file")
+    return readers.load_many(spark, _mixed_files(spark, sf_dir), target).drop("source_file", readers.CORRUPT)
 
 
 @checked("s15_parquet_sink", "SELECT event_id, event_type FROM events")
@@ -521,3 +521,100 @@ def s27(spark, sf_dir):
 def s28(spark, sf_dir):
     path = written(post_lines(spark, sf_dir), "text", "posts.jsonl")
     return json_paths.path_depth(json_paths.path_types(json_paths.read_lines(spark, path)))
+
+
+@checked("s2c_reordered_csv", "SELECT event_id, user_id, event_type, value, CAST(NULL AS varchar) AS note FROM events")
+def s2c(spark, sf_dir):
+    """The columns of the file stand in another order than those of the schema, one is missing, one is not wanted."""
+    path = written(events(spark, sf_dir).select("value", "props", "event_type", "user_id", "event_id"), "csv", "turned.csv", header=True, escape='"')
+    schema = StructType.fromDDL("event_id bigint, user_id bigint, event_type string, value double, note string")
+    return readers.read_csv(spark, path, schema).drop(readers.CORRUPT)
+
+
+@checked("s5b_folder_input", EVENTS_SQL)
+def s5b(spark, sf_dir):
+    """One folder whose name tells no format, with files of three."""
+    base, rows, kind = scratch_path(spark, "folder"), events(spark, sf_dir), F.col("event_type")
+    rows.filter(kind.isin("view", "click")).write.json(f"{base}/one")
+    rows.filter(kind == "error").write.csv(f"{base}/two/deeper", header=True, escape='"')
+    rows.filter(~kind.isin("view", "click", "error")).write.parquet(f"{base}/three")
+    return readers.read_any(spark, [base], EVENT_SCHEMA).drop(readers.CORRUPT)
+
+
+@checked("s10c_clean_input", "SELECT count(*) AS records, CAST(0 AS bigint) AS corrupt_records, count(*) AS filled_records, CAST(0 AS double) AS corrupt_share FROM events")
+def s10c(spark, sf_dir):
+    clean = readers.read_json(spark, written(events(spark, sf_dir), "json", "clean.jsonl"))
+    assert readers.corrupt_examples(clean).count() == 0
+    return readers.corrupt_report(clean)
+
+
+@checked("s10d_all_corrupt", "SELECT '{\"event_id\": ' || event_id AS example FROM events ORDER BY 1 LIMIT 3")
+def s10d(spark, sf_dir):
+    line = F.concat(F.lit('{"event_id": '), F.col("event_id")).alias("value")
+    broken = readers.read_json(spark, written(events(spark, sf_dir).select(line), "text", "broken.jsonl"))
+    return readers.corrupt_examples(broken)
+
+
+@checked(
+    "s13b_nested_sources",
+    """
+    SELECT event_id, CASE event_type WHEN 'view' THEN 'p+q %1' WHEN 'click' THEN 'inner' ELSE 'outer' END AS source_file,
+      CAST(CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 3 ELSE 2 END AS integer) AS source_id
+    FROM events
+    """,
+)
+def s13b(spark, sf_dir):
+    """A name with a plus, a space and a percent sign; an input inside another; files in folders below."""
+    base, rows, kind = scratch_path(spark, "nested"), events(spark, sf_dir).select("event_id", "event_type"), F.col("event_type")
+    inputs = [f"{base}/p+q %1", f"{base}/outer", f"{base}/outer/inner"]
+    rows.filter(kind == "view").write.json(inputs[0])
+    rows.filter(~kind.isin("view", "click")).write.json(f"{inputs[1]}/day=1")
+    rows.filter(kind == "click").write.json(inputs[2])
+    schema = StructType.fromDDL("event_id bigint")
+    raw = spark.read.schema(schema).option("recursiveFileLookup", True).json(inputs[:2])
+    return readers.with_provenance(raw, inputs)
+
+
+@checked(
+    "s14b_corrupt_kept",
+    """
+    SELECT CASE WHEN event_type <> 'error' THEN event_id END AS event_id,
+      CASE WHEN event_type = 'error' THEN '{"event_id": ' || event_id END AS _corrupt_record
+    FROM events
+    """,
+)
+def s14b(spark, sf_dir):
+    whole = F.concat(F.lit('{"event_id": '), F.col("event_id"), F.when(F.col("event_type") == "error", "").otherwise("}"))
+    path = written(events(spark, sf_dir).select(whole.alias("value")), "text", "some.jsonl")
+    return readers.load_many(spark, [path], StructType.fromDDL("event_id bigint")).drop("source_file", "source_id")
+
+
+@checked(
+    "s20b_deep_paths",
+    """
+    SELECT array_to_string(['f' || i for i in range(1, n + 1)], '.') AS path, CASE WHEN n = 15 THEN 'int' ELSE 'dict' END AS types
+    FROM range(1, 16) t(n) WHERE (SELECT count(*) FROM events) > 0
+    """,
+)
+def s20b(spark, sf_dir):
+    """Objects fifteen levels deep."""
+    opening = "".join(f'{{"f{i}": ' for i in range(1, 16))
+    lines = events(spark, sf_dir).select(F.concat(F.lit(opening), F.col("event_id"), F.lit("}" * 15)).alias("value"))
+    return json_paths.path_types(lines)
+
+
+@checked(
+    "s27b_widened_union",
+    """
+    SELECT event_id AS n, value AS x, user_id % 3 AS m FROM events
+    UNION ALL SELECT user_id % 100, CAST(user_id % 7 AS double), value FROM events
+    """,
+)
+def s27b(spark, sf_dir):
+    """Whole numbers of two widths, fractions with whole numbers, maps of two kinds of value, in both orders."""
+    rows = events(spark, sf_dir)
+    small = (F.col("user_id") % 100).cast("int"), (F.col("user_id") % 7).cast("int"), (F.col("user_id") % 3).cast("int")
+    one = rows.select(F.col("event_id").alias("n"), F.col("value").alias("x"), F.create_map(F.lit("k"), small[2]).alias("m"))
+    two = rows.select(small[0].alias("n"), small[1].alias("x"), F.create_map(F.lit("k"), "value").alias("m"))
+    assert shaping.evolve_union([one, two]).schema == shaping.evolve_union([two, one]).schema
+    return shaping.evolve_union([one, two]).withColumn("m", F.col("m")["k"])

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.session import settle
 from tidemark.functions import fixed_values as fixed
 
 ROOT = "root"
@@ -52,7 +53,27 @@ def _without_values(level: str, *, deepest: bool) -> Column:
     return F.transform(level, shown)
 
 
-def typed_paths(lines: DataFrame, *, line: str = "value", by: Sequence[str] = (), max_depth: int = 10) -> DataFrame:
+#: Levels of objects that the first pass looks at.
+FIRST_DEPTH = 10
+
+
+def typed_paths(lines: DataFrame, *, line: str = "value", by: Sequence[str] = (), max_depth: int | None = None) -> DataFrame:
+    """Per path (and ``by``) and type the number of records that have it, down to the deepest object.
+
+    The levels looked at double until no object is left below them; records this deep are rare, so one pass is
+    the rule. A given ``max_depth`` stops there, and ``unexpanded`` counts the objects left.
+    """
+    if max_depth is not None:
+        return _levels(lines, line, by, max_depth)
+    depth = FIRST_DEPTH
+    while True:
+        found = settle(_levels(lines, line, by, depth))
+        if not found.filter("unexpanded > 0").take(1):
+            return found
+        depth *= 2
+
+
+def _levels(lines: DataFrame, line: str, by: Sequence[str], max_depth: int) -> DataFrame:
     """Per path (and ``by``) and type the number of records that have it.
 
     One scan: the levels of a record are arrays, exploded together, and only counts are shuffled.
@@ -74,7 +95,7 @@ def typed_paths(lines: DataFrame, *, line: str = "value", by: Sequence[str] = ()
     )
 
 
-def path_types(lines: DataFrame, *, line: str = "value", max_depth: int = 10) -> DataFrame:
+def path_types(lines: DataFrame, *, line: str = "value", max_depth: int | None = None) -> DataFrame:
     """Every path with its set of types, as 'NoneType, str'."""
     return (
         typed_paths(lines, line=line, max_depth=max_depth)

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.functions import fixed_values as fixed
 from tidemark.sources.shaping import coerce
@@ -73,7 +73,11 @@ def read_json(spark: SparkSession, paths: Paths, schema: StructType | None = Non
 
     Give a schema for large inputs: without one Spark reads everything once more to infer it.
     """
-    return tolerant_reader(spark, "json", schema).json(_paths(paths))
+    df = tolerant_reader(spark, "json", schema).json(_paths(paths))
+    if df.columns != [CORRUPT]:
+        return df
+    # No line is readable: Spark has no column to scan beside the corrupt one, but the lines are at hand.
+    return spark.read.text(_paths(paths)).filter(F.trim("value") != "").select(F.col("value").alias(CORRUPT))
 
 
 def spread_gzip(df: DataFrame, tasks: int | None = None) -> DataFrame:
@@ -85,7 +89,22 @@ def spread_gzip(df: DataFrame, tasks: int | None = None) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, paths: Paths, schema: StructType | None = None) -> DataFrame:
-    return tolerant_reader(spark, "csv", schema).csv(_paths(paths))
+    """CSV with a header. The columns of a schema are found by their names in the header of each input;
+    a folder has the header of its first file. Lines that do not fit come back in ``_corrupt_record``."""
+    if schema is None:
+        return tolerant_reader(spark, "csv").csv(_paths(paths))
+    wanted = {f.name: f for f in schema.fields}
+    parts = []
+    for path in _paths(paths):
+        header = tolerant_reader(spark, "csv").option("inferSchema", False).csv(path).columns
+        stands = StructType([wanted.get(name, StructField(name, StringType())) for name in header])
+        found = tolerant_reader(spark, "csv", stands).csv(path)
+        missing = {name: F.lit(None).cast(f.dataType) for name, f in wanted.items() if name not in header}
+        parts.append(found.withColumns(missing).select(*[F.col(f"`{name}`") for name in (*wanted, CORRUPT)]))
+    first, *rest = parts
+    for other in rest:
+        first = first.unionByName(other)
+    return first
 
 
 def read_parquet(spark: SparkSession, paths: Paths, *, merge: bool = True) -> DataFrame:
@@ -93,10 +112,29 @@ def read_parquet(spark: SparkSession, paths: Paths, *, merge: bool = True) -> Da
     return spark.read.option("mergeSchema", merge).parquet(*_paths(paths))
 
 
-def format_of(path: str) -> str:
-    """Format by extension (a final ``.gz`` is passed over); CSV when unknown."""
-    name = path.rstrip("/").lower().removesuffix(".gz")
-    return FORMATS.get(name.rsplit(".", 1)[-1], "csv")
+def format_of(path: str) -> str | None:
+    """Format by extension (a final ``.gz`` is passed over), ``None`` when it has no known one."""
+    name = path.rstrip("/").rsplit("/", 1)[-1].lower().removesuffix(".gz")
+    return FORMATS.get(name.rpartition(".")[2]) if "." in name else None
+
+
+def by_format(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
+    """The inputs by their format. An input whose name tells none is a folder, and each file below it
+    counts; a file of unknown format raises."""
+    found: dict[str, list[str]] = {}
+    for path in paths:
+        fmt = format_of(path)
+        if fmt is not None:
+            found.setdefault(fmt, []).append(path)
+            continue
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
+        files = sorted(row["path"] for row in listed.collect())
+        unknown = [name for name in files if format_of(name) is None]
+        if unknown or not files:
+            raise ValueError(f"no known format: {(unknown or [path])[0]}")
+        for name in files:
+            found.setdefault(format_of(name), []).append(name)
+    return found
 
 
 def read_as(spark: SparkSession, fmt: str, paths: Paths, schema: StructType | None = None) -> DataFrame:
@@ -104,6 +142,8 @@ def read_as(spark: SparkSession, fmt: str, paths: Paths, schema: StructType | No
     if fmt == "parquet":
         df = read_parquet(spark, paths)
         return df if schema is None else coerce(df, schema)
+    if fmt == "csv":
+        return read_csv(spark, paths, schema)
     return tolerant_reader(spark, fmt, schema).format(fmt).load(_paths(paths))
 
 
@@ -116,10 +156,8 @@ def read_by_name(spark: SparkSession, fmt: str, paths: Paths, schema: StructType
 
 def read_any(spark: SparkSession, paths: Sequence[str], schema: StructType | None = None) -> DataFrame:
     """Files of mixed formats as one table; one scan per format, columns united by name."""
-    by_format: dict[str, list[str]] = {}
-    for path in paths:
-        by_format.setdefault(format_of(path), []).append(path)
-    first, *rest = [read_by_name(spark, fmt, group, schema) for fmt, group in sorted(by_format.items())]
+    groups = sorted(by_format(spark, paths).items())
+    first, *rest = [spread_gzip(read_by_name(spark, fmt, group, schema)) for fmt, group in groups]
     for other in rest:
         first = first.unionByName(other, allowMissingColumns=True)
     return first
@@ -184,8 +222,8 @@ def corrupt_report(df: DataFrame) -> DataFrame:
     """
     data = [F.col(f"`{name}`") for name in df.columns if name != CORRUPT]
     broken = F.col(CORRUPT).isNotNull() if CORRUPT in df.columns else F.lit(False)
-    any_value = data[0].isNotNull()
-    for column in data[1:]:
+    any_value = F.lit(False)
+    for column in data:
         any_value = any_value | column.isNotNull()
     return df.agg(
         F.count(F.lit(1)).alias("records"),
@@ -196,11 +234,13 @@ def corrupt_report(df: DataFrame) -> DataFrame:
 
 def corrupt_examples(df: DataFrame, n: int = 3) -> DataFrame:
     """A few unreadable records, the first in text order."""
-    first = next(name for name in df.columns if name != CORRUPT)
+    if CORRUPT not in df.columns:
+        return df.sparkSession.createDataFrame([], "example string")
+    others = [name for name in df.columns if name != CORRUPT][:1]
     return (
-        df.select(CORRUPT, first)
+        df.select(CORRUPT, *others)
         .filter(F.col(CORRUPT).isNotNull())
-        .orderBy(CORRUPT, first)  # Spark refuses to scan raw files for the corrupt column alone
+        .orderBy(CORRUPT, *others)  # Spark refuses to scan raw files for the corrupt column alone
         .limit(n)
         .select(F.col(CORRUPT).alias("example"))
     )
@@ -214,44 +254,40 @@ def _bare(path):
 def with_provenance(df: DataFrame, inputs: Sequence[str]) -> DataFrame:
     """Add ``source_file`` and the 1-based ``source_id`` of the input (file or folder) of each row.
 
-    Must come right after the read. The list of inputs is small; Spark picks the join by its size.
+    Must come right after the read. A file counts for the longest input that holds it. The list of inputs is small
+    and becomes part of the expression.
     """
-    spark = df.sparkSession
-    listed = [(_bare(path), _bare(path).rsplit("/", 1)[-1], i) for i, path in enumerate(inputs, 1)]
-    known = spark.createDataFrame(listed, "input string, source_file string, source_id int")
-    file_path = F.regexp_replace(F.url_decode("_metadata.file_path"), r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?(?=/)", "")
-    located = df.withColumn("__file", file_path).withColumn("__folder", F.regexp_replace("__file", "/[^/]*$", ""))
-    files = known.select(
-        F.col("input").alias("__file"), F.struct("source_file", "source_id").alias("__by_file")
-    )
-    folders = known.select(
-        F.col("input").alias("__folder"), F.struct("source_file", "source_id").alias("__by_folder")
-    )
-    source = F.coalesce("__by_file", "__by_folder")
+    plus_kept = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    file_path = F.regexp_replace(plus_kept, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?(?=/)", "")
+    listed = sorted(((_bare(path), i) for i, path in enumerate(inputs, 1)), key=lambda x: (-len(x[0]), x[1]))
+    source = F.lit(None).cast("struct<source_file:string,source_id:int>")
+    for path, i in reversed(listed):  # the longest input that the file is, or lies below
+        here = (F.col("__file") == path) | F.startswith("__file", F.lit(path + "/"))
+        named = F.struct(F.lit(path.rsplit("/", 1)[-1]).alias("source_file"), F.lit(i).alias("source_id"))
+        source = F.when(here, named).otherwise(source)
     return (
-        located.join(files, "__file", "left")
-        .join(folders, "__folder", "left")
-        .withColumn("source_file", source["source_file"])
-        .withColumn("source_id", source["source_id"])
-        .drop("__file", "__folder", "__by_file", "__by_folder")
+        df.withColumn("__file", file_path)
+        .withColumn("__source", source)
+        .withColumns({"source_file": F.col("__source.source_file"), "source_id": F.col("__source.source_id")})
+        .drop("__file", "__source")
     )
 
 
 def load_many(spark: SparkSession, inputs: Sequence[str], target: StructType) -> DataFrame:
-    """Many files of any format as one table in the target schema, with provenance."""
-    by_format: dict[str, list[str]] = {}
-    for path in inputs:
-        by_format.setdefault(format_of(path), []).append(path)
+    """Many files of any format as one table in the target schema, with provenance. Lines that cannot be read
+    keep their text in ``_corrupt_record``."""
     parts = []
-    for fmt, group in sorted(by_format.items()):
+    for fmt, group in sorted(by_format(spark, inputs).items()):
         if fmt == "parquet":
             raw = read_parquet(spark, group)
         elif fmt == "json":
             raw = read_json(spark, group, target)
         else:
             raw = tolerant_reader(spark, "csv").option("inferSchema", False).csv(group)
-        located = with_provenance(raw, inputs)
-        parts.append(coerce(located, target, keep=("source_file", "source_id")))
+        located = spread_gzip(with_provenance(raw, inputs))
+        if CORRUPT not in located.columns:
+            located = located.withColumn(CORRUPT, F.lit(None).cast("string"))
+        parts.append(coerce(located, target, keep=("source_file", "source_id", CORRUPT)))
     first, *rest = parts
     for other in rest:
         first = first.unionByName(other)

@@ -7,7 +7,10 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    ArrayType, ByteType, DataType, DateType, DecimalType, DoubleType, FractionalType, IntegerType, LongType, MapType,
+    NullType, NumericType, ShortType, StringType, StructField, StructType, TimestampType,
+)
 
 from tidemark.functions import fixed_values as fixed
 
@@ -47,6 +50,11 @@ def conform(value: Column, have: DataType, want: DataType) -> Column:
         return F.when(value.isNotNull(), F.struct(*fields))
     if isinstance(have, ArrayType) and isinstance(want, ArrayType):
         return F.transform(value, lambda item: conform(item, have.elementType, want.elementType))
+    if isinstance(have, MapType) and isinstance(want, MapType):
+        entry = lambda e: F.struct(
+            conform(e["key"], have.keyType, want.keyType).alias("key"), conform(e["value"], have.valueType, want.valueType).alias("value")
+        )
+        return F.map_from_entries(F.transform(F.map_entries(value), entry))
     if isinstance(have, StringType) and isinstance(want, _NESTED):
         opening = r"^\s*\[" if isinstance(want, ArrayType) else r"^\s*\{"
         return F.when(value.rlike(opening) & F.try_parse_json(value).isNotNull(), F.from_json(value, want))
@@ -73,24 +81,52 @@ def coerce(df: DataFrame, target: StructType, *, keep: Sequence[str] = ()) -> Da
 normalize = coerce
 
 
+# Whole numbers by width; a wider one holds the narrower.
+_WHOLE = (ByteType, ShortType, IntegerType, LongType)
+
+
+def _common_simple(first: DataType, second: DataType) -> DataType:
+    """The narrowest simple type that holds the values of both; text if only that does."""
+    both = (first, second)
+    if any(isinstance(t, NullType) for t in both):
+        return second if isinstance(first, NullType) else first
+    if all(isinstance(t, _WHOLE) for t in both):
+        return max(both, key=lambda t: _WHOLE.index(type(t)))
+    if all(isinstance(t, NumericType) for t in both):
+        if any(isinstance(t, FractionalType) and not isinstance(t, DecimalType) for t in both):
+            return DoubleType()
+        digits = [(t.precision, t.scale) if isinstance(t, DecimalType) else (20, 0) for t in both]
+        scale, whole = max(s for _, s in digits), max(p - s for p, s in digits)
+        return DecimalType(min(38, whole + scale), min(scale, 38 - whole)) if whole <= 38 else StringType()
+    if all(isinstance(t, (DateType, TimestampType)) for t in both):
+        return TimestampType()
+    return StringType()
+
+
 def merge_types(first: DataType, second: DataType) -> DataType:
-    """The union of two types: structs field by field, arrays by element, otherwise the second."""
-    if isinstance(first, StructType) and isinstance(second, StructType):
-        later = {f.name: f for f in second.fields}
-        united = [
-            StructField(f.name, merge_types(f.dataType, later[f.name].dataType) if f.name in later else f.dataType)
-            for f in first.fields
-        ]
-        known = set(first.fieldNames())
-        added = [StructField(f.name, f.dataType) for f in second.fields if f.name not in known]
-        return StructType(united + added)
-    if isinstance(first, ArrayType) and isinstance(second, ArrayType):
+    """A type that takes the values of both without loss. What has no closer common type becomes text,
+    nested values as JSON."""
+    if first == second:
+        return first
+    kinds = {type(first), type(second)}
+    if kinds == {StructType}:
+        every = {f.name: f.dataType for f in first.fields}
+        for f in second.fields:
+            every[f.name] = merge_types(every[f.name], f.dataType) if f.name in every else f.dataType
+        return StructType([StructField(name, kind) for name, kind in every.items()])
+    if kinds == {ArrayType}:
         return ArrayType(merge_types(first.elementType, second.elementType))
-    return second
+    if kinds == {MapType}:
+        return MapType(merge_types(first.keyType, second.keyType), merge_types(first.valueType, second.valueType))
+    if NullType in kinds:
+        return second if isinstance(first, NullType) else first
+    if kinds & {*_NESTED}:
+        return StringType()
+    return _common_simple(first, second)
 
 
 def evolve_union(frames: Sequence[DataFrame]) -> DataFrame:
-    """Tables of differing nested schemas as one table in the merged schema."""
+    """Tables of differing nested schemas as one table; types are widened so that no value is lost."""
     schema = frames[0].schema
     for df in frames[1:]:
         schema = merge_types(schema, df.schema)
@@ -100,15 +136,6 @@ def evolve_union(frames: Sequence[DataFrame]) -> DataFrame:
     return first
 
 
-def schema_depth(node: DataType, level: int = 1) -> int:
-    """Levels of nesting of a type: each struct and each array adds one."""
-    if isinstance(node, StructType):
-        return max([schema_depth(f.dataType, level + 1) for f in node.fields], default=level)
-    if isinstance(node, ArrayType):
-        return schema_depth(node.elementType, level + 1)
-    return level
-
-
 def _without(df: DataFrame, column: str, names: Sequence[str]) -> DataFrame:
     """``df`` with fields dropped from a struct column; a NULL struct stays NULL."""
     if column not in df.columns or not isinstance(df.schema[column].dataType, StructType):
