@@ -183,6 +183,28 @@ def test_volume_peaks_across_stretches(spark, table, monkeypatch):
     assert sorted(found.collect()) == sorted(short.collect())
 
 
+def test_a_burst_after_silence_is_a_peak(table):
+    start = datetime.datetime(2017, 8, 26)
+    rows = []
+    for minute, n in [(0, 1), (1, 1), (2, 1), (242, 30)]:
+        when = (start + datetime.timedelta(minutes=minute)).strftime("%a %b %d %H:%M:%S +0000 %Y")
+        rows += [post(f"{minute}-{i}", when=when) for i in range(n)]
+    found = filters.volume_peaks(table(*rows), bucket_seconds=60, history=60).filter("is_peak").collect()
+    assert [(r["bucket"], r["z_score"]) for r in found] == [(start + datetime.timedelta(minutes=242), None)]
+
+
+def test_stored_posts_are_pruned_by_day(spark, table, tmp_path):
+    from tidemark.sources import sinks
+
+    rows = [post(str(i), when=f"Sat Aug {26 + i} 10:00:00 +0000 2017") for i in range(4)] + [post("9", when="broken")]
+    sinks.save_posts(table(*rows), str(tmp_path / "posts"))
+    stored = spark.read.parquet(str(tmp_path / "posts"))
+    found = filters.by_time(stored, start="2017-08-27T00:00:00Z", end="2017-08-28T10:00:00Z")
+    assert [r["id_str"] for r in found.collect()] == ["1"] and stored.count() == 5
+    plan = found._jdf.queryExecution().toString()
+    assert "day" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
 def test_reports_read_only_the_fields_they_need(spark, table, tmp_path):
     table(post(of=original())).write.parquet(str(tmp_path / "posts"))
     stored = spark.read.parquet(str(tmp_path / "posts"))

@@ -70,6 +70,11 @@ def ratio(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part.cast("double") / whole.cast("double"))
 
 
+def utc_day(when: Column) -> Column:
+    """The date of a point in time in UTC, whatever the session's time zone."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(when) / 86_400).cast("int"))
+
+
 def found_keywords(text: Column, keywords: Sequence[str]) -> Column:
     """The keywords contained in ``text``, comma separated, in the order given."""
     lowered = F.lower(text)

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from tidemark.operators import filters, reports, view
 from tidemark.plans.posts import posts, table, with_posts
 from tidemark.plans.registry import checked
+from tidemark.session import scratch_path
+from tidemark.sources import sinks
 
 TEXTS = ("full_text", "extended_tweet.full_text", "text")
 WORDS_LOOKED_FOR = "the|les|und|que"
@@ -319,6 +321,32 @@ def t2(spark, sf_dir):
     return found.select("id_str", "created_at")
 
 
+@checked(
+    "t2b_by_time_pruned",
+    with_posts(
+        """
+        SELECT id_str, created_at FROM posts
+        WHERE strptime(created_at, '%a %b %d %H:%M:%S +0000 %Y') >= TIMESTAMP '2024-01-03 06:00:00'
+          AND strptime(created_at, '%a %b %d %H:%M:%S +0000 %Y') < TIMESTAMP '2024-01-09 18:30:00'
+        """
+    ),
+)
+def t2b(spark, sf_dir):
+    """As t2, on posts stored by day."""
+    folder = scratch_path(spark, "posts_by_day")
+    sinks.save_posts(posts(spark, sf_dir), folder)
+    stored = spark.read.parquet(folder)
+    return filters.by_time(stored, start="2024-01-03T06:00:00+00:00", end="2024-01-09T18:30:00+00:00").select("id_str", "created_at")
+
+
+@checked(
+    "t3c_by_hashtag",
+    with_posts("SELECT id_str, lang FROM posts WHERE regexp_matches(lower(body), '(^|\\s)#on([^\\p{L}\\p{N}_]|$)')"),
+)
+def t3c(spark, sf_dir):
+    return filters.by_hashtag(posts(spark, sf_dir), ["#ON"]).select("id_str", "lang")
+
+
 @checked(
     "t3_by_keyword",
     with_posts(
@@ -381,12 +409,15 @@ def t4b(spark, sf_dir):
         , hours AS (
           SELECT date_trunc('hour', strptime(created_at, '%a %b %d %H:%M:%S +0000 %Y')) AS h, count(*) AS n
           FROM posts GROUP BY 1),
+        sums AS (
+          SELECT h, n, least(24, date_diff('hour', min(h) OVER (), h)) AS k, coalesce(sum(n) OVER w, 0) AS s, coalesce(sum(n * n) OVER w, 0) AS q
+          FROM hours WINDOW w AS (ORDER BY h RANGE BETWEEN INTERVAL 24 HOUR PRECEDING AND INTERVAL 1 HOUR PRECEDING)),
         stats AS (
-          SELECT h, n, avg(n) OVER w AS m, stddev_samp(n) OVER w AS s FROM hours
-          WINDOW w AS (ORDER BY h RANGE BETWEEN INTERVAL 24 HOUR PRECEDING AND INTERVAL 1 HOUR PRECEDING))
-        SELECT strftime(h, '%Y-%m-%d %H:%M') AS bucket, n AS volume,
-          CASE WHEN s > 0 THEN round((n - m) / s, 6) END AS z_score,
-          coalesce(s > 0 AND (n - m) / s >= 2.0, false) AS is_peak
+          SELECT h, n, k, s, k * q - s * s AS spread,
+            CASE WHEN k > 1 AND k * q - s * s > 0 THEN (n - s / k) / sqrt((k * q - s * s) / (k * (k - 1))) END AS z
+          FROM sums)
+        SELECT strftime(h, '%Y-%m-%d %H:%M') AS bucket, n AS volume, round(z, 6) AS z_score,
+          coalesce(z >= 2.0, false) OR (k > 1 AND spread = 0 AND n * k > s) AS is_peak
         FROM stats
         """
     ),
