@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 #: Bytes of text that an operator works on at a time inside a task.
 SLICE_BYTES = 4 << 20
 #: Rows in an Arrow batch between Spark and Python: bounds the memory of a task with long texts.
-ARROW_ROWS = 1000
+ARROW_ROWS = 256
 
 
 def bounded_batches(spark: SparkSession) -> None:
