@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from tidemark.llm.common import give_back
 
 #: Bytes of text in a block, if no single text is longer.
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 20 << 20
 #: Words of documents in one packed row, if no single text has more.
 ROW_WORDS = 25_000
 _PACKED = "key string, block long, part int, docs binary, positions binary, words binary, slots binary"
