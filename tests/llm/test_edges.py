@@ -67,6 +67,25 @@ def test_bpe(spark, docs):
         bpe.encode_decode(docs.withColumn("ids", F.lit(1)), path, keep=["ids"])
 
 
+def test_bpe_equal_blocks(spark):
+    """Partitions of the same rows make blocks of the same name, words and slots."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    t = Tokenizer.from_file(path)
+    same = spark.createDataFrame([(None, "the river, the unforeseeable river")] * 40, "doc_id long, text string")
+    rows = bpe.encode_decode(same, path).collect()
+    ids = t.encode("the river, the unforeseeable river", add_special_tokens=False).ids
+    assert len(rows) == 40
+    assert all(np.frombuffer(r.ids, dtype="<u4").tolist() == ids and r.doc_id is None for r in rows)
+    assert {r.decoded for r in rows} == {t.decode(ids, skip_special_tokens=False)}
+
+
+def test_bpe_raises_when_texts_change_between_reads(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    changing = spark.range(20).select(F.col("id").alias("doc_id"), F.expr("reflect('java.util.UUID', 'randomUUID')").alias("text"))
+    with pytest.raises(Exception, match="changed between two reads"):
+        bpe.encode_decode(changing, path).collect()
+
+
 PAGE = (
     "<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body><header><h2>Site</h2></header><nav><ul><li><a href='/a'>A</a><li><a href='/b'>B</a></ul></nav>"
     "<div class='cookie-notice'>We use cookies.</div><article><h1>Head &amp; line</h1><p>One <b>bold</b> &lt;tag&gt;\n  text.<p title='a > b'>Two&nbsp;x<br>y</p>"
