@@ -328,9 +328,13 @@ def content(blocks: list[Block], costs: Costs, strength: float = 1.0) -> list[bo
 
 
 def fit(pages: DataFrame, max_pages: int = 500, id_col: str = "page_id", html_col: str = "html") -> np.ndarray:
-    """Train on at most ``max_pages`` pages, picked by a hash of the id; they go to the driver."""
+    """Train on at most ``max_pages`` pages, picked by a hash of the id; they go to the driver. Ids are picked
+    without their pages, so that tasks send no pages that others displace."""
     rows = pages.filter(F.col(html_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(html_col).alias("html"))
-    return train([r.html for r in rows.orderBy(F.xxhash64("id"), "id").limit(max_pages).collect()])
+    order = [F.xxhash64("id"), F.col("id")]
+    ids = rows.select(F.col("id").alias("chosen")).orderBy(F.xxhash64("chosen"), "chosen").limit(max_pages)
+    few = rows.join(ids, F.col("id").eqNullSafe(F.col("chosen")), "left_semi")
+    return train([r.html for r in few.orderBy(*order, F.xxhash64("html")).limit(max_pages).collect()])
 
 
 def main_text(html: Column, weights: np.ndarray) -> Column:
