@@ -254,3 +254,24 @@ def test_pipeline_stages(spark):
         assert stage(spark, docs.limit(0), sf).count() == 0
     final = corpus_pipeline.run(spark, sf)
     assert final.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and final.count() > 100
+
+
+def test_pipeline_near_copies(spark):
+    import corpus_pipeline
+
+    rng = np.random.default_rng(3)
+    words = lambda n: [f"w{x}" for x in rng.integers(0, 10**6, n)]
+    put = lambda text, at, new: text[:at] + new + text[at + len(new) :]
+    rows, groups = [], 0
+    for i in range(40):
+        text = words(60)  # 56 shingles; one other word leaves 51 of 61, two leave 46 of 66
+        rows += [(100 + i, text), (200 + i, put(text, 20, ["x"])), (300 + i, put(put(text, 20, ["y"]), 40, ["y"]))]
+        groups += 2
+    chain = words(400)
+    for i in range(60):  # a group whose ends are not alike themselves
+        rows.append((1000 + i, put(chain, 6 * i, ["z"] * 6) if i else chain))
+    rows += [(5000, words(30)), (5000, words(30)), (5001, ["a"]), (5002, ["A"]), (5003, []), (5004, [])]
+    docs = spark.createDataFrame([(i, " ".join(t), "s") for i, t in rows], "doc_id long, text string, source string")
+    out = corpus_pipeline.near_duplicates(spark, docs, "")
+    kept = sorted(r.doc_id for r in out.collect())
+    assert kept == sorted([*range(100, 140), *range(300, 340), 1000, 5000, 5000, 5001, 5003])
