@@ -102,6 +102,16 @@ def test_html(spark):
     assert rows[5].out.text == "\n".join(["para"] * 5000)
 
 
+def test_html_hidden_by_attributes_only():
+    shown = ['style="overflow:hidden"', 'class="overflow-hidden"', 'title="Hidden costs"', "data-x='aria-hidden=true'", "data-hidden", 'hidden="false"', 'title="display:none"', 'aria-hidden="false"', "title='a > hidden'", 'style="x-display:none"']
+    hidden = ["hidden", "HIDDEN", 'hidden=""', "hidden=until-found", 'aria-hidden="true"', "aria-hidden = 'true'", 'style="color:red; display : none"', "style=display:none", 'class="a"hidden']
+    texts = lambda attribute, name: [b.text for b in html.blocks_of(f"<{name} {attribute}><p>own</p></{name}>")]
+    assert all(texts(a, name) == ["own"] for a in shown for name in ("body", "div"))
+    assert all(texts(a, name) == [] for a in hidden for name in ("body", "div"))
+    assert html.blocks_of('<p><a href="/hidden-gems">gems</a></p>')[0].text == "gems"
+    assert html.blocks_of('<div data-class="ad" class="x">a</div>')[0].words == {"x"}
+
+
 def test_min_cut_against_all_labellings():
     rng = np.random.default_rng(3)
     for _ in range(200):

@@ -51,12 +51,22 @@ _MARKUP = re.compile(
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^<>\"']++|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)>",
     re.S,
 )
-_NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_HIDES = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?false)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_MAY_HIDE = re.compile(r"hidden|display", re.I)
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 _WORD = re.compile(r"[a-z]+")
+NAMING = frozenset(["class", "id", "role"])
 FEATURES = 1 << 12
 
 
+def _hides(name: str, value: str) -> bool:
+    """Whether an attribute says that its element is not shown."""
+    value = value.strip().lower()
+    if name == "hidden":
+        return value != "false"
+    return (name == "aria-hidden" and value == "true") or (name == "style" and _NO_DISPLAY.search(value) is not None)
+
+
 @dataclass
 class Block:
     text: str
@@ -125,9 +135,9 @@ class Page:
                     break
         words, hides = frozenset(), name in HIDDEN
         if attributes:
-            if "=" in attributes:
-                words = frozenset(w for g in _NAMED.findall(attributes) for w in _WORD.findall("".join(g).lower()))
-            hides = hides or bool(_HIDES.search(attributes))
+            listed = [(n.lower(), a or b or c) for n, a, b, c in _ATTRIBUTE.findall(attributes)]
+            words = frozenset(w for n, value in listed if n in NAMING for w in _WORD.findall(value.lower()))
+            hides = hides or (_MAY_HIDE.search(attributes) is not None and any(_hides(*x) for x in listed))
         self.number += 1
         stack.append(Element(name, self.number, stack[-1] if stack else None, words, hides))
         self.hidden += hides
