@@ -112,6 +112,26 @@ def test_html_hidden_by_attributes_only():
     assert html.blocks_of('<div data-class="ad" class="x">a</div>')[0].words == {"x"}
 
 
+def test_html_costs_and_cut_decide():
+    weights = np.zeros(html.FEATURES)
+    page = html.blocks_of("<div><p>a</p><aside>x</aside><p>b</p></div>")
+    assert html.Costs(weights)(page[1], 1, 3) == 0
+    weights[html._bucket("own p")], weights[html._bucket("own aside")] = 2, -0.4  # doubtful: its neighbours decide
+    assert html.content(page, html.Costs(weights)) == [True, True, True]
+    weights[html._bucket("own aside")] = -4
+    assert html.content(page, html.Costs(weights)) == [True, False, True]
+
+
+def test_html_names_around_an_article():
+    site = '<body class="x"><nav><a href=a>Home</a></nav><div class="sidebar">Read <a href=b>more</a></div><article><h1>Head</h1><p>One long line.</p><div class="share">Tell</div></article><footer>Legal</footer>'
+    weights = html.train([site] * 50)
+    for body, wrap in (("has-sidebar search", "page"), ("x", "share sidebar"), ("form", "legal notice")):
+        page = f'<html class="copyright"><body class="{body}"><div class="{wrap}"><nav><a href=a>Home</a></nav><article class="comment form"><h1>Head</h1><p>One long line.</p><div class="share">Tell</div></article></div><div class="sidebar">Read <a href=b>more</a></div><footer>Legal</footer>'
+        blocks = html.blocks_of(page)
+        kept = html.content(blocks, html.Costs(weights))
+        assert [b.text for b, keep in zip(blocks, kept) if keep] == ["Head", "One long line."]
+
+
 def test_min_cut_against_all_labellings():
     rng = np.random.default_rng(3)
     for _ in range(200):

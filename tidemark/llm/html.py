@@ -6,8 +6,10 @@ edges whose capacity falls with their distance in the page and in the element tr
 labels all blocks together, so a doubtful block follows its neighbours.
 
 The classifier learns from pages that name their parts: blocks in ``article`` or ``main`` are content, blocks
-in menus, headers, footers, sidebars, notices, adverts, forms and comments are not. Its features (names of
-elements, classes and ids, links, length, position) also hold on pages without such elements.
+in menus, headers, footers, sidebars, notices, adverts, forms and comments are not. These names only give
+training labels; in a page, costs and cut alone decide. Names around an article, and classes of ``html`` and ``body``,
+say nothing against it. The features (names of elements, classes and ids, links, length, position) also hold on
+pages without such elements.
 
 Edge cases: a null, empty or text-free page gives the empty text. Broken markup is read as far as it goes: an open
 tag ends with its parent, text outside any element is a block. Nothing is cut or capped. A result
@@ -34,6 +36,9 @@ RAW = frozenset("script style textarea title noscript template iframe noembed no
 HIDDEN = frozenset("script style template noscript iframe noembed noframes head title svg math object audio video canvas select option datalist".split())
 BOILERPLATE = frozenset("nav header footer aside form button menu dialog fieldset textarea".split())
 CONTENT = frozenset(["article", "main"])
+ROOTS = frozenset(["html", "body"])
+#: An article inside one of these may be a teaser: it is no training label.
+DOUBTFUL = frozenset(["nav", "footer", "aside", "menu", "dialog"])
 CLOSED_BY = {"li": {"li"}, "p": {"p"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 IN_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 SCOPE = frozenset("article aside body div footer header main nav section table ul ol form".split())
@@ -74,20 +79,25 @@ class Block:
     path: tuple  # numbers of the elements it stands in
     names: tuple  # of these elements
     words: frozenset  # of their classes, ids and roles
+    around: frozenset = frozenset()  # those of NAMES that stand on the innermost article or around it only
 
 
 class Element:
     """An open element, with what it and those around it say about their text."""
 
-    __slots__ = ("name", "hides", "path", "names", "words")
+    __slots__ = ("name", "hides", "path", "names", "words", "around")
 
     def __init__(self, name: str, number: int, around: "Element | None", words: frozenset, hides: bool):
         self.name, self.hides = name, hides
-        path, names, others = (around.path, around.names, around.words) if around else ((), (), frozenset())
+        path, names, others, outer = (around.path, around.names, around.words, around.around) if around else ((), (), frozenset(), frozenset())
         block = name not in INLINE
         self.path = (*path, number) if block else path
         self.names = (*names, name) if block else names
-        self.words = others | words if words else others
+        self.words = others | words if words and name not in ROOTS else others
+        self.around = outer
+        if name in CONTENT:  # what has been said so far is not about what follows
+            self.around = outer | (self.words & NAMES)
+            self.words = self.words - NAMES
 
 
 class Page:
@@ -106,7 +116,7 @@ class Page:
         text = " ".join((unescape(text) if "&" in text else text).split())
         if text:
             top = self.stack[-1] if self.stack else Element("br", 0, None, frozenset(), False)
-            self.blocks.append(Block(text, min(self.linked, len(text)), top.path, top.names, top.words))
+            self.blocks.append(Block(text, min(self.linked, len(text)), top.path, top.names, top.words, top.around))
         self.parts.clear()
         self.linked = 0
 
@@ -188,19 +198,22 @@ def blocks_of(text: str) -> list[Block]:
 
 
 def seed(names: tuple, words: frozenset) -> int:
-    """1: in a part named as content, -1: in one named as something else, 0: neither."""
-    if words & NAMES or any(n in BOILERPLATE and not (n == "header" and "article" in names[:i]) for i, n in enumerate(names)):
+    """A training label. 1: in a part named as content, -1: in one named as something else, 0: neither. The names
+    inside the innermost article count; ``words`` has none of those around it."""
+    inside = max((i + 1 for i, n in enumerate(names) if n in CONTENT), default=0)
+    if words & NAMES or any(n in BOILERPLATE and not (n == "header" and "article" in names[:inside]) for n in names[inside:]):
         return -1
-    return 1 if any(n in CONTENT for n in names) else 0
+    return 1 if inside and not DOUBTFUL.intersection(names[:inside]) else 0
 
 
 def _bucket(feature: str) -> int:
     return zlib.crc32(feature.encode()) % FEATURES
 
 
-def _place_features(names: tuple, words: frozenset) -> list[int]:
+def _place_features(names: tuple, words: frozenset, around: frozenset = frozenset()) -> list[int]:
     """Of the elements a block stands in."""
-    return [_bucket(x) for x in (*(f"in {n}" for n in sorted(set(names))), *(f"as {w}" for w in sorted(words)), f"own {names[-1] if names else ''}")]
+    said = (*(f"as {w}" for w in sorted(words)), *(f"around {w}" for w in sorted(around)))
+    return [_bucket(x) for x in (*(f"in {n}" for n in sorted(set(names))), *said, f"own {names[-1] if names else ''}")]
 
 
 def _text_features(block: Block, i: int, n: int) -> tuple:
@@ -221,7 +234,7 @@ def train(pages: list[str], visits: int = 100_000, seed_: int = 5) -> np.ndarray
         for i, b in enumerate(blocks):
             s = seed(b.names, b.words)
             if s:
-                rows.append(_place_features(b.names, b.words) + _text_buckets(_text_features(b, i, len(blocks))))
+                rows.append(_place_features(b.names, b.words, b.around) + _text_buckets(_text_features(b, i, len(blocks))))
                 y.append(s)
     weights = np.zeros(FEATURES)
     if len(set(y)) < 2:
@@ -297,23 +310,22 @@ def max_flow_side(terminal: list[float], edges: list[tuple[int, int, float]]) ->
 class Costs:
     """What a block's label costs, remembered by the elements it stands in and by the look of its text."""
 
-    def __init__(self, weights: np.ndarray, named: float = 12.0):
-        self.weights, self.named = weights, named
-        self.places: dict[tuple, tuple[float, float]] = {}
+    def __init__(self, weights: np.ndarray):
+        self.weights = weights
+        self.places: dict[tuple, float] = {}
         self.looks: dict[tuple, float] = {}
 
     def __call__(self, block: Block, i: int, n: int) -> float:
         """The cost of calling it boilerplate, less that of calling it content."""
-        key = (block.names, block.words)
+        key = (block.names, block.words, block.around)
         if key not in self.places:
             if len(self.places) > 50_000:
                 self.places.clear()
-            self.places[key] = (float(self.weights[_place_features(*key)].sum()), self.named * seed(*key))
+            self.places[key] = float(self.weights[_place_features(*key)].sum())
         look = _text_features(block, i, n)
         if look not in self.looks:
             self.looks[look] = float(self.weights[_text_buckets(look)].sum())
-        place, fixed = self.places[key]
-        return max(-6.0, min(6.0, place + self.looks[look])) + fixed
+        return max(-6.0, min(6.0, self.places[key] + self.looks[look]))
 
 
 def content(blocks: list[Block], costs: Costs, strength: float = 1.0) -> list[bool]:
