@@ -243,6 +243,69 @@ def test_licenses(docs):
     assert out[3, None].licenses == out[4, ""].licenses == []
 
 
+GPL = """This program is free software{0} you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation{1} either version {2} of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+"""
+BSD2 = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+"""
+BSD3 = BSD2 + """3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+"""
+
+
+def test_license_notices(spark):
+    mit = licenses.SENTENCES["mit-grant"] + licenses.SENTENCES["mit-notice"] + licenses.SENTENCES["as-is"]
+    texts = {
+        "// SPDX-License-Identifier: MIT\nint x;": ["MIT"],
+        "/* spdx-license-identifier: Apache-2.0 */": ["Apache-2.0"],
+        "# SPDX-License-Identifier: GPL-3.0-or-later": ["GPL-3.0"],
+        "# SPDX-License-Identifier:\tGPL-2.0-only\n\nimport x": ["GPL-2.0"],
+        "SPDX-License-Identifier: BSD-3-Clause": ["BSD-3-Clause"],
+        GPL.format(";", ";", 2): ["GPL-2.0"],
+        GPL.format(":", ",", 2): ["GPL-2.0"],
+        GPL.format(":", ",", 3): ["GPL-3.0"],
+        GPL.format(";", ";", 3): ["GPL-3.0"],
+        GPL.format(",", ",", 3): ["GPL-3.0"],
+        "This program is free software. This program is distributed in the hope that it will be useful, but without any warranty.": [],
+        BSD2: ["BSD-2-Clause"],
+        BSD3: ["BSD-3-Clause"],
+        BSD3 + BSD3: ["BSD-3-Clause"],
+        BSD3 + BSD2: ["BSD-2-Clause", "BSD-3-Clause"],
+        "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy": ["MPL-2.0"],
+        'Licensed under the Apache License, Version 2.0 (the "License");\nyou may not use this file': ["Apache-2.0"],
+        "\n".join(x + "." for x in mit): ["MIT"],
+    }
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").select("text", licenses.scan(F.col("text"))["licenses"].alias("own")).collect()
+    assert {r.text: r.own for r in rows} == texts
+
+
+def test_every_license_rule_can_fire(spark):
+    said = {name: texts[0] for name, texts in licenses.ALL_SENTENCES.items()}
+    said |= {n: t.replace("spdx license identifier", "SPDX-License-Identifier:") for n, t in said.items()}
+    rules = licenses.ALL_RULES
+    rows = spark.createDataFrame([(i, ".\n".join(said[x] for x in rule)) for i, (_, rule) in enumerate(rules)], "i int, text string")
+    for r in rows.select("i", licenses.scan(F.col("text"))["licenses"].alias("own")).collect():
+        assert rules[r.i][0] in r.own
+
+
 def test_mixing(spark, docs):
     labelled = spark.createDataFrame([(i, t, d) for i, (t, d) in enumerate([("one two three", "a"), ("vier fuenf sechs", "b"), (None, "a"), ("x", None)] * 5)], "id long, text string, domain string")
     domains = mixing.fit(labelled)

@@ -1,9 +1,11 @@
 """License scans: known sentences become identifiers, and their sequence is matched with ordered rules.
 
 A text is cut into sentences twice: with line breaks as ends, and with single line breaks as white space, for
-texts wrapped at a margin. Normalised sentences are looked up among the known ones; the identifiers found,
-in order, hold a license if one of its rules occurs in them with nothing known in between. All in column expressions, so
-no rows move.
+texts wrapped at a margin. An SPDX tag and its value are one sentence. Normalised sentences are looked up among the known
+ones; the identifiers found, in order, hold a license if one of its rules occurs in them with nothing known in between, and not as the
+beginning of another license's longer rule. All in column expressions, so no rows move.
+
+``SENTENCES`` and ``RULES`` are what the SQL has. ``NOTICES`` and ``NOTICE_RULES`` add what notices look like once they are cut.
 
 Edge cases: a null, empty or blank text has no sentence and no license. A very long text is scanned whole.
 Licenses are listed once each in alphabetical order, whatever their number in the text. A result depends on
@@ -71,6 +73,45 @@ RULES = [
     ("MPL-2.0", ["mpl-name"]),
     ("All-Rights-Reserved", ["reserved"]),
 ]
+# Further sentences as the cut yields them, SPDX values, and an identifier of its own for the GPL 3 notice in one sentence.
+_GPL_TERMS = "you can redistribute it and or modify it under the terms of the gnu general public license"
+NOTICES = {
+    "gpl3-whole": [f"this program is free software {_GPL_TERMS} as published by the free software foundation either version 3 of the license or at your option any later version"],
+    "gpl-terms": [f"{_GPL_TERMS} as published by the free software foundation"],
+    "gpl2-version": ["either version 2 of the license or at your option any later version", "version 2 of the license"],
+    "gpl3-version": ["either version 3 of the license or at your option any later version", "version 3 of the license"],
+    "gpl2-terms": [f"{_GPL_TERMS} version 2 as published by the free software foundation", f"{_GPL_TERMS} as published by the free software foundation version 2 of the license"],
+    "gpl3-terms": [f"{_GPL_TERMS} version 3 as published by the free software foundation", f"{_GPL_TERMS} as published by the free software foundation version 3 of the license"],
+    "mpl-name": ["this source code form is subject to the terms of the mozilla public license v"],
+    "cc0": ["to the extent possible under law the author has waived all copyright and related or neighboring rights to this work"],
+    "spdx-gpl3": ["spdx license identifier gpl 3 0"],
+    "spdx-gpl2": ["spdx license identifier gpl 2 0", "spdx license identifier gpl 2 0 or later", "spdx license identifier gpl 2 0 only"],
+    "spdx-bsd2": ["spdx license identifier bsd 2 clause"],
+    "spdx-mpl": ["spdx license identifier mpl 2 0"],
+    "spdx-cc0": ["spdx license identifier cc0 1 0"],
+    "spdx-cc-by": ["spdx license identifier cc by 4 0"],
+    "spdx-cc-by-sa": ["spdx license identifier cc by sa 4 0"],
+    "spdx-cc-by-nc": ["spdx license identifier cc by nc 4 0"],
+}
+NOTICE_RULES = [
+    ("GPL-3.0", ["gpl3-whole"]),
+    ("GPL-3.0", ["gpl-free", "gpl-terms", "gpl3-version"]),
+    ("GPL-3.0", ["spdx-gpl3"]),
+    ("GPL-2.0", ["gpl-free", "gpl-terms", "gpl2-version"]),
+    ("GPL-2.0", ["spdx-gpl2"]),
+    ("BSD-2-Clause", ["spdx-bsd2"]),
+    ("MPL-2.0", ["spdx-mpl"]),
+    ("CC0-1.0", ["spdx-cc0"]),
+    ("CC-BY-4.0", ["spdx-cc-by"]),
+    ("CC-BY-SA-4.0", ["spdx-cc-by-sa"]),
+    ("CC-BY-NC-4.0", ["spdx-cc-by-nc"]),
+]
+#: Says nothing of the version: any GPL notice has both sentences.
+UNSURE = ("GPL-3.0", ["gpl-free", "gpl-hope"])
+ALL_SENTENCES = {name: [*SENTENCES.get(name, []), *NOTICES.get(name, [])] for name in [*SENTENCES, *(n for n in NOTICES if n not in SENTENCES)]}
+# of a sentence with two names, that in NOTICES
+ALL_SENTENCES |= {name: [s for s in texts if name == "gpl3-whole" or s not in NOTICES["gpl3-whole"]] for name, texts in ALL_SENTENCES.items()}
+ALL_RULES = [*(r for r in RULES if r != UNSURE), *(r for r in NOTICE_RULES if r not in RULES)]
 RESTRICTED = ["All-Rights-Reserved", "CC-BY-NC-4.0"]
 COPYLEFT = ["CC-BY-SA-4.0", "GPL-2.0", "GPL-3.0", "MPL-2.0"]
 #: Every known sentence has one of these words, so a text without them is not cut up.
@@ -79,7 +120,7 @@ ANCHORS = ["licen", "permission", "copyright", "warrant", "redistribut", "rights
 
 def sentences(text: Column) -> Column:
     """The normalised sentences of a text, in order."""
-    ended = F.regexp_replace(text, r"([.!?;:])[ \t\r\n]+", "$1\n")
+    ended = F.regexp_replace(text, r"([.!?;]|(?<!(?i:SPDX-License-Identifier)):)[ \t\r\n]+", "$1\n")
     lines = F.split(ended, "\n")
     return F.transform(lines, lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")))
 
@@ -96,12 +137,21 @@ def _let(value: Column, body) -> Column:
 
 
 def held(ids: Column, rules: Sequence[tuple[str, Sequence[str]]]) -> Column:
-    """The licenses with a rule that occurs in the identifiers as an unbroken sequence; null entries for the others."""
-    line = F.concat(F.lit(","), F.array_join(ids, ","), F.lit(","))
-    return _let(line, lambda x: F.array(*[F.when(F.contains(x, F.lit("," + ",".join(rule) + ",")), F.lit(name)) for name, rule in rules]))
+    """The licenses with a rule that occurs in the identifiers as an unbroken sequence; null entries for the others.
+    What begins another license's longer rule and is followed by its rest counts for that license only."""
+    written = lambda rule: "".join(f",{x}," for x in rule)
+    line = F.concat(F.lit(","), F.array_join(ids, ",,"), F.lit(","))
+
+    def has(x: Column, name: str, rule: Sequence[str]) -> Column:
+        for other, longer in rules:
+            if other != name and len(longer) > len(rule) and list(longer[: len(rule)]) == list(rule):
+                x = F.replace(x, F.lit(written(longer)), F.lit(",,"))
+        return F.contains(x, F.lit(written(rule)))
+
+    return _let(line, lambda x: F.array(*[F.when(has(x, name, rule), F.lit(name)) for name, rule in rules]))
 
 
-def scan(text: Column, sentence_table: dict[str, Sequence[str]] = SENTENCES, rules: Sequence[tuple[str, Sequence[str]]] = RULES, anchors: Sequence[str] = ANCHORS) -> Column:
+def scan(text: Column, sentence_table: dict[str, Sequence[str]] = ALL_SENTENCES, rules: Sequence[tuple[str, Sequence[str]]] = ALL_RULES, anchors: Sequence[str] = ANCHORS) -> Column:
     """struct(sentences, licenses): identifiers found, by lines, and licenses in alphabetical order."""
     known = {s: name for name, texts in sentence_table.items() for s in texts}
     joined = F.regexp_replace(text, r"([^\n])\n(?=[^\n])", "$1 ")
