@@ -319,6 +319,28 @@ def test_mixing(spark, docs):
     assert all(r.mixed.rate == 1 for r in mixing.mix(docs, alone, {"a": 1.0}).collect())
 
 
+def test_mixing_words(spark):
+    import re
+
+    texts = ["a\nb\tc", " \t\n", "", None, "a  b\r\n c ", "one", "\x0ba\x0cb", "é\xa0x y\x1cz", "a\n\n\nb"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").select("text", mixing.words(F.col("text")).alias("w"), mixing.n_words(F.col("text")).alias("n")).collect()
+    for r in rows:
+        own = re.findall(r"[^\x20\x09-\x0D]+", r.text or "")
+        assert r.w == own and r.n == len(own)
+
+
+def test_pipeline_mixing_drops_nothing(spark):
+    import corpus_pipeline
+
+    rng = np.random.default_rng(1)
+    own = {"en": [f"e{i}" for i in range(40)], "de": [f"d{i}" for i in range(40)]}
+    some = lambda lang, n: " ".join(rng.choice(own[lang], n))
+    rows = [(i, some("en", 30), "en") for i in range(300)] + [(1000 + i, some("de", 20) + " " + some("en", 15), "de") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = {r.doc_id for r in corpus_pipeline.mix_sources(spark, docs, "").collect()}
+    assert out == {r[0] for r in rows}
+
+
 def test_urls(spark):
     labelled = [(f"http://m.win{i % 3}.bad.com/en/{i}", "block") for i in range(60)] + [(f"http://m.ok{i}.good.com/en/{i}", "allow") for i in range(60)] + [(None, "block"), ("x", None)]
     rules = urls.mine(spark.createDataFrame(labelled, "url string, verdict string"), min_support=0.1)

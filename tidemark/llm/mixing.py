@@ -31,17 +31,21 @@ from tidemark.session import settle
 FEATURES = 1 << 14
 
 
+def _spaced(text: Column) -> Column:
+    """The text with one space for any white space (space, tab, line breaks) between words, none at its ends."""
+    flat = F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\x0c\r", " " * 5)
+    return F.trim(F.when(F.contains(flat, F.lit("  ")), F.regexp_replace(flat, " +", " ")).otherwise(flat))
+
+
 def words(text: Column) -> Column:
-    """What stands between single spaces. Empty words, which double spaces make, are one more feature."""
-    return F.split(F.coalesce(text, F.lit("")), " ")
+    """What stands between white space, ``[^\\x20\\x09-\\x0D]+``."""
+    return F.filter(F.split(_spaced(text), " "), lambda w: w != "")
 
 
 def n_words(text: Column) -> Column:
-    """How many words, empty ones not counted; without parting the text where no two spaces meet."""
-    text = F.coalesce(text, F.lit(""))
-    odd = (text == "") | F.contains(text, F.lit("  ")) | F.startswith(text, F.lit(" ")) | F.endswith(text, F.lit(" "))
-    counted = F.size(F.filter(words(text), lambda w: w != ""))
-    return F.when(odd, counted).otherwise(F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit(""))) + 1).cast("double")
+    """How many words, by the spaces between them."""
+    spaced = _spaced(text)
+    return F.when(spaced == "", 0).otherwise(F.length(spaced) - F.length(F.replace(spaced, F.lit(" "), F.lit(""))) + 1).cast("double")
 
 
 class Domains:
