@@ -356,6 +356,19 @@ def test_urls(spark):
     assert urls.judge(pages.limit(0), fixed, rules).count() == 0
 
 
+def test_url_rules_by_count_exceptions_and_words(spark):
+    rows = [(f"http://s{chr(97 + i % 26)}.good.com/{i}", "allow") for i in range(12_000)]
+    rows += [(f"http://x.rare.org/{i}", "block") for i in range(25)]
+    rows += [(f"http://x.mixed.com/bad/{i}", "block") for i in range(200)] + [(f"http://x.mixed.com/help/{i}", "allow") for i in range(30)]
+    rows += [(f"http://{h}/{i}", "block") for h in ("cheap-pills.info", "pills-now.biz", "best-pills.net") for i in range(8)]
+    rules = urls.mine(spark.createDataFrame(rows, "url string, verdict string"))
+    own = ["http://y.rare.org/7", "http://x.mixed.com/other", "http://x.mixed.com/help/9", "http://new-pills.shop/", "http://sa.good.com/1"]
+    pages = spark.createDataFrame([(u,) for u in own], "url string")
+    out = {r.url: r.judged.verdict for r in urls.judge(pages, [], rules).collect()}
+    assert [out[u] for u in own] == ["block", "block", "allow", "block", "allow"]
+    assert rules.filter("verdict = 'allow' AND NOT array_contains(tokens, 'path:help')").count() == 0
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 

@@ -6,7 +6,8 @@ sure. An inverted index from token to rule finds the rules a URL holds in full.
 
 Edge cases: a null URL, or one without ``://``, has an empty host and path, no tokens, no rule and
 the default verdict. Without labels or mined rules the fixed rules and the default decide. Rules are mined for
-verdicts other than the default; of those that match, the surest decides, ties go to larger support, then to ``block``. Equal URLs are judged once.
+verdicts other than the default, and for the default as exceptions: on all tokens of such a rule and more. Of those that match, the surest
+decides, ties go to larger support, then to ``block``. Equal URLs are judged once.
 """
 
 from collections.abc import Sequence
@@ -55,16 +56,15 @@ def fitting_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -
 
 
 def tokens(url: Column) -> Column:
-    """What a URL is made of: its domain (the last two labels), the other host labels, the words of those
-    that have several, path segments and query names. Digits become one ``0``, so that numbered pages share a token.
+    """What a URL is made of: its domain (the last two labels), the other host labels, the words of all labels,
+    path segments and query names. Digits become one ``0``, so that numbered pages share a token.
     """
     h, p = host(url), path(url)
     marked = lambda parts, mark: F.transform(parts, lambda x: F.concat(F.lit(mark), F.regexp_replace(x, "[0-9]+", "0")))
     domain = F.substring_index(h, ".", -2)
     above = F.when(h != domain, F.substr(h, F.lit(1), F.length(h) - F.length(domain) - 1)).otherwise("")
     labels = F.filter(F.split(above, r"\."), lambda x: x != "")
-    several = F.filter(labels, lambda x: F.rlike(x, F.lit("[a-z0-9][^a-z0-9]+[a-z0-9]")))
-    words = F.filter(F.split(F.array_join(several, "."), "[^a-z0-9]+"), lambda x: x != "")
+    words = F.filter(F.split(h, "[^a-z0-9]+"), lambda x: x != "")
     segments = F.filter(F.split(F.translate(p, UPPER, LOWER), "/"), lambda x: x != "")
     names = F.regexp_extract_all(_rest(url), F.lit(r"[?&]([^=&#]+)"), 1)
     scheme = F.concat(F.lit("scheme:"), F.translate(F.substring_index(url, "://", 1), UPPER, LOWER))
@@ -72,41 +72,56 @@ def tokens(url: Column) -> Column:
     return F.when((F.instr(url, "://") > 0) & (h != ""), F.array_distinct(F.concat(F.array(F.concat(F.lit("domain:"), domain), scheme), *sets)))
 
 
-def mine(labelled: DataFrame, min_support: float = 0.003, min_count: int = 20, min_confidence: float = 0.8, default: str = "allow") -> DataFrame:
-    """(rule_id, tokens, verdict, confidence, support) from rows of (url, verdict), for verdicts other than the default.
+def mine(labelled: DataFrame, min_support: float = 0.0, min_count: int = 20, min_confidence: float = 0.8, default: str = "allow") -> DataFrame:
+    """(rule_id, tokens, verdict, confidence, support) from rows of (url, verdict): rules for verdicts other than the
+    default, and exceptions to them for the default.
 
-    A combination counts if ``min_support`` of the labelled URLs and ``min_count`` of them hold it with its
-    verdict. Support bounds the table: URLs have few tokens, so few sets can be that frequent.
+    A combination counts if ``min_count`` of the labelled URLs hold it with its verdict, however many URLs there are, and
+    ``min_support`` of them if that is given.
     """
     empty = "rule_id long, tokens array<string>, verdict string, confidence double, support double"
     spark = labelled.sparkSession
     baskets = settle(
         labelled.select(tokens(F.col("url")).alias("items"), "verdict")
         .filter("items IS NOT NULL AND verdict IS NOT NULL")
-        .select(F.when(F.col("verdict") == default, F.col("items")).otherwise(F.array_append("items", F.concat(F.lit(LABEL), "verdict"))).alias("items"))
+        .select(F.array_append("items", F.concat(F.lit(LABEL), "verdict")).alias("items"))
     )
     n = baskets.count()
     if n < min_count:
         return spark.createDataFrame([], empty)
-    model = FPGrowth(itemsCol="items", minSupport=max(min_support, min_count / n), minConfidence=min_confidence).fit(baskets)
+    # Half an URL less, so that min_count / n as a fraction never rounds up to one more.
+    model = FPGrowth(itemsCol="items", minSupport=max(min_support, (min_count - 0.5) / n), minConfidence=min_confidence).fit(baskets)
+    # A set's rules need only the set itself and the set with a label.
+    sets = settle(model.freqItemsets.select(F.array_sort("items").alias("items"), "freq"))
+    own = F.filter("items", lambda x: F.startswith(x, F.lit(LABEL)))
+    labelled_sets = sets.filter(F.size(own) == 1).select(
+        F.array_except("items", own).alias("tokens"), F.substring(own[0], len(LABEL) + 1, 1 << 20).alias("verdict"), F.col("freq").alias("held")
+    )
     rules = settle(
-        model.associationRules.filter(F.startswith(F.element_at("consequent", 1), F.lit(LABEL)))
-        .select(
-            F.array_sort("antecedent").alias("tokens"),
-            F.substring(F.element_at("consequent", 1), len(LABEL) + 1, 1 << 20).alias("verdict"),
-            "confidence",
-            "support",
-        )
+        labelled_sets.filter(F.size("tokens") > 0)
+        .join(sets.select(F.col("items").alias("tokens"), "freq"), "tokens")
+        .select("tokens", "verdict", (F.col("held") / F.col("freq")).alias("confidence"), (F.col("held") / F.lit(float(n))).alias("support"))
+        .filter(F.col("confidence") >= min_confidence)
     )
-    # A rule goes if one on a part of its tokens is as sure: drop one token at a time and look for that.
+    against = settle(_shortest(rules.filter(F.col("verdict") != default)))
+    # Exceptions: the default's rules that hold all tokens of a rule against it, and more.
+    index = against.select(F.xxhash64("tokens", "verdict").alias("rule"), F.explode("tokens").alias("token"), F.size("tokens").alias("needs"))
+    held = rules.filter(F.col("verdict") == default).select("tokens", F.explode("tokens").alias("token"))
+    whole = held.join(index, "token").groupBy("tokens", "rule").agg(F.count("*").alias("n"), F.first("needs").alias("needs")).filter("n = needs")
+    exceptions = _shortest(settle(rules.filter(F.col("verdict") == default).join(whole.select("tokens").distinct(), "tokens", "left_semi")))
+    kept = against.unionByName(exceptions)
+    return settle(kept.select(F.xxhash64("tokens", "verdict").alias("rule_id"), "tokens", "verdict", "confidence", "support"))
+
+
+def _shortest(rules: DataFrame) -> DataFrame:
+    """A rule goes if one on a part of its tokens is as sure: drop one token at a time and look for that."""
     shorter = (
         rules.filter(F.size("tokens") > 1)
         .select("tokens", "verdict", "confidence", F.explode("tokens").alias("token"))
         .select(F.col("tokens").alias("whole"), "verdict", F.col("confidence").alias("own"), F.array_remove("tokens", F.col("token")).alias("tokens"))
     )
     spare = shorter.join(rules.select("tokens", "verdict", "confidence"), ["tokens", "verdict"]).filter("confidence >= own")
-    kept = rules.join(spare.select(F.col("whole").alias("tokens"), "verdict").distinct(), ["tokens", "verdict"], "left_anti")
-    return settle(kept.select(F.xxhash64("tokens", "verdict").alias("rule_id"), "tokens", "verdict", "confidence", "support"))
+    return rules.join(spare.select(F.col("whole").alias("tokens"), "verdict").distinct(), ["tokens", "verdict"], "left_anti")
 
 
 def matches(urls: DataFrame, rules: DataFrame) -> DataFrame:
