@@ -230,3 +230,34 @@ def test_convert_writes_one_folder_per_input(spark, put, tmp_path):
     out = str(tmp_path / "out")
     sinks.convert_to_parquet(spark, inputs, out, columns=shaping.relevant_columns)
     assert {r["source_file"]: r["n"] for r in spark.read.parquet(out).groupBy("source_file").agg(F.count("*").alias("n")).collect()} == {"one": 5, "two": 5}
+
+
+def test_fallback_judges_all_lines_and_files(spark, tmp_path):
+    from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+
+    generic = tmp_path / "generic.json"
+    generic.write_text('{"sensor": 1}\n{"sensor": 2}\n')
+    posts = StructType([StructField("id", LongType())])
+    for fraction in ({}, {"fraction": 1e-9}):
+        df = readers.read_with_fallback(spark, [str(generic)], "json", posts, only_if_posts=True, **fraction)
+        assert sorted(r["sensor"] for r in df.collect()) == [1, 2]
+
+    parts = str(tmp_path / "parts")
+    spark.range(10_000).selectExpr("id AS x").coalesce(1).write.parquet(parts)
+    spark.range(3).selectExpr("id AS x", "'late' AS y").coalesce(1).write.mode("append").parquet(parts)
+    wanted = StructType([StructField("x", LongType()), StructField("y", IntegerType())])
+    df = readers.read_with_fallback(spark, [parts], "parquet", wanted)
+    assert len(df.collect()) == 10_003
+
+
+def test_forest_samples_are_drawn_alike_at_every_size(spark):
+    from tidemark.ml.isolation import _samples
+
+    for total in (30, 400):  # less and more than twice the rows of all trees
+        df = spark.range(total).select("id", F.col("id").cast("double").alias("z_a"))
+        found = {}
+        for r in _samples(df, ["z_a"], "id", 4, 10, 7, total).collect():
+            found.setdefault(r["tree"], set()).add(r["id"])
+        for tree in range(4):
+            order = df.orderBy(F.xxhash64("id", F.lit(7), F.lit(tree)), "id").limit(10)
+            assert found[tree] == {r["id"] for r in order.collect()}

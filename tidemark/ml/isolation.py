@@ -37,25 +37,18 @@ def _hash_limit(wanted: int, total: int) -> int:
 
 
 def _samples(scaled: DataFrame, names: Sequence[str], key: str, trees: int, rows: int, seed: int, total: int):
-    """(tree, features): for each tree its rows, chosen by hash, at most ``rows`` per tree.
+    """(tree, features): for each tree its own sample of all rows, chosen by hash, at most ``rows`` per tree.
 
-    A hash limit leaves little more than the sample before anything is sorted or shuffled.
+    A hash limit leaves little more than the samples before anything is sorted or shuffled.
     """
-    wanted = trees * rows
-    chosen = scaled.select(key, *names)
-    if total > 2 * wanted:
-        # One sample for all trees, dealt out in the order of the hash; the window is over it only.
-        draw = F.xxhash64(F.col(key), F.lit(seed))
-        pool = chosen.withColumn("__draw", draw).filter(F.col("__draw") <= F.lit(_hash_limit(wanted, total)))
-        dealt = F.row_number().over(Window.orderBy("__draw", key)) - 1
-        return (
-            pool.orderBy("__draw", key).limit(wanted).withColumn("tree", (dealt % trees).cast("int")).select("tree", key, *names)
-        )
-    # Fewer rows than that: every tree draws its own sample of the rows.
+    limit = F.lit(_hash_limit(rows, total))
+    draws = F.transform(
+        F.sequence(F.lit(0), F.lit(trees - 1)),
+        lambda tree: F.struct(tree.alias("tree"), F.xxhash64(F.col(key), F.lit(seed), tree).alias("draw")),
+    )
     drawn = (
-        chosen.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-        .withColumn("__draw", F.xxhash64(F.col(key), F.lit(seed), F.col("tree")))
-        .filter(F.col("__draw") <= F.lit(_hash_limit(rows, total)))
+        scaled.select(key, *names, F.explode(F.filter(draws, lambda x: x["draw"] <= limit)).alias("__drawn"))
+        .select(key, *names, F.col("__drawn.tree").alias("tree"), F.col("__drawn.draw").alias("__draw"))
     )
     order = Window.partitionBy("tree").orderBy("__draw", key)
     return (

@@ -190,23 +190,24 @@ def read_with_fallback(
     schema: StructType | None = None,
     *,
     only_if_posts: bool = False,
-    fraction: float = 0.01,
+    fraction: float = 1.0,
 ) -> DataFrame:
-    """Read with a schema; when that fails, read without one (CSV then as text only).
+    """Read with a schema; when that fails anywhere, read without one (CSV then as text only). The files are read
+    once in full to see it.
 
-    ``only_if_posts`` applies the schema to JSON only when most of the sampled lines look like posts.
+    ``only_if_posts`` applies the schema to JSON only when most of the lines look like posts. A ``fraction`` below one
+    judges by a sample of the lines, or by all if the sample is empty.
     """
     if schema is not None and only_if_posts and fmt == "json":
-        totals = (
-            kinds_of_files(spark, paths, fraction=fraction)
-            .agg(F.sum("post_records").alias("posts"), F.sum("records").alias("records"))
-            .first()
-        )
+        counted = (F.sum("post_records").alias("posts"), F.sum("records").alias("records"))
+        totals = kinds_of_files(spark, paths, fraction=fraction).agg(*counted).first()
+        if not totals["records"] and fraction < 1.0:
+            totals = kinds_of_files(spark, paths).agg(*counted).first()
         if totals["records"] and totals["posts"] * 2 < totals["records"]:
             schema = None
     try:
         df = read_as(spark, fmt, paths, schema)
-        df.take(1)  # some reading errors show only in a job
+        df.write.format("noop").mode("overwrite").save()  # some reading errors show only in a job, and only in some files
         return df
     except (AnalysisException, PySparkException):
         reader = tolerant_reader(spark, fmt)
