@@ -3,13 +3,16 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, html, langid, licenses, mixing, mtree, quality, simhash, toxicity, urls
+from tidemark.llm import bpe, html, langid, licenses, merkle, mixing, mtree, quality, runs, simhash, tokencount, toxicity, urls
 from tidemark.llm.common import bounded_batches, remainder
 from tidemark.session import settle
 
 #: Fixed URL rules of the query.
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 TOKENIZER = "word_bpe_49k.json"
+COUNTED_WITH = "piece_bpe_32k.model"
+#: Tokens above which a document is over the limit.
+TOKEN_LIMIT = 4096
 #: Shares of tokens by language.
 TARGETS = {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2}
 
@@ -135,5 +138,131 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "mixed.tokens", "mixed.domain", *posteriors, rate.alias("rate"), mixing.copies(rate, "doc_id").alias("copies"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_url_filter, op3_top_k, op4_language, op5_bpe, op6_main_text, op7_quality, op8_simhash, op9_licenses, op10_mixing)}
-ORACLES = {"op3_top_k": OP3_SQL.strip(), "op9_licenses": licenses.oracle().strip()}
+def with_planted_period(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): in a tenth of the documents, by the hash of the id, the words from one place on repeat a period."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen = docs.select("doc_id", "text", F.when(h % 10 == 0, F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")).alias("words"), F.floor(h / 10).alias("g"))
+    n = F.size("words").cast("long")
+    chosen = chosen.withColumn("a", F.when(n > 0, F.col("g") % n)).withColumn("rest", n - F.col("a"))
+    chosen = chosen.withColumn("p", F.lit(1) + F.floor(F.col("rest") / (F.lit(3) + F.col("g") % 8)))
+    number = lambda c: c.cast("int")
+    period = F.slice("words", number(F.col("a") + 1), number(F.col("p")))
+    repeated = F.flatten(F.array_repeat(period, number(F.ceil(F.col("rest") / F.col("p")))))
+    words = F.concat(F.slice("words", F.lit(1), number(F.col("a"))), F.slice(repeated, F.lit(1), number(F.col("rest"))))
+    return chosen.select("doc_id", F.when(F.col("a").isNull(), F.col("text")).otherwise(F.array_join(words, " ")).alias("text"))
+
+
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planted = with_planted_period(table(spark, sf_dir, "documents"))
+    found = planted.select("doc_id", runs.runs(F.col("text")).alias("found"))
+    best = found.select("doc_id", "found", runs.longest(F.col("found.runs")).alias("best"))
+    line = lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))
+    return best.select(
+        "doc_id",
+        F.size("found.runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("found.runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("found.collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    of_row = lambda n_chars: merkle.leaf("doc_id", "source", "lang", n_chars, "text")
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, of_row(F.try_add("n_chars", F.lit(1))))
+    leaves = docs.select("doc_id", "lang", of_row("n_chars").alias("leaf"), tampered.alias("tampered"))
+    proved = merkle.manifest(leaves, "lang", "doc_id", "leaf", ["doc_id", "tampered"])
+    again = merkle.folded(F.coalesce("row.tampered", "leaf"), F.col("path")).alias("folded_root")
+    shown = proved.select("row.doc_id", "leaf", "subroot", "root", merkle.proof(F.col("path")).alias("proof_sha256"), again)
+    return shown.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+OP12_SQL = """
+WITH RECURSIVE t AS (
+  SELECT doc_id, lang, n_chars,
+    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+    coalesce(strlen(text) || ':' || text, '-') AS body
+  FROM documents
+),
+d AS (
+  SELECT doc_id, lang, leaf, CASE WHEN crc % 7 = 0 THEN changed ELSE leaf END AS shown,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place
+  FROM (
+    SELECT doc_id, lang, sha256(head || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || body) AS leaf,
+      sha256(head || coalesce(strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-') || body) AS changed,
+      xor(4294967295, list_reduce(
+        list_prepend(4294967295::BIGINT, [ascii(substr(doc_id::VARCHAR, i, 1))::BIGINT for i in range(1, len(doc_id::VARCHAR) + 1)]),
+        lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+          lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))) AS crc
+    FROM t
+  )
+),
+nodes AS (
+  SELECT 0 AS level, lang, place, leaf AS digest, count(*) OVER (PARTITION BY lang) AS size FROM d
+  UNION ALL
+  SELECT level + 1, lang, place // 2, sha256(string_agg(digest, '' ORDER BY place)), (any_value(size) + 1) // 2
+  FROM nodes WHERE size > 1 GROUP BY level, lang, place // 2
+),
+sub AS (
+  SELECT lang, digest AS subroot, level AS height, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place FROM nodes WHERE size = 1
+),
+tops AS (
+  SELECT 0 AS level, place, subroot AS digest, count(*) OVER () AS size FROM sub
+  UNION ALL
+  SELECT level + 1, place // 2, sha256(string_agg(digest, '' ORDER BY place)), (any_value(size) + 1) // 2
+  FROM tops WHERE size > 1 GROUP BY level, place // 2
+),
+every AS (
+  SELECT s.place AS tree, n.level, n.place, n.digest FROM nodes n JOIN sub s ON n.lang IS NOT DISTINCT FROM s.lang WHERE n.size > 1
+),
+steps AS (
+  SELECT a.tree, a.level, a.place, b.digest AS sibling FROM every a LEFT JOIN every b
+    ON a.tree = b.tree AND a.level = b.level AND b.place = xor(a.place, 1)
+),
+top_steps AS (
+  SELECT a.level, a.place, b.digest AS sibling FROM (SELECT * FROM tops WHERE size > 1) a LEFT JOIN tops b
+    ON a.level = b.level AND b.place = xor(a.place, 1)
+),
+walk AS (
+  SELECT d.doc_id, d.leaf, s.place AS tree, s.subroot, s.height, d.place AS at, 0 AS level, d.shown AS node, '' AS siblings,
+    d.place AS number
+  FROM d JOIN sub s ON d.lang IS NOT DISTINCT FROM s.lang
+  UNION ALL
+  SELECT w.doc_id, w.leaf, w.tree, w.subroot, w.height, w.at // 2, w.level + 1,
+    sha256(CASE WHEN w.at % 2 = 0 THEN w.node || coalesce(s.sibling, '') ELSE s.sibling || w.node END),
+    w.siblings || coalesce(s.sibling, ''), w.number
+  FROM walk w JOIN steps s ON w.tree = s.tree AND w.level = s.level AND w.at = s.place
+),
+up AS (
+  SELECT doc_id, leaf, subroot, tree AS at, 0 AS level, node, siblings, tree, number FROM walk WHERE level = height
+  UNION ALL
+  SELECT u.doc_id, u.leaf, u.subroot, u.at // 2, u.level + 1,
+    sha256(CASE WHEN u.at % 2 = 0 THEN u.node || coalesce(s.sibling, '') ELSE s.sibling || u.node END),
+    u.siblings || coalesce(s.sibling, ''), u.tree, u.number
+  FROM up u JOIN top_steps s ON u.level = s.level AND u.at = s.place
+)
+SELECT u.doc_id, u.leaf, u.subroot, t.digest AS root, sha256(u.siblings) AS proof_sha256, u.node AS folded_root,
+  u.node = t.digest AS verified
+FROM up u JOIN tops t ON t.size = 1 AND u.level = t.level
+"""
+
+
+def op13_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    count = tokencount.n_tokens(F.col("text"), public_tokenizers.path(COUNTED_WITH))
+    counted = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), count.alias("n_tokens"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+OPERATORS = (
+    op1_toxicity, op2_url_filter, op3_top_k, op4_language, op5_bpe, op6_main_text, op7_quality, op8_simhash, op9_licenses,
+    op10_mixing, op11_runs, op12_manifest, op13_token_count,
+)
+QUERIES = {f.__name__: f for f in OPERATORS}
+ORACLES = {"op3_top_k": OP3_SQL.strip(), "op9_licenses": licenses.oracle().strip(), "op12_manifest": OP12_SQL.strip()}
