@@ -9,10 +9,12 @@ The classifier learns from pages that name their parts: blocks in ``article`` or
 in menus, headers, footers, sidebars, notices, adverts, forms and comments are not. These names only give
 training labels; in a page, costs and cut alone decide. Names around an article, and classes of ``html`` and ``body``,
 say nothing against it. The features (names of elements, classes and ids, links, length, position) also hold on
-pages without such elements.
+pages without such elements. A table whose pages name no content, or nothing else, teaches nothing: its costs come from fixed
+weights for the same features (``prior``). Where all labellings cost the same, text is content.
 
 Edge cases: a null, empty or text-free page gives the empty text. Broken markup is read as far as it goes: an open
-tag ends with its parent, text outside any element is a block. Nothing is cut or capped. A result
+tag ends with its parent, text outside any element is a block. Nothing is cut or capped; at any depth of nesting the features
+of a block's place come from the NEAREST innermost elements around it, and memory grows with the page only. A result
 depends on the page alone, so ties, repeated rows and other columns change nothing.
 """
 
@@ -30,10 +32,14 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import struct_array, text_column
 
 # Element names by the role that HTML gives them.
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr br img picture source svg path".split())
+INLINE = frozenset(
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr br img picture source svg path "
+    "audio canvas object video math annotation annotation-xml maction merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle msub msubsup msup "
+    "mtable mtd mtext mtr munder munderover semantics".split()
+)
 VOID = frozenset("area base br col embed hr img input link meta source track wbr param".split())
 RAW = frozenset("script style textarea title noscript template iframe noembed noframes xmp".split())
-HIDDEN = frozenset("script style template noscript iframe noembed noframes head title svg math object audio video canvas select option datalist".split())
+HIDDEN = frozenset("script style template noscript iframe noembed noframes head title svg select option datalist".split())
 BOILERPLATE = frozenset("nav header footer aside form button menu dialog fieldset textarea".split())
 CONTENT = frozenset(["article", "main"])
 ROOTS = frozenset(["html", "body"])
@@ -61,6 +67,8 @@ _MAY_HIDE = re.compile(r"hidden|display", re.I)
 _NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 _WORD = re.compile(r"[a-z]+")
 NAMING = frozenset(["class", "id", "role"])
+#: Elements around a block whose names, classes, ids and roles are its features.
+NEAREST = 64
 FEATURES = 1 << 12
 
 
@@ -72,32 +80,66 @@ def _hides(name: str, value: str) -> bool:
     return (name == "aria-hidden" and value == "true") or (name == "style" and _NO_DISPLAY.search(value) is not None)
 
 
+class Element:
+    """An open element. ``up`` is the one around it, ``block`` the innermost that is no inline element, itself included."""
+
+    __slots__ = ("name", "hides", "number", "own_words", "up", "block", "outer", "depth", "_about")
+
+    def __init__(self, name: str, number: int, up: "Element | None", words: frozenset, hides: bool):
+        self.name, self.number, self.up, self.hides, self._about = name, number, up, hides, None
+        self.own_words = words if name not in ROOTS else frozenset()
+        outer = up.block if up else None
+        if name in INLINE:
+            self.block, self.outer, self.depth = outer, None, 0
+        else:
+            self.block, self.outer, self.depth = self, outer, outer.depth + 1 if outer else 1
+
+    def about(self) -> tuple[tuple, frozenset, frozenset]:
+        """The names of the elements that are no inline ones, and the words of all, from the outside in; and those of NAMES that
+        stand on the innermost article or around it only."""
+        if self._about is None:
+            near, at = [], self
+            while at is not None and len(near) < NEAREST:
+                near.append(at)
+                at = at.up
+            words, around = frozenset(), frozenset()
+            for e in reversed(near):
+                words = words | e.own_words if e.own_words else words
+                if e.name in CONTENT:  # what has been said so far is not about what follows
+                    around, words = around | (words & NAMES), words - NAMES
+            self._about = tuple(e.name for e in reversed(near) if e.block is e), words, around
+        return self._about
+
+
 @dataclass
 class Block:
     text: str
     linked: int  # characters in links
-    path: tuple  # numbers of the elements it stands in
-    names: tuple  # of these elements
-    words: frozenset  # of their classes, ids and roles
-    around: frozenset = frozenset()  # those of NAMES that stand on the innermost article or around it only
+    home: Element | None  # the innermost element around it
 
+    @property
+    def about(self) -> tuple[tuple, frozenset, frozenset]:
+        return self.home.about() if self.home else ((), frozenset(), frozenset())
 
-class Element:
-    """An open element, with what it and those around it say about their text."""
+    @property
+    def words(self) -> frozenset:
+        return self.about[1]
+
+    @property
+    def block(self) -> Element | None:
+        return self.home.block if self.home else None
 
-    __slots__ = ("name", "hides", "path", "names", "words", "around")
 
-    def __init__(self, name: str, number: int, around: "Element | None", words: frozenset, hides: bool):
-        self.name, self.hides = name, hides
-        path, names, others, outer = (around.path, around.names, around.words, around.around) if around else ((), (), frozenset(), frozenset())
-        block = name not in INLINE
-        self.path = (*path, number) if block else path
-        self.names = (*names, name) if block else names
-        self.words = others | words if words and name not in ROOTS else others
-        self.around = outer
-        if name in CONTENT:  # what has been said so far is not about what follows
-            self.around = outer | (self.words & NAMES)
-            self.words = self.words - NAMES
+def steps_apart(a: Element | None, b: Element | None) -> int:
+    """Steps in the element tree from one element to the other."""
+    steps = 0
+    while a is not b:
+        if b is None or (a is not None and a.depth >= b.depth):
+            a = a.outer
+        else:
+            b = b.outer
+        steps += 1
+    return steps
 
 
 class Page:
@@ -115,8 +157,7 @@ class Page:
         text = "".join(self.parts)
         text = " ".join((unescape(text) if "&" in text else text).split())
         if text:
-            top = self.stack[-1] if self.stack else Element("br", 0, None, frozenset(), False)
-            self.blocks.append(Block(text, min(self.linked, len(text)), top.path, top.names, top.words, top.around))
+            self.blocks.append(Block(text, min(self.linked, len(text)), self.stack[-1] if self.stack else None))
         self.parts.clear()
         self.linked = 0
 
@@ -226,19 +267,33 @@ def _text_buckets(features: tuple) -> list[int]:
     return [_bucket(x) for x in ("bias", f"length {min(10, length)}", f"links {links}", f"ends {ends}", f"place {place}")]
 
 
+def prior() -> np.ndarray:
+    """Weights for pages that teach nothing: long texts with an end and without links are content, headings too; what is named as
+    another part is not."""
+    weights = np.zeros(FEATURES)
+    said = {f"length {bits}": min(2.0, 0.4 * (bits - 5)) for bits in range(11)} | {f"links {quarter}": -0.8 * quarter for quarter in range(5)}
+    said |= {"ends True": 1.0, "ends False": -0.4, **{f"own h{i}": 1.5 for i in range(1, 7)}, "own p": 0.5}
+    said |= {f"in {name}": -4.0 for name in sorted(BOILERPLATE)} | {f"as {word}": -4.0 for word in sorted(NAMES)}
+    for feature, weight in said.items():
+        weights[_bucket(feature)] += weight
+    return weights
+
+
 def train(pages: list[str], visits: int = 100_000, seed_: int = 5) -> np.ndarray:
-    """Logistic weights from the blocks whose part is named, each class with half the weight."""
+    """Logistic weights from the blocks whose part is named, each class with half the weight; ``prior()`` if there is only
+    one class."""
     rows, y = [], []
     for page in pages:
         blocks = blocks_of(page or "")
         for i, b in enumerate(blocks):
-            s = seed(b.names, b.words)
+            names, words, around = b.about
+            s = seed(names, words)
             if s:
-                rows.append(_place_features(b.names, b.words, b.around) + _text_buckets(_text_features(b, i, len(blocks))))
+                rows.append(_place_features(names, words, around) + _text_buckets(_text_features(b, i, len(blocks))))
                 y.append(s)
-    weights = np.zeros(FEATURES)
     if len(set(y)) < 2:
-        return weights
+        return prior()
+    weights = np.zeros(FEATURES)
     y = np.array(y)
     weight = np.where(y > 0, 0.5 / (y > 0).mean(), 0.5 / (y < 0).mean())
     rng, squares = np.random.default_rng(seed_), np.full(FEATURES, 1e-6)
@@ -252,8 +307,8 @@ def train(pages: list[str], visits: int = 100_000, seed_: int = 5) -> np.ndarray
 
 
 def max_flow_side(terminal: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
-    """Which nodes are on the source's side of the minimum cut. ``terminal`` is the capacity from the source
-    less that to the sink.
+    """Which nodes are on the source's side of the minimum cut, of several the one with most of them. ``terminal`` is the
+    capacity from the source less that to the sink.
 
     A node whose terminal outweighs all its edges keeps its side in every minimum cut; it is fixed first
     and its edges become terminals of its neighbours. Shortest augmenting paths solve the rest.
@@ -302,8 +357,17 @@ def max_flow_side(terminal: list[float], edges: list[tuple[int, int, float]]) ->
             for u, v in path:
                 cap[u][v] -= flow
                 cap[v][u] = cap[v].get(u, 0.0) + flow
+        # All that cannot reach the sink any more: of equal cuts, that with most on the source's side.
+        leads = {sink}
+        queue = deque([sink])
+        while queue:
+            v = queue.popleft()
+            for u in cap[v]:  # every edge has its reverse
+                if u not in leads and cap[u].get(v, 0.0) > 1e-9:
+                    leads.add(u)
+                    queue.append(u)
         for i in rest:
-            side[i] = i in came
+            side[i] = i not in leads
     return side
 
 
@@ -317,7 +381,7 @@ class Costs:
 
     def __call__(self, block: Block, i: int, n: int) -> float:
         """The cost of calling it boilerplate, less that of calling it content."""
-        key = (block.names, block.words, block.around)
+        key = block.about
         if key not in self.places:
             if len(self.places) > 50_000:
                 self.places.clear()
@@ -334,15 +398,10 @@ def content(blocks: list[Block], costs: Costs, strength: float = 1.0) -> list[bo
     terminal = [costs(b, i, n) for i, b in enumerate(blocks)]
     edges = []
     for i in range(n - 1):
-        a, b = blocks[i].path, blocks[i + 1].path
-        same = 0
-        while same < min(len(a), len(b)) and a[same] == b[same]:
-            same += 1
-        apart = len(a) + len(b) - 2 * same
-        edges.append((i, i + 1, strength / (1 + apart)))
-    last: dict[tuple, int] = {}
+        edges.append((i, i + 1, strength / (1 + steps_apart(blocks[i].block, blocks[i + 1].block))))
+    last: dict[int, int] = {}
     for i, b in enumerate(blocks):  # the next block in the same parent, if another stands between
-        parent = b.path[:-1]
+        parent = b.block.outer.number if b.block and b.block.outer else 0
         if parent in last and last[parent] < i - 1:
             edges.append((last[parent], i, strength / 2))
         last[parent] = i
