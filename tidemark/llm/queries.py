@@ -57,7 +57,9 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The number that ends a page's path is that of the document it shows.
     shown = pages.withColumn("doc_id", F.expr(r"try_cast(regexp_extract(url, '://[^/?#]*/(?:[^?#]*/)?([0-9]+)(?:[.]html|/)?(?:[?#]|$)', 1) AS bigint)"))
     verdict = F.when((F.col("quality") == 0) | (F.col("toxic") == 1), "block").otherwise("allow")
-    known = shown.select("url", "doc_id").join(labels.select("doc_id", verdict.alias("verdict")), "doc_id")
+    # One label for an id, the worse of several.
+    worst = labels.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(verdict).alias("verdict"))
+    known = shown.select("url", "doc_id").join(worst, "doc_id")
     judged = urls.judge(pages, URL_RULES, urls.mine(known))
     return judged.select("page_id", "judged.host", "judged.path", "judged.rule", "judged.verdict", "judged.confidence")
 
@@ -111,7 +113,8 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     field = quality.fit(labelled(docs, picked(labels, "quality", 2000), "quality"), 4000)
     judged = docs.select("doc_id", quality.rules(F.col("text"), field).alias("judged"))
-    return judged.select("doc_id", "judged.*")
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "content_share"]
+    return judged.select("doc_id", *[f"judged.{name}" for name in names])
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
