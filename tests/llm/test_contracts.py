@@ -139,5 +139,5 @@ def test_mixing_meets_targets(spark, docs):
     for lang, share in TARGETS.items():
         assert abs(sum(r.tokens * r.rate * r[f"p_{lang}"] for r in rows) / total - share) < 1e-3
     assert all(r.rate >= 0 and r.copies in (int(r.rate), int(r.rate) + 1) for r in rows)
-    assert all(r.tokens == len([w for w in docs[r.doc_id][0].split(" ") if w]) for r in rows)
+    assert all(r.tokens == len(re.findall(SPACE, docs[r.doc_id][0])) for r in rows)
     assert sum(r.domain == docs[r.doc_id][1] for r in rows) / len(rows) > 0.98

@@ -145,14 +145,16 @@ def predict(model: LanguageModel, x: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def fit(labelled: DataFrame, per_language: int = 1000) -> LanguageModel | None:
-    """Train on about ``per_language`` rows of (id, text, lang) for each language, picked by a hash of the
-    id: the sample that goes to the driver is bounded by that and the number of languages."""
+    """Train on about ``per_language`` different rows of (id, text, lang) for each language, picked by a hash of id and
+    text: the sample that goes to the driver is at most twice that for each language."""
     known = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = {r.lang: r["count"] for r in known.groupBy("lang").count().collect()}
     if not counts:
         return None
     share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, per_language / n))])
-    rows = known.filter(unit_hash("id", seed=4) < share[F.col("lang")]).select("text", "lang").collect()
+    sample = known.filter(unit_hash("id", "text", seed=4) < share[F.col("lang")]).select("id", "text", "lang").distinct()
+    rows = sample.limit(2 * per_language * len(counts)).collect()
+    rows.sort(key=lambda r: (r.lang, r.text))
     return train([r.text for r in rows], [r.lang for r in rows])
 
 

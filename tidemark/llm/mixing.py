@@ -12,7 +12,7 @@ follows from its posterior and the steps so far, so no state is kept between the
 Edge cases: a null or empty text has no tokens; its rate follows from its posterior as for any other, but it
 counts for nothing. Targets of domains that the labelled table does not have are left out; targets are
 scaled to sum to one. An empty table, or a labelled table with fewer than two domains, leaves all rates at one.
-Repeated rows are documents of their own; other columns stay.
+Repeated rows are documents of their own; other columns stay, whatever their names; one named as the result is replaced.
 """
 
 from collections.abc import Mapping, Sequence
@@ -67,7 +67,7 @@ class Domains:
 
 
 def fit(labelled: DataFrame, per_domain: int = 1000) -> Domains:
-    """Learn from about ``per_domain`` rows of (id, text, domain) for each domain, picked by a hash of the id.
+    """Learn from about ``per_domain`` different rows of (id, text, domain) for each domain, picked by a hash of id and text.
     The classifier is a multinomial logistic regression on hashed words."""
     known = labelled.filter(F.col("domain").isNotNull() & F.col("text").isNotNull())
     counts = {r.domain: r["count"] for r in known.groupBy("domain").count().collect()}
@@ -77,7 +77,7 @@ def fit(labelled: DataFrame, per_domain: int = 1000) -> Domains:
     share = F.create_map(*[F.lit(x) for name, n in counts.items() for x in (name, min(1.0, per_domain / n))])
     number = F.create_map(*[F.lit(x) for i, name in enumerate(names) for x in (name, float(i))])
     sample = settle(
-        known.filter(unit_hash("id", seed=10) < share[F.col("domain")]).select(words(F.col("text")).alias("__words"), number[F.col("domain")].alias("label"))
+        known.filter(unit_hash("id", "text", seed=10) < share[F.col("domain")]).dropDuplicates(["id", "text", "domain"]).select(words(F.col("text")).alias("__words"), number[F.col("domain")].alias("label"))
     )
     hashing = HashingTF(inputCol="__words", outputCol="__counts", numFeatures=FEATURES, binary=True)
     scaling = Normalizer(inputCol="__counts", outputCol="__features")
@@ -134,7 +134,10 @@ def mix(docs: DataFrame, domains: Domains, targets: Mapping[str, float] | float,
     ``targets`` are shares by domain, or a number: the natural shares to that power. ``budget`` is the wanted number of
     tokens, by default the least for which no domain shrinks.
     """
-    scored = settle(domains.posteriors(docs, text_col).select(*(docs.columns if keep is None else keep), "__tokens", "__p"))
+    # The kept columns travel in a struct, so that none has a name of those made here.
+    kept = list(docs.columns if keep is None else keep)
+    row = F.struct(*[F.col(f"`{c}`") for c in kept]) if kept else F.lit(None).cast("struct<>")
+    scored = settle(domains.posteriors(docs.select(row.alias("row"), F.col(f"`{text_col}`").alias("text"))).select("row", "__tokens", "__p"))
     names = domains.names
     steps: list[list[float]] = []
     if len(names) > 1:
@@ -148,7 +151,7 @@ def mix(docs: DataFrame, domains: Domains, targets: Mapping[str, float] | float,
     listed = F.array(*[F.lit(n) for n in names]) if names else F.array().cast("array<string>")
     likeliest = F.when(F.size("__p") > 0, F.element_at(listed, F.array_position("__p", F.array_max("__p")).cast("int")))
     mixed = F.struct(F.col("__tokens").cast("long").alias("tokens"), F.col("__p").alias("p"), likeliest.alias("domain"), rate(F.col("__p"), steps).alias("rate"))
-    return scored.withColumn(into, mixed).drop("__tokens", "__p")
+    return scored.select(*[F.col("row")[c].alias(c) for c in kept if c != into], mixed.alias(into))
 
 
 def copies(rate: Column, *key: Column | str) -> Column:

@@ -242,8 +242,8 @@ def linked_prints(prints: DataFrame, limit: int = 4) -> DataFrame:
     sizes = sizes.select("part", "bucket", F.ceil(F.col("count") / CHUNK).cast("int").alias("chunks"))
     cut = keyed.join(sizes, ["part", "bucket"], "left")
     own = F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")
-    pairs = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda c: F.least(c, own) * 100_000 + F.greatest(c, own))
-    cut = cut.select("part", "bucket", "fp", F.explode(F.when(F.col("chunks").isNull(), F.array(F.lit(-1))).otherwise(pairs)).alias("pair"))
+    pairs = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda c: F.least(c, own).cast("long") * (1 << 31) + F.greatest(c, own))
+    cut = cut.select("part", "bucket", "fp", F.explode(F.when(F.col("chunks").isNull(), F.array(F.lit(-1).cast("long"))).otherwise(pairs)).alias("pair"))
     return cut.repartition("part", "bucket", "pair").sortWithinPartitions("part", "bucket", "pair").mapInArrow(_linked(limit), "u long, v long")
 
 
