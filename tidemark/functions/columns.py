@@ -65,6 +65,24 @@ def box_centre_axis(box: Column, axis: int) -> Column:
     return (F.array_min(values) + F.array_max(values)) / 2
 
 
+def hash_text(key: Column, seed: int) -> Column:
+    """A draw for each key that any engine can repeat: MD5, in hexadecimal, of the key as text and the seed."""
+    return F.md5(F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit(f":{seed}")).cast("binary"))
+
+
+def hash_limit(share: float) -> str:
+    """The text below which that share of the draws lies."""
+    return f"{min(round(share * 2**32), 2**32 - 1):08x}"
+
+
+def unused_name(taken: Sequence[str], wanted: str) -> str:
+    """A column name that is not taken in any case: ``wanted``, with underscores as needed."""
+    names = {name.lower() for name in taken}
+    while wanted.lower() in names:
+        wanted += "_"
+    return wanted
+
+
 def ratio(part: Column, whole: Column) -> Column:
     """``part / whole`` as double, NULL unless ``whole`` is above zero."""
     return F.when(whole > 0, part.cast("double") / whole.cast("double"))
@@ -76,6 +94,6 @@ def utc_day(when: Column) -> Column:
 
 
 def found_keywords(text: Column, keywords: Sequence[str]) -> Column:
-    """The keywords contained in ``text``, comma separated, in the order given."""
+    """The keywords contained in ``text`` in any case, comma separated, in the order given."""
     lowered = F.lower(text)
-    return F.concat_ws(", ", *[F.when(lowered.contains(word), F.lit(word)) for word in keywords])
+    return F.concat_ws(", ", *[F.when(lowered.contains(word.lower()), F.lit(word)) for word in keywords])

@@ -10,8 +10,6 @@ DEFAULT_VIEW = "disasters"
 SQL_FIRST_WORDS = ("SELECT", "WITH", "SHOW", "DESCRIBE", "EXPLAIN")
 SQL_REJECTED_WORDS = ("DROP", "DELETE", "UPDATE", "INSERT", "ALTER", "CREATE", "TRUNCATE")
 
-# Result limits: least, largest, default.
-
 # Keys that mark a record as a post, and how many of them are needed.
 POST_MARKERS = ("created_at", "user", "entities", "text", "id", "id_str", "retweet_count")
 POST_MARKERS_NEEDED = 3

@@ -52,7 +52,10 @@ def _candidates(rows: int, max_k: int) -> range:
 
 def _search(df: DataFrame, features: Sequence[str], make, max_k: int, threads: int) -> Clusters:
     ready = cluster_features(df, features).persist(StorageLevel.MEMORY_AND_DISK)
-    return _best_k(ready, make, _candidates(ready.count(), max_k), threads)
+    try:
+        return _best_k(ready, make, _candidates(ready.count(), max_k), threads)
+    finally:
+        ready.unpersist()  # the chosen model labels the rows without it
 
 
 def k_means(

@@ -206,19 +206,20 @@ def _touching_dense(dense: DataFrame, undecided: DataFrame, grid: _Grid) -> Data
         )
 
 
-def _located(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """The rows with their coordinates ``x0..``."""
+def _located(df: DataFrame, features: Sequence[str], key: str) -> DataFrame:
+    """The rows, each in a struct ``row``, with their ``key`` and coordinates ``x0..``: no column can clash with these."""
     if not 1 <= len(features) <= MAX_FEATURES:
         raise ValueError(f"1 to {MAX_FEATURES} features are supported, not {len(features)}")
     # Adding 0.0 turns -0.0 into 0.0, so that equal points have equal keys.
-    places = {f"x{i}": F.col(name).cast("double") + F.lit(0.0) for i, name in enumerate(features)}
-    return df.dropna(subset=list(features)).withColumns(places)
+    places = [(F.col(name).cast("double") + F.lit(0.0)).alias(f"x{i}") for i, name in enumerate(features)]
+    row = F.struct(*[F.col(f"`{name}`") for name in df.columns]).alias("row")
+    return df.dropna(subset=list(features)).select(row, F.col(key).alias("key"), *places)
 
 
-def _spots(located: DataFrame, dims: int, key: str) -> DataFrame:
+def _spots(located: DataFrame, dims: int) -> DataFrame:
     """Distinct points, their weight and the smallest key among their rows."""
     xs = [f"x{i}" for i in range(dims)]
-    return settle(located.groupBy(*xs).agg(F.count(F.lit(1)).alias("w"), F.min(key).alias("first")))
+    return settle(located.groupBy(*xs).agg(F.count(F.lit(1)).alias("w"), F.min("key").alias("first")))
 
 
 def _spot_clusters(places: DataFrame, dims: int, eps: float, min_samples: int, output: str) -> DataFrame:
@@ -338,13 +339,15 @@ def dbscan(
     row. Clusters are numbered by the smallest key of their core points; a border point between
     clusters joins the one with the smallest number.
     """
-    located, dims = _located(df, features), len(features)
-    return _labelled(located, _spot_clusters(_spots(located, dims, key), dims, eps, min_samples, output), dims)
+    located, dims = _located(df, features, key), len(features)
+    return _labelled(located, _spot_clusters(_spots(located, dims), dims, eps, min_samples, "cluster"), dims, output)
 
 
-def _labelled(located: DataFrame, clusters: DataFrame, dims: int) -> DataFrame:
-    xs = [f"x{i}" for i in range(dims)]
-    return located.join(clusters.drop("w"), xs).drop(*xs)
+def _labelled(located: DataFrame, clusters: DataFrame, dims: int, output: str) -> DataFrame:
+    """The rows with their cluster; a column of that name is replaced."""
+    names = [name for name in located.schema["row"].dataType.fieldNames() if name != output]
+    found = located.join(clusters.drop("w"), [f"x{i}" for i in range(dims)])
+    return found.select(*[F.col("row")[name].alias(name) for name in names], F.col("cluster").alias(output))
 
 
 def dbscan_standardized(
@@ -372,8 +375,8 @@ def dbscan_search(
     one pass over the weighted spots; the usual one compares all pairs of points.
     """
     dims = len(features)
-    located = _located(settle(standardized(df, features)), [f"z_{name}" for name in features])
-    places = _spots(located, dims, key)
+    located = _located(settle(standardized(df, features)), [f"z_{name}" for name in features], key)
+    places = _spots(located, dims)
     vectors = VectorAssembler(inputCols=[f"x{i}" for i in range(dims)], outputCol="__features")
     silhouette = ClusteringEvaluator(featuresCol="__features", predictionCol="class", weightCol="w")
 
@@ -396,4 +399,4 @@ def dbscan_search(
     if not tried:
         raise ValueError("no parameters tried gave two clusters")
     clusters, chosen = max(tried, key=lambda one: one[1]["silhouette"])
-    return _labelled(located, clusters, dims), chosen
+    return _labelled(located, clusters, dims, "cluster"), chosen

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DataType, DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
 from tidemark.functions import fixed_values as fixed
+from tidemark.functions.columns import unused_name
 from tidemark.functions.ordinal import with_ordinal
 
 _TIMES = (DateType, TimestampType, TimestampNTZType)
@@ -46,10 +47,10 @@ def encode_text(df: DataFrame, column: str, output: str, *, by_frequency: bool)
     The numbers are made in a table of the distinct values and joined, so any number of distinct
     values will do; none pass through the driver.
     """
-    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("__n"))
-    order = [F.desc("__n"), F.col(column)] if by_frequency else [F.col(column)]
-    codes = with_ordinal(counts, order, "__code").select(column, F.col("__code").cast("double").alias(output))
-    return df.join(codes, column)
+    counts = df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("uses"))
+    order = [F.desc("uses"), F.col("value")] if by_frequency else [F.col("value")]
+    codes = with_ordinal(counts, order, "code").select(F.col("value").alias(column), F.col("code").cast("double").alias(output))
+    return df.join(codes, column).select(*[F.col(f"`{name}`") for name in (*df.columns, output)])
 
 
 def number(value: Column, kind: DataType) -> Column:
@@ -75,12 +76,11 @@ def cluster_features(df: DataFrame, features: Sequence[str], *, least: int = fix
     inputs = []
     for name in features:
         kind = df.schema[name].dataType
+        inputs.append(unused_name(ready.columns, f"{name}_number"))
         if isinstance(kind, StringType):
-            ready = encode_text(ready, name, f"{name}_indexed", by_frequency=True)
-            inputs.append(f"{name}_indexed")
+            ready = encode_text(ready, name, inputs[-1], by_frequency=True)
         else:
-            ready = ready.withColumn(f"{name}_number", number(F.col(name), kind))
-            inputs.append(f"{name}_number")
+            ready = ready.withColumn(inputs[-1], number(F.col(name), kind))
     assembled = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep").transform(ready)
     return fitting_tasks(assembled.drop(*inputs), rows)
 
@@ -103,12 +103,12 @@ def supervised_features(
             continue
         value = number(F.col(name), kind)
         plain = isinstance(kind, (BooleanType, *_TIMES))
-        ready = ready.withColumn(f"{name}_cleaned", value if plain else finite(value))
-        inputs.append(f"{name}_cleaned")
+        inputs.append(unused_name(ready.columns, f"{name}_cleaned"))
+        ready = ready.withColumn(inputs[-1], value if plain else finite(value))
     stages = []
     if texts:
-        stages.append(FeatureHasher(inputCols=texts, outputCol="hashed_features", numFeatures=fixed.HASHED_FEATURES))
-        inputs.append("hashed_features")
+        inputs.append(unused_name(ready.columns, "hashed_features"))
+        stages.append(FeatureHasher(inputCols=texts, outputCol=inputs[-1], numFeatures=fixed.HASHED_FEATURES))
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"))
     assembled = Pipeline(stages=stages).fit(ready).transform(ready).drop(*inputs)
     return fitting_tasks(assembled, rows)
@@ -126,7 +126,7 @@ def standardized(df: DataFrame, features: Sequence[str]) -> DataFrame:
         if isinstance(kind, (NumericType, BooleanType)):
             ready = ready.withColumn(f"z_{name}", F.col(name).cast("double"))
         else:
-            text = f"__text_{name}"
+            text = unused_name(ready.columns, f"{name}_text")
             ready = ready.withColumn(text, F.col(name).cast("string"))
             ready = encode_text(ready, text, f"z_{name}", by_frequency=False).drop(text)
     names = [f"z_{name}" for name in features]

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import fixed_values as fixed
-from tidemark.functions.ranks import percentile
+from tidemark.functions.ranks import percentiles
 from tidemark.ml.features import standardized
 from tidemark.session import settle
 
@@ -146,7 +146,7 @@ def isolation_forest(
     forest = samples.groupBy("tree").applyInPandas(_grow(names, key, seed), _TREE).collect()
     score = _scorer(sorted(forest, key=lambda tree: tree["tree"]), size)
     scored = settle(scaled.withColumn("Score", score(F.struct(*names))).drop(*names))
-    limits = {level: percentile(scored, "Score", level) for level in contamination}
+    limits = dict(zip(contamination, percentiles(scored, "Score", list(contamination))))
     flagged = scored.agg(
         *[F.count_if(F.col("Score") < limit).alias(str(i)) for i, limit in enumerate(limits.values())]
     ).first()

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, NumericType, StringType, StructType
 
-from tidemark.functions.ranks import percentile
+from tidemark.functions.columns import hash_text
+from tidemark.functions.ranks import bracket_measures, percentiles_in
 
 SHOWN_VALUES = 10
 SHOWN_CHARS = 100
@@ -31,13 +32,13 @@ def table_info(df: DataFrame) -> DataFrame:
 
 
 def dataset_stats(df: DataFrame) -> DataFrame:
-    """Rows, columns, files, bytes and schema of a table just read from files."""
-    files = df.groupBy(F.col("_metadata.file_path")).agg(
-        F.count(F.lit(1)).alias("rows"), F.max("_metadata.file_size").alias("bytes")
-    )
+    """Rows, columns, partitions with rows, files, bytes and schema of a table just read from files."""
+    placed = df.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"), F.spark_partition_id().alias("part"))
+    files = placed.groupBy("file").agg(F.count(F.lit(1)).alias("rows"), F.max("size").alias("bytes"), F.collect_set("part").alias("parts"))
     return files.agg(
         F.coalesce(F.sum("rows"), F.lit(0)).alias("record_count"),
         F.lit(len(df.columns)).alias("column_count"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("parts")))).alias("partition_count"),
         F.count(F.lit(1)).cast("int").alias("file_count"),
         F.coalesce(F.sum("bytes"), F.lit(0)).alias("total_bytes"),
         F.lit(df.schema.simpleString()).alias("schema"),
@@ -65,11 +66,16 @@ def column_profile(df: DataFrame, column: str, *, exact: bool = True) -> DataFra
     if isinstance(kind, NumericType):
         number = value.cast("double")
         measures += [F.min(number).alias("min"), F.max(number).alias("max"), F.avg(number).alias("mean")]
-        if not exact:
-            measures.append(F.percentile_approx(number, 0.5, 10_000).alias("median"))
+        measures += bracket_measures(number, [0.5]) if exact else [F.percentile_approx(number, 0.5, 10_000).alias("median")]
     result = df.agg(*measures)
     if isinstance(kind, NumericType) and exact:
-        result = result.withColumn("median", F.lit(percentile(df, f"`{column}`", 0.5)).cast("double"))
+        # One row goes on to the search, which needs its counts, and becomes the result.
+        row = result.first()
+        [median] = percentiles_in(df, f"`{column}`", [0.5], row["filled_numbers"], row["edges"])
+        found = {**row.asDict(), "median": median}
+        names = [f for f in result.schema.fields if f.name not in ("filled_numbers", "edges")]
+        values = [F.lit(found[f.name]).cast(f.dataType).alias(f.name) for f in names] + [F.lit(median).cast("double").alias("median")]
+        result = df.sparkSession.range(1).select(*values)
     return result.select(
         F.lit(column).alias("column_name"), F.lit(kind.simpleString()).alias("data_type"), *result.columns
     )
@@ -89,7 +95,7 @@ def sample_rows(
     df: DataFrame, *, key: str, n: int = 100, seed: int = 42, columns: Sequence[str] | None = None
 ) -> DataFrame:
     """``n`` random rows, the same ones at every run and partitioning: a top-k by hash of the key."""
-    chosen = df.orderBy(F.xxhash64(quoted(key), F.lit(seed)), quoted(key)).limit(n)
+    chosen = df.orderBy(hash_text(quoted(key), seed), quoted(key)).limit(n)
     return chosen.select(*[quoted(c) for c in columns or df.columns])
 
 

@@ -10,7 +10,7 @@ from tidemark.ml import cluster, dbscan, features, isolation, metrics, supervise
 from tidemark.operators import reports
 from tidemark.plans.checked_reports import PHRASES, TEXTS, URGENCY
 from tidemark.plans.posts import posts, table
-from tidemark.plans.registry import checked
+from tidemark.plans.registry import ORACLES, checked
 
 CUSTOMER_FEATURES = ["c_acctbal", "c_nationkey"]
 HELP_FEATURES = ["Latitude", "Longitude", "PunteggioUrgenza"]
@@ -115,7 +115,13 @@ def m8(spark, sf_dir):
     )
 
 
-@checked("m9_split")
+@checked(
+    "m9_split",
+    """
+    SELECT event_id, CASE WHEN md5(event_id || ':42') < (SELECT CASE WHEN count(*) < 100 THEN 'b3333333' ELSE 'cccccccd' END FROM events)
+      THEN 'train' ELSE 'test' END AS side FROM events
+    """,
+)
 def m9(spark, sf_dir):
     train, test = supervised.split(table(spark, sf_dir, "events").select("event_id"), key="event_id")
     return train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
@@ -240,7 +246,13 @@ def m15(spark, sf_dir):
     return found.select(F.round("mse", 2).alias("mse"), F.round("r2", 9).alias("r2"), F.round("mae", 4).alias("mae"))
 
 
-@checked("m16_cluster_members")
+@checked(
+    "m16_cluster_members",
+    f"""
+    SELECT c_acctbal, c_nationkey, CASE WHEN cluster = -1 THEN 'Noise' ELSE CAST(cluster AS varchar) END AS "Cluster", c_name
+    FROM ({DBSCAN_SQL.format(eps=0.1, least=4)}) JOIN customer USING (c_custkey)
+    """,
+)
 def m16(spark, sf_dir):
     rows = dbscan.dbscan_standardized(
         table(spark, sf_dir, "customer"), CUSTOMER_FEATURES, key="c_custkey", eps=0.1, min_samples=4
@@ -251,3 +263,132 @@ def m16(spark, sf_dir):
 @checked("m17_anomaly_table")
 def m17(spark, sf_dir):
     return isolation.isolation_forest(table(spark, sf_dir, "customer"), ["c_acctbal", "c_nationkey", "c_mktsegment"], key="c_custkey")
+
+
+HELP_SQL = ORACLES["q6b_help_requests_any_place"]
+VIRAL_SQL = ORACLES["q9_viral_labels"]
+#: Rows held out of a table with that many rows or more: the hash of the key lies above the training share.
+HELD_OUT = "md5({key} || ':42') >= 'cccccccd'"
+
+
+@checked(
+    "m1c_feature_columns",
+    f"""
+    WITH help AS (SELECT * FROM ({HELP_SQL}) WHERE "Latitude" IS NOT NULL AND "Longitude" IS NOT NULL AND "PunteggioUrgenza" IS NOT NULL AND "Utente" IS NOT NULL),
+    codes AS (SELECT "Utente" AS u, row_number() OVER (ORDER BY count(*) DESC, "Utente") - 1 AS code FROM help GROUP BY "Utente")
+    SELECT "Latitude", "Longitude", "Utente", CAST("PunteggioUrgenza" AS double) AS urgency, CAST(code AS double) AS author_code
+    FROM help JOIN codes ON u = "Utente"
+    """,
+)
+def m1c(spark, sf_dir):
+    """The vector's parts as columns: numbers as they are, authors by falling frequency."""
+    ready = features.cluster_features(help_set(spark, sf_dir), [*HELP_FEATURES, "Utente"])
+    parts = ready.withColumn("parts", vector_to_array("features"))
+    named = [F.col("parts")[i].alias(name) for i, name in enumerate(["Latitude", "Longitude", "urgency", "author_code"])]
+    return parts.select("Utente", *named)
+
+
+@checked(
+    "m2b_feature_columns",
+    """
+    SELECT c_custkey, CAST(c_acctbal > 5000 AS integer) AS rich, CAST(c_nationkey AS double) AS nation, CAST(1 AS double) AS hashed,
+      count(*) OVER (PARTITION BY c_mktsegment) AS of_segment
+    FROM customer WHERE c_mktsegment IS NOT NULL AND c_nationkey IS NOT NULL
+    """,
+)
+def m2b(spark, sf_dir):
+    """The number first, then exactly one of the hashed places, the same for equal texts."""
+    rows = table(spark, sf_dir, "customer").withColumn("rich", (F.col("c_acctbal") > 5000).cast("int"))
+    ready = features.supervised_features(rows, ["c_nationkey", "c_mktsegment"], "rich")
+    parts = ready.select("c_custkey", "rich", vector_to_array("features").alias("parts"))
+    hashed = parts.select("c_custkey", "rich", F.col("parts")[0].alias("nation"), F.slice("parts", 2, 1 << 30).alias("places"))
+    place = F.array_position("places", F.lit(1.0))
+    counted = hashed.withColumn("place", place).withColumn("hashed", F.aggregate("places", F.lit(0.0), lambda a, x: a + x))
+    sizes = counted.groupBy("place").agg(F.count("*").alias("of_segment"))
+    return counted.join(sizes, "place").select("c_custkey", "rich", "nation", "hashed", "of_segment")
+
+
+def _nearest_centres(found: cluster.Clusters) -> DataFrame:
+    """Whether each row's cluster is that of the nearest mean of the clusters, one of k."""
+    vectors = found.rows.withColumn("x", vector_to_array("features"))
+    means = vectors.groupBy("cluster").agg(*[F.avg(F.col("x")[i]).alias(f"m{i}") for i in range(len(HELP_FEATURES))])
+    centres = means.agg(F.collect_list(F.struct("cluster", F.array(*[f"m{i}" for i in range(len(HELP_FEATURES))]).alias("at"))).alias("centres"))
+    listed = centres.first()["centres"]  # k of them
+    away = lambda at: F.aggregate(F.zip_with("x", F.array(*[F.lit(float(a)) for a in at]), lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, d: s + d)
+    ranges = [F.struct(away(c["at"]).alias("d"), F.lit(c["cluster"]).alias("c")) for c in listed]
+    least = F.array_min(F.array(*[r["d"] for r in ranges]))
+    own = F.get(F.filter(F.array(*ranges), lambda r: r["c"] == F.col("cluster")), F.lit(0))["d"]
+    return vectors.select(*HELP_FEATURES, (F.col("cluster").between(0, found.k - 1)).alias("in_range"), (own <= least * 1.05 + 1e-6).alias("is_nearest"))
+
+
+_HELP_ROWS = f"""
+    SELECT "Latitude", "Longitude", "PunteggioUrgenza", true AS in_range, true AS is_nearest FROM ({HELP_SQL})
+    WHERE "Latitude" IS NOT NULL AND "Longitude" IS NOT NULL AND "PunteggioUrgenza" IS NOT NULL
+"""
+
+
+@checked("m3b_nearest_centres", _HELP_ROWS)
+def m3b(spark, sf_dir):
+    return _nearest_centres(cluster.k_means(help_set(spark, sf_dir), HELP_FEATURES))
+
+
+@checked("m4b_cluster_ranges", _HELP_ROWS.replace(", true AS is_nearest", ""))
+def m4b(spark, sf_dir):
+    """Bisecting splits one cluster at a time, so a row's cluster need not be that of the nearest mean of all."""
+    return _nearest_centres(cluster.bisecting_k_means(help_set(spark, sf_dir), HELP_FEATURES)).drop("is_nearest")
+
+
+def _held_out_classes(fitted: supervised.Fitted) -> DataFrame:
+    return fitted.predictions.select("tweet_id", "is_viral", F.col("prediction").isin(0.0, 1.0).alias("in_classes"))
+
+
+_HELD_OUT_VIRAL = f"""
+    SELECT tweet_id, is_viral, true AS in_classes FROM ({VIRAL_SQL})
+    WHERE "Followers" IS NOT NULL AND is_verified IS NOT NULL AND is_viral IS NOT NULL AND {HELD_OUT.format(key="tweet_id")}
+"""
+
+
+@checked("m5b_forest_held_out", _HELD_OUT_VIRAL)
+def m5b(spark, sf_dir):
+    return _held_out_classes(
+        supervised.random_forest(viral_set(spark, sf_dir), ["Followers", "is_verified"], "is_viral", key="tweet_id", trees=[10], depths=[3, 5])
+    )
+
+
+@checked("m6b_boosted_held_out", _HELD_OUT_VIRAL)
+def m6b(spark, sf_dir):
+    return _held_out_classes(
+        supervised.boosted_trees(viral_set(spark, sf_dir), ["Followers", "is_verified"], "is_viral", key="tweet_id", rounds=[5], depths=[2, 3])
+    )
+
+
+@checked(
+    "m7b_least_squares",
+    f"""
+    WITH rows AS (SELECT l_orderkey || '-' || l_linenumber AS line, l_quantity AS x, l_extendedprice AS y FROM lineitem),
+    fitted AS (SELECT regr_slope(y, x) AS slope, regr_intercept(y, x) AS start FROM rows WHERE NOT ({HELD_OUT.format(key="line")}))
+    SELECT line, round(y, 4) AS label, round(start + slope * x, 1) AS prediction FROM rows, fitted WHERE {HELD_OUT.format(key="line")}
+    """,
+)
+def m7b(spark, sf_dir):
+    """One feature: the regularised line is that of least squares up to the figures shown."""
+    rows = table(spark, sf_dir, "lineitem").withColumn("line", F.concat_ws("-", "l_orderkey", "l_linenumber"))
+    fitted = supervised.linear_regression(rows, ["l_quantity"], "l_extendedprice", key="line", regularization=0.0)
+    return fitted.predictions.select("line", F.round("label", 4).alias("label"), F.round("prediction", 1).alias("prediction"))
+
+
+def _scored_rows(found: DataFrame, *columns: str) -> DataFrame:
+    """The rows with what must hold of every score: its range, and that the flag is a limit on it."""
+    limits = found.agg(F.max(F.when(F.col("Anomalia"), F.col("Score"))).alias("odd"), F.min(F.when(~F.col("Anomalia"), F.col("Score"))).alias("usual")).first()
+    split = limits["odd"] is None or limits["usual"] is None or limits["odd"] < limits["usual"]
+    return found.select(*columns, F.col("Score").between(-1.0, 0.0).alias("in_range"), F.lit(split).alias("flag_is_limit"))
+
+
+@checked("m11b_forest_rows", f"""SELECT "Data", "Orario", "Volume_Tweet", true AS in_range, true AS flag_is_limit FROM ({ORACLES["q5_volume_by_minute"]})""")
+def m11b(spark, sf_dir):
+    return _scored_rows(m11(spark, sf_dir), "Data", "Orario", "Volume_Tweet")
+
+
+@checked("m17b_anomaly_rows", "SELECT c_custkey, c_acctbal, c_nationkey, c_mktsegment, true AS in_range, true AS flag_is_limit FROM customer")
+def m17b(spark, sf_dir):
+    return _scored_rows(m17(spark, sf_dir), "c_custkey", "c_acctbal", "c_nationkey", "c_mktsegment")

@@ -8,9 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import filters, reports, view
+from tidemark.operators import filters, reports, rollups, view
 from tidemark.plans.posts import posts, table, with_posts
-from tidemark.plans.registry import checked
+from tidemark.plans.registry import ORACLES, checked
 from tidemark.session import scratch_path
 from tidemark.sources import sinks
 
@@ -428,3 +428,37 @@ def t5(spark, sf_dir):
     )
     in_utc = F.to_utc_timestamp("bucket", F.current_timezone())
     return rounded(found, z_score=6).withColumn("bucket", F.date_format(in_utc, "yyyy-MM-dd HH:mm"))
+
+
+_RANGE = {"start": "2024-01-03T06:00:00+00:00", "end": "2024-01-20T18:30:00+00:00"}
+_IN_RANGE = """strptime(created_at, '%a %b %d %H:%M:%S +0000 %Y') >= TIMESTAMP '2024-01-03 06:00:00'
+          AND strptime(created_at, '%a %b %d %H:%M:%S +0000 %Y') < TIMESTAMP '2024-01-20 18:30:00'"""
+
+
+def _stored_loads(spark, sf_dir):
+    """The posts in two loads, the second written twice, and their roll-ups."""
+    folder, sums, rows = scratch_path(spark, "posts"), scratch_path(spark, "rollups"), posts(spark, sf_dir)
+    for load, part in (("even", 0), ("odd", 1), ("odd", 1)):
+        sinks.save_posts(rows.filter(F.col("id") % 2 == part), folder, load)
+        rollups.save_rollups(spark, folder, sums, load)
+    return folder, sums
+
+
+@checked(
+    "q5b_volume_of_range",
+    with_posts(f'SELECT day AS "Data", minute AS "Orario", count(*) AS "Volume_Tweet" FROM posts WHERE {_IN_RANGE} GROUP BY day, minute'),
+)
+def q5b(spark, sf_dir):
+    return rollups.volume_by_minute(spark, *_stored_loads(spark, sf_dir), **_RANGE)
+
+
+@checked("q10b_activity_of_range", with_posts(_DAILY_SQL.format(more=f"AND {_IN_RANGE}")))
+def q10b(spark, sf_dir):
+    return rollups.daily_activity(spark, *_stored_loads(spark, sf_dir), **_RANGE)
+
+
+@checked("t5c_peaks_of_range", ORACLES["t5_volume_peaks"].replace("FROM posts GROUP BY 1", f"FROM posts WHERE {_IN_RANGE} GROUP BY 1"))
+def t5c(spark, sf_dir):
+    found = rollups.volume_peaks(spark, *_stored_loads(spark, sf_dir), **_RANGE, bucket_minutes=60, history=24, z_limit=2.0)
+    in_utc = F.to_utc_timestamp("bucket", F.current_timezone())
+    return rounded(found, z_score=6).withColumn("bucket", F.date_format(in_utc, "yyyy-MM-dd HH:mm"))

@@ -312,11 +312,11 @@ def s16(spark, sf_dir):
 
 @checked(
     "s17_dataset_metadata",
-    "SELECT count(*) AS record_count, 5 AS column_count, 1 AS file_count, true AS has_bytes FROM documents",
+    "SELECT count(*) AS record_count, 5 AS column_count, 1 AS file_count, true AS has_bytes, true AS has_partitions FROM documents",
 )
 def s17(spark, sf_dir):
     stats = profile.dataset_stats(table(spark, sf_dir, "documents"))
-    return stats.select("record_count", "column_count", "file_count", (F.col("total_bytes") > 0).alias("has_bytes"))
+    return stats.select("record_count", "column_count", "file_count", (F.col("total_bytes") > 0).alias("has_bytes"), (F.col("partition_count") > 0).alias("has_partitions"))
 
 
 @checked(
@@ -344,10 +344,6 @@ def s19(spark, sf_dir):
     return objects.unionByName(skipped)
 
 
-def _count(path: str, kind: str, condition: str) -> str:
-    return f"SELECT '{path}' AS path, '{kind}' AS type, count(*) AS records FROM posts WHERE {condition}"
-
-
 _ALL_PATHS = [
     ("id", "int", "true"), ("lang", "str", "lang IS NOT NULL"), ("id_str", "str", "true"),
     ("created_at", "str", "true"), ("favorite_count", "int", "favorite_count IS NOT NULL"),
@@ -378,7 +374,19 @@ _ALL_PATHS = [
     ("retweeted_status.user.friends_count", "int", "is_reshare"),
     ("retweeted_status.user.verified", "bool", "is_reshare"),
 ]
-_PATHS_SQL = with_posts(", paths AS (" + "\nUNION ALL ".join(_count(*p) for p in _ALL_PATHS) + ")\n")
+# One scan of the posts counts all paths.
+_PATHS_SQL = with_posts(
+    ", paths AS MATERIALIZED (SELECT "
+    + ",\n".join(
+        f"unnest([{', '.join(listed)}]) AS {name}"
+        for name, listed in {
+            "path": [f"'{p}'" for p, _, _ in _ALL_PATHS],
+            "type": [f"'{t}'" for _, t, _ in _ALL_PATHS],
+            "records": [f"count(*) FILTER ({c})" for _, _, c in _ALL_PATHS],
+        }.items()
+    )
+    + " FROM posts)\n"
+)
 
 
 @checked("s20_path_types", _PATHS_SQL + "SELECT * FROM paths WHERE records > 0")
@@ -484,7 +492,21 @@ def s25(spark, sf_dir):
 def s26(spark, sf_dir):
     raw = posts(spark, sf_dir)
     path = written(raw, "json", "posts.json", compression="gzip")
-    return shaping.extract_relevant(readers.read_json(spark, path, raw.schema).filter(F.col(readers.CORRUPT).isNull()))
+    return shaping.extract_relevant(readers.read_json(spark, path, raw.schema))
+
+
+@checked("s26b_broken_lines", "SELECT CAST(event_id AS varchar) AS tweet_id, user_id AS user_followers, way FROM events, (VALUES ('extract'), ('convert')) t(way) WHERE event_type <> 'error'")
+def s26b(spark, sf_dir):
+    """Lines that are cut short leave no row, neither in the extract nor in the converted files."""
+    post = F.to_json(F.struct(F.col("event_id").cast("string").alias("id_str"), F.struct(F.col("user_id").alias("followers_count")).alias("user")))
+    line = F.when(F.col("event_type") == "error", F.expr("left(post, 12)")).otherwise(F.col("post"))
+    path = written(events(spark, sf_dir).withColumn("post", post).select(line.alias("value")), "text", "some.jsonl")
+    schema = StructType.fromDDL("id_str string, user struct<followers_count:bigint>")
+    out = scratch_path(spark, "converted")
+    sinks.convert_to_parquet(spark, path, out, schema=schema)
+    ways = {"extract": readers.read_json(spark, path, schema), "convert": readers.read_parquet(spark, out)}
+    parts = [shaping.extract_relevant(df).select("tweet_id", "user_followers").withColumn("way", F.lit(way)) for way, df in ways.items()]
+    return parts[0].unionByName(parts[1])
 
 
 @checked(
@@ -618,3 +640,102 @@ def s27b(spark, sf_dir):
     two = rows.select(small[0].alias("n"), small[1].alias("x"), F.create_map(F.lit("k"), "value").alias("m"))
     assert shaping.evolve_union([one, two]).schema == shaping.evolve_union([two, one]).schema
     return shaping.evolve_union([one, two]).withColumn("m", F.col("m")["k"])
+
+
+@checked(
+    "s14c_csv_headers_differ",
+    """
+    SELECT event_id, user_id, event_type, CASE event_type WHEN 'view' THEN props END AS props, way FROM events, (VALUES ('load_many'), ('read_any'), ('read_csv'), ('by_schema'), ('fallback')) t(way)
+    """,
+)
+def s14c(spark, sf_dir):
+    """Three files: the columns in three orders, one with a column more; through every loader."""
+    rows, kind, base = events(spark, sf_dir), F.col("event_type"), scratch_path(spark, "headers")
+    orders = [
+        (kind == "view", ["event_id", "user_id", "event_type", "props"]),
+        (kind == "click", ["user_id", "event_type", "event_id"]),
+        (~kind.isin("view", "click"), ["event_type", "event_id", "user_id"]),
+    ]
+    files = [f"{base}/{i}.csv" for i in range(len(orders))]
+    for path, (chosen, columns) in zip(files, orders):
+        rows.filter(chosen).select(columns).write.csv(path, header=True, escape='"')
+    target = StructType.fromDDL("event_id bigint, user_id bigint, event_type string, props string")
+    refused = StructType.fromDDL("event_id map<string,string>, user_id bigint, event_type string, props string")
+    ways = {
+        "load_many": readers.load_many(spark, files, target),
+        "read_any": readers.read_any(spark, files, target),
+        "read_csv": readers.read_csv(spark, files),
+        "by_schema": readers.read_csv(spark, files, target),
+        "fallback": readers.read_with_fallback(spark, files, "csv", refused),
+    }
+    parts = [shaping.coerce(df, target).withColumn("way", F.lit(way)) for way, df in ways.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3]).unionByName(parts[4])
+
+
+_EXACT = "event_id + 9007199254740993"
+
+
+@checked(
+    "s27c_exact_union",
+    f"""
+    SELECT CAST({_EXACT} AS varchar) AS exact, CAST({_EXACT} AS varchar) AS wide, CAST({_EXACT} AS varchar) AS listed,
+      CAST({_EXACT} AS varchar) || repeat('0', 20) AS far, CAST(user_id AS double) AS plain, 'one' AS side, turned FROM events, (VALUES (0), (1)) t(turned)
+    UNION ALL
+    SELECT CASE WHEN user_id % 2 = 0 THEN '0.5' ELSE '2' END, '1.25', CASE WHEN user_id % 2 = 0 THEN '0.5' ELSE '2' END, '0.001', 0.5, 'two', turned FROM events, (VALUES (0), (1)) t(turned)
+    """,
+)
+def s27c(spark, sf_dir):
+    """Whole numbers that no double holds beside fractions, decimals of 38 digits beside decimals with places, also in
+    arrays of structs, in both orders; the last column does fit a double."""
+    rows = events(spark, sf_dir)
+    big, half = (F.col("event_id") + 9007199254740993).cast("bigint"), F.when(F.col("user_id") % 2 == 0, 0.5).otherwise(2.0)
+    far = F.concat(big.cast("string"), F.lit("0" * 20)).cast("decimal(38,0)")
+    one = rows.select(big.alias("exact"), big.cast("decimal(38,0)").alias("wide"), F.array(F.struct(big.alias("x"))).alias("listed"), far.alias("far"), F.col("user_id").alias("plain"), F.lit("one").alias("side"))
+    two = rows.select(
+        half.alias("exact"), F.lit("1.25").cast("decimal(10,5)").alias("wide"), F.array(F.struct(half.alias("x"))).alias("listed"),
+        F.lit("0.001").cast("decimal(10,5)").alias("far"), F.lit(0.5).alias("plain"), F.lit("two").alias("side"),
+    )
+    united = shaping.evolve_union([one, two]).withColumn("turned", F.lit(0)).unionByName(shaping.evolve_union([two, one]).withColumn("turned", F.lit(1)))
+    plain = lambda c: F.regexp_replace(F.col(c).cast("string"), r"(\.[0-9]*?)0+$", "$1")
+    shown = lambda c: F.regexp_replace(c, r"\.$", "").alias
+    united = united.withColumn("listed", F.col("listed")[0]["x"])
+    return united.select(*[shown(plain(c))(c) for c in ("exact", "wide", "listed", "far")], "plain", "side", "turned")
+
+
+@checked("s24b_equal_names", "SELECT event_id, CASE WHEN event_type IN ('view', 'click') THEN 'x' ELSE 'y' END AS of_folder FROM events")
+def s24b(spark, sf_dir):
+    """Two folders with files of the same names, as one job writes them; one of the folders is converted again, alone."""
+    base, out = scratch_path(spark, "same"), scratch_path(spark, "converted")
+    folder = F.when(F.col("event_type").isin("view", "click"), "x").otherwise("y")
+    events(spark, sf_dir).select("event_id", folder.alias("folder")).write.partitionBy("folder").json(base)
+    schema = StructType.fromDDL("event_id bigint")
+    for inputs in ([f"{base}/folder=x", f"{base}/folder=y"], [f"{base}/folder=y"]):
+        sinks.convert_to_parquet(spark, inputs, out, schema=schema)
+    sources = sinks.converted_sources(spark, out).select("source_file", F.regexp_extract("path", "folder(?:=|%3D)([xy])/", 1).alias("of_folder"))
+    return readers.read_parquet(spark, out).join(sources, "source_file").select("event_id", "of_folder")
+
+
+@checked(
+    "s19b_values_over_lines",
+    """
+    SELECT event_id, user_id AS inner_id, 'object' AS kind, CAST(4 AS bigint) AS least_splits FROM events WHERE event_type <> 'error'
+    UNION ALL SELECT NULL, NULL, 'skipped', 4 FROM events WHERE event_type = 'error'
+    """,
+)
+def s19b(spark, sf_dir):
+    """Objects over several lines with objects inside them, some on lines of their own; errors are never closed. All stand
+    in files of at least four splits."""
+    whole = F.concat(F.lit('{\n"event_id": '), "event_id", F.lit(',\n"inner":\n{"user_id": '), "user_id", F.lit('}\n}'))
+    cut = F.concat(F.lit('{"event_id": '), "event_id", F.lit(', "inner": {"user_id": '), "user_id", F.lit('}, "more": ['))
+    text = F.when(F.col("event_type") == "error", cut).otherwise(whole).alias("value")
+    path = written(events(spark, sf_dir).select(text), "text", "pretty.json")
+    sizes = spark.read.format("binaryFile").load(path).agg(F.sum("length").alias("bytes")).first()
+    apart = spark.newSession()
+    apart.conf.set("spark.sql.files.maxPartitionBytes", str(max(1, sizes["bytes"] // 16)))
+    apart.conf.set("spark.sql.files.openCostInBytes", "0")
+    splits = apart.read.text(path).select("_metadata.file_path", "_metadata.file_block_start").distinct()
+    pieces = repair.recover_json(apart, path)
+    number = lambda key: F.get_json_object("json", key).cast("bigint")
+    found = pieces.select(number("$.event_id").alias("event_id"), number("$.inner.user_id").alias("inner_id"), "kind")
+    shown = found.withColumn("event_id", F.when(F.col("kind") == "object", F.col("event_id"))).withColumn("inner_id", F.when(F.col("kind") == "object", F.col("inner_id")))
+    return shown.withColumn("least_splits", F.lit(min(4, splits.count())).cast("bigint"))

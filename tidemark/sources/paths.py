@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.session import settle
 from tidemark.functions import fixed_values as fixed
+from tidemark.session import settle
 
 ROOT = "root"
 
@@ -28,12 +29,12 @@ def type_name(value: Column) -> Column:
     )
 
 
-def _children(value: Column, above: Column | None) -> Column:
+def _children(value: Column, above: Column) -> Column:
     """The fields of an object as (path, type, value); the value stays only where there is more below."""
     empty = "array<struct<path:string,type:string,value:variant>>"
 
     def child(entry: Column) -> Column:
-        path = entry["key"] if above is None else F.concat(above, F.lit("."), entry["key"])
+        path = F.when(above.isNull(), entry["key"]).otherwise(F.concat(above, F.lit("."), entry["key"]))
         kind = type_name(entry["value"])
         return F.struct(
             path.alias("path"), kind.alias("type"), F.when(kind == "dict", entry["value"]).alias("value")
@@ -43,56 +44,43 @@ def _children(value: Column, above: Column | None) -> Column:
     return F.coalesce(fields, F.array().cast(empty))
 
 
-def _without_values(level: str, *, deepest: bool) -> Column:
-    """Paths and types of a level; at the deepest one ``open`` marks objects with more below."""
-
-    def shown(entry: Column) -> Column:
-        open_ = entry["value"].isNotNull() if deepest else F.lit(False)
-        return F.struct(entry["path"].alias("path"), entry["type"].alias("type"), open_.alias("open"))
+#: Levels of objects that one pass looks at.
+LEVELS_AT_ONCE = 3
 
-    return F.transform(level, shown)
 
-
-#: Levels of objects that the first pass looks at.
-FIRST_DEPTH = 10
+def _with_levels(objects: DataFrame, levels: int) -> DataFrame:
+    """The objects (above, object) with their fields on each level below, as arrays level_1, level_2, ..."""
+    found = objects.withColumn("level_1", _children(F.col("object"), F.col("above")))
+    for depth in range(2, levels + 1):
+        inner = F.filter(f"level_{depth - 1}", lambda e: e["value"].isNotNull())
+        found = found.withColumn(f"level_{depth}", F.flatten(F.transform(inner, lambda e: _children(e["value"], e["path"]))))
+    return found
 
 
 def typed_paths(lines: DataFrame, *, line: str = "value", by: Sequence[str] = (), max_depth: int | None = None) -> DataFrame:
-    """Per path (and ``by``) and type the number of records that have it, down to the deepest object.
+    """Per path (and ``by``) and type the number of records that have it, down to the deepest object. Lines that are no JSON
+    object are passed over.
 
-    The levels looked at double until no object is left below them; records this deep are rare, so one pass is
-    the rule. A given ``max_depth`` stops there, and ``unexpanded`` counts the objects left.
+    A pass looks at a few levels of the objects it gets, and counts; the next one gets only the objects that are left below
+    these. The profiles of the passes have no path in common and are put together. A given ``max_depth`` stops there, and
+    ``unexpanded`` counts the objects left.
     """
-    if max_depth is not None:
-        return _levels(lines, line, by, max_depth)
-    depth = FIRST_DEPTH
+    objects = lines.select(*by, F.lit(None).cast("string").alias("above"), F.try_parse_json(line).alias("object"))
+    profiles, done = [], 0
     while True:
-        found = settle(_levels(lines, line, by, depth))
-        if not found.filter("unexpanded > 0").take(1):
-            return found
-        depth *= 2
-
-
-def _levels(lines: DataFrame, line: str, by: Sequence[str], max_depth: int) -> DataFrame:
-    """Per path (and ``by``) and type the number of records that have it.
-
-    One scan: the levels of a record are arrays, exploded together, and only counts are shuffled.
-    ``unexpanded`` counts objects deeper than ``max_depth``. Lines that are no JSON object are passed over.
-    """
-    parsed = lines.select(*by, F.try_parse_json(line).alias("root"))
-    found = parsed.select(*by, _children(F.col("root"), None).alias("level_1"))
-    levels = ["level_1"]
-    for depth in range(2, max_depth + 1):
-        objects = F.filter(levels[-1], lambda e: e["value"].isNotNull())
-        below = F.flatten(F.transform(objects, lambda e: _children(e["value"], e["path"])))
-        levels.append(f"level_{depth}")
-        found = found.withColumn(levels[-1], below)
-    shown = [_without_values(name, deepest=name == levels[-1]) for name in levels]
-    return (
-        found.select(*by, F.explode(F.concat(*shown)).alias("e"))
-        .groupBy(*by, F.col("e.path").alias("path"), F.col("e.type").alias("type"))
-        .agg(F.count(F.lit(1)).alias("records"), F.count_if("e.open").alias("unexpanded"))
-    )
+        levels = LEVELS_AT_ONCE if max_depth is None else min(LEVELS_AT_ONCE, max_depth - done)
+        leveled = _with_levels(objects, levels)
+        shown = [F.transform(f"level_{i}", lambda e: F.struct(e["path"], e["type"], F.lit(False).alias("open"))) for i in range(1, levels)]
+        shown.append(F.transform(f"level_{levels}", lambda e: F.struct(e["path"], e["type"], e["value"].isNotNull().alias("open"))))
+        each = leveled.select(*by, F.explode(F.concat(*shown)).alias("e")).select(*by, F.col("e.path").alias("path"), F.col("e.type").alias("type"), "e.open")
+        found = settle(each.groupBy(*by, "path", "type").agg(F.count(F.lit(1)).alias("records"), F.count_if("open").alias("unexpanded")))
+        done += levels
+        if done == max_depth or not found.filter("unexpanded > 0").take(1):
+            profiles.append(found)
+            return reduce(DataFrame.unionByName, profiles)
+        profiles.append(found.withColumn("unexpanded", F.lit(0).cast("long")))
+        inner = leveled.select(*by, F.explode(F.filter(f"level_{levels}", lambda e: e["value"].isNotNull())).alias("e"))
+        objects = inner.select(*by, F.col("e.path").alias("above"), F.col("e.value").alias("object"))
 
 
 def path_types(lines: DataFrame, *, line: str = "value", max_depth: int | None = None) -> DataFrame:

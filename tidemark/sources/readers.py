@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import logging
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from functools import reduce
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.functions import fixed_values as fixed
-from tidemark.sources.shaping import coerce
+from tidemark.sources.shaping import CORRUPT, coerce, evolve_union
 
-CORRUPT = "_corrupt_record"
+log = logging.getLogger(__name__)
 
 JSON_OPTIONS = {
     "mode": "PERMISSIVE",
@@ -88,23 +91,58 @@ def spread_gzip(df: DataFrame, tasks: int | None = None) -> DataFrame:
     return df.repartition(wanted) if few_gzip else df
 
 
+def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first line of a file's first block; the rest is not read."""
+    for batch in batches:
+        if batch.num_rows:
+            yield batch.slice(0, 1 if batch.column("block")[0].as_py() == 0 else 0)
+            return
+
+
+def csv_groups(spark: SparkSession, paths: Paths) -> list[list[str]]:
+    """The CSV files below ``paths`` in groups of one header, ordered by their first file. One job reads the first line of
+    every file. Where all files have one header the paths themselves are the only group, folders included."""
+    apart = spark.newSession()  # its own settings: every task has one file, or one part of a very large one
+    apart.conf.set("spark.sql.files.maxPartitionBytes", str(8 << 30))
+    apart.conf.set("spark.sql.files.openCostInBytes", str(8 << 30))
+    lines = apart.read.text(_paths(paths))
+    placed = lines.select("value", "_metadata.file_path", F.col("_metadata.file_block_start").alias("block"))
+    first = placed.mapInArrow(_first_lines, "value string, file_path string, block long")
+    plus_kept = F.url_decode(F.replace(F.col("file_path"), F.lit("+"), F.lit("%2B")))
+    header = F.rtrim(F.regexp_replace("value", "^\ufeff", ""))
+    found = first.select(header.alias("header"), plus_kept.alias("path")).groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
+    groups = sorted(row["paths"] for row in found if row["header"])
+    if len(groups) <= 1:
+        return [_paths(paths)]
+    return [[re.sub(r"([\\{}\[\]*?])", r"\\\1", path) for path in group] for group in groups]  # as names, not patterns
+
+
+def _csv_text(spark: SparkSession, group: Sequence[str]) -> DataFrame:
+    return tolerant_reader(spark, "csv").option("inferSchema", False).csv(list(group))
+
+
+def _united(parts: Sequence[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def read_csv(spark: SparkSession, paths: Paths, schema: StructType | None = None) -> DataFrame:
-    """CSV with a header. The columns of a schema are found by their names in the header of each input;
-    a folder has the header of its first file. Lines that do not fit come back in ``_corrupt_record``."""
+    """CSV with a header. Columns are found by their names in the header of each file; there is one scan for each
+    header that occurs. Lines that do not fit a schema come back in ``_corrupt_record``.
+
+    Without a schema the columns of all files are united; types are inferred for each header and widened without loss.
+    """
+    groups = csv_groups(spark, paths)
     if schema is None:
-        return tolerant_reader(spark, "csv").csv(_paths(paths))
+        return evolve_union([tolerant_reader(spark, "csv").csv(group) for group in groups])
     wanted = {f.name: f for f in schema.fields}
     parts = []
-    for path in _paths(paths):
-        header = tolerant_reader(spark, "csv").option("inferSchema", False).csv(path).columns
+    for group in groups:
+        header = _csv_text(spark, group).columns
         stands = StructType([wanted.get(name, StructField(name, StringType())) for name in header])
-        found = tolerant_reader(spark, "csv", stands).csv(path)
+        found = tolerant_reader(spark, "csv", stands).csv(group)
         missing = {name: F.lit(None).cast(f.dataType) for name, f in wanted.items() if name not in header}
         parts.append(found.withColumns(missing).select(*[F.col(f"`{name}`") for name in (*wanted, CORRUPT)]))
-    first, *rest = parts
-    for other in rest:
-        first = first.unionByName(other)
-    return first
+    return _united(parts)
 
 
 def read_parquet(spark: SparkSession, paths: Paths, *, merge: bool = True) -> DataFrame:
@@ -151,16 +189,13 @@ def read_by_name(spark: SparkSession, fmt: str, paths: Paths, schema: StructType
     """Like ``read_as``, but CSV columns go by their header: Spark matches a CSV schema by position."""
     if fmt != "csv" or schema is None:
         return read_as(spark, fmt, paths, schema)
-    return coerce(tolerant_reader(spark, "csv").option("inferSchema", False).csv(_paths(paths)), schema)
+    return _united([coerce(_csv_text(spark, group), schema) for group in csv_groups(spark, paths)])
 
 
 def read_any(spark: SparkSession, paths: Sequence[str], schema: StructType | None = None) -> DataFrame:
     """Files of mixed formats as one table; one scan per format, columns united by name."""
     groups = sorted(by_format(spark, paths).items())
-    first, *rest = [spread_gzip(read_by_name(spark, fmt, group, schema)) for fmt, group in groups]
-    for other in rest:
-        first = first.unionByName(other, allowMissingColumns=True)
-    return first
+    return _united([spread_gzip(read_by_name(spark, fmt, group, schema)) for fmt, group in groups])
 
 
 def post_markers(lines: DataFrame, *, line: str = "value") -> DataFrame:
@@ -192,8 +227,8 @@ def read_with_fallback(
     only_if_posts: bool = False,
     fraction: float = 1.0,
 ) -> DataFrame:
-    """Read with a schema; when that fails anywhere, read without one (CSV then as text only). The files are read
-    once in full to see it.
+    """Read with a schema; when that fails anywhere, read without one (CSV then as text only, by the names in each file's
+    header). The files are read once in full to see it. The log says which way was taken, and why.
 
     ``only_if_posts`` applies the schema to JSON only when most of the lines look like posts. A ``fraction`` below one
     judges by a sample of the lines, or by all if the sample is empty.
@@ -204,16 +239,18 @@ def read_with_fallback(
         if not totals["records"] and fraction < 1.0:
             totals = kinds_of_files(spark, paths).agg(*counted).first()
         if totals["records"] and totals["posts"] * 2 < totals["records"]:
+            log.warning("schema not used: %s of %s lines look like posts", totals["posts"], totals["records"])
             schema = None
     try:
         df = read_as(spark, fmt, paths, schema)
         df.write.format("noop").mode("overwrite").save()  # some reading errors show only in a job, and only in some files
+        log.info("read %s", "without a schema" if schema is None else "with the schema")
         return df
-    except (AnalysisException, PySparkException):
-        reader = tolerant_reader(spark, fmt)
+    except (AnalysisException, PySparkException) as error:
+        log.warning("read again without a schema: %s", str(error).partition("\n")[0])
         if fmt == "csv":
-            reader = reader.option("inferSchema", False)
-        return reader.format(fmt).load(_paths(paths))
+            return _united([_csv_text(spark, group) for group in csv_groups(spark, paths)])
+        return tolerant_reader(spark, fmt).format(fmt).load(_paths(paths))
 
 
 def corrupt_report(df: DataFrame) -> DataFrame:
@@ -280,16 +317,14 @@ def load_many(spark: SparkSession, inputs: Sequence[str], target: StructType) ->
     parts = []
     for fmt, group in sorted(by_format(spark, inputs).items()):
         if fmt == "parquet":
-            raw = read_parquet(spark, group)
+            read = [read_parquet(spark, group)]
         elif fmt == "json":
-            raw = read_json(spark, group, target)
+            read = [read_json(spark, group, target)]
         else:
-            raw = tolerant_reader(spark, "csv").option("inferSchema", False).csv(group)
-        located = spread_gzip(with_provenance(raw, inputs))
-        if CORRUPT not in located.columns:
-            located = located.withColumn(CORRUPT, F.lit(None).cast("string"))
-        parts.append(coerce(located, target, keep=("source_file", "source_id", CORRUPT)))
-    first, *rest = parts
-    for other in rest:
-        first = first.unionByName(other)
-    return first
+            read = [_csv_text(spark, files) for files in csv_groups(spark, group)]
+        for raw in read:
+            located = spread_gzip(with_provenance(raw, inputs))
+            if CORRUPT not in located.columns:
+                located = located.withColumn(CORRUPT, F.lit(None).cast("string"))
+            parts.append(coerce(located, target, keep=("source_file", "source_id", CORRUPT)))
+    return _united(parts)

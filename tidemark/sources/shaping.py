@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    ArrayType, ByteType, DataType, DateType, DecimalType, DoubleType, FractionalType, IntegerType, LongType, MapType,
-    NullType, NumericType, ShortType, StringType, StructField, StructType, TimestampType,
+    ArrayType, ByteType, DataType, DateType, DecimalType, DoubleType, FloatType, IntegerType, LongType, MapType,
+    NullType, NumericType, ShortType, StringType, StructField, StructType, TimestampType, VariantType,
 )
 
 from tidemark.functions import fixed_values as fixed
 
+#: Where the text of a record that cannot be read is kept.
+CORRUPT = "_corrupt_record"
+
 _NESTED = (StructType, ArrayType, MapType)
 
 
@@ -35,6 +39,8 @@ def conform(value: Column, have: DataType, want: DataType) -> Column:
     """
     if have == want:
         return value
+    if isinstance(want, VariantType):
+        return value.cast(want)
     if isinstance(want, StringType):
         return F.to_json(value) if isinstance(have, _NESTED) else value.try_cast(want)
     if isinstance(have, StructType) and isinstance(want, StructType):
@@ -83,53 +89,154 @@ normalize = coerce
 
 # Whole numbers by width; a wider one holds the narrower.
 _WHOLE = (ByteType, ShortType, IntegerType, LongType)
+# Decimal digits kept for whole numbers beside a decimal, and the most that a decimal can have.
+_WHOLE_DIGITS, _MOST_DIGITS = 20, 38
+
+
+@dataclass(frozen=True)
+class _Open(DataType):
+    """A numeric field whose common type hangs on its values: the types it has, and whether one is binary floating point."""
 
+    kinds: tuple[DataType, ...]
 
-def _common_simple(first: DataType, second: DataType) -> DataType:
-    """The narrowest simple type that holds the values of both; text if only that does."""
-    both = (first, second)
-    if any(isinstance(t, NullType) for t in both):
-        return second if isinstance(first, NullType) else first
-    if all(isinstance(t, _WHOLE) for t in both):
-        return max(both, key=lambda t: _WHOLE.index(type(t)))
-    if all(isinstance(t, NumericType) for t in both):
-        if any(isinstance(t, FractionalType) and not isinstance(t, DecimalType) for t in both):
+    @property
+    def floating(self) -> bool:
+        return any(isinstance(t, (FloatType, DoubleType)) for t in self.kinds)
+
+    def settled(self, whole: int, scale: int, inexact: int) -> DataType:
+        """The type for values with so many digits before and after the point; ``inexact`` if a double cannot hold one."""
+        if self.floating and not inexact and not any(isinstance(t, DecimalType) for t in self.kinds):
+            return DoubleType()
+        fits = whole + scale <= _MOST_DIGITS
+        return DecimalType(max(1, whole + scale), scale) if fits else VariantType()
+
+
+def _common_number(kinds: Sequence[DataType]) -> DataType:
+    """The type that holds every value of the numeric types, if the types alone can tell."""
+    whole = [t for t in kinds if isinstance(t, _WHOLE)]
+    if len(whole) == len(kinds):
+        return max(whole, key=lambda t: _WHOLE.index(type(t)))
+    floating = [t for t in kinds if isinstance(t, (FloatType, DoubleType))]
+    if len(whole) + len(floating) == len(kinds):
+        if not whole:
             return DoubleType()
-        digits = [(t.precision, t.scale) if isinstance(t, DecimalType) else (20, 0) for t in both]
-        scale, whole = max(s for _, s in digits), max(p - s for p, s in digits)
-        return DecimalType(min(38, whole + scale), min(scale, 38 - whole)) if whole <= 38 else StringType()
-    if all(isinstance(t, (DateType, TimestampType)) for t in both):
-        return TimestampType()
-    return StringType()
+        widest = max(_WHOLE.index(type(t)) for t in whole)
+        if all(isinstance(t, FloatType) for t in floating) and widest <= 1:
+            return FloatType()
+        return _Open(tuple(kinds)) if widest == 3 else DoubleType()
+    if floating:
+        return _Open(tuple(kinds))
+    digits = [(t.precision - t.scale, t.scale) if isinstance(t, DecimalType) else (_WHOLE_DIGITS, 0) for t in kinds]
+    before, after = max(b for b, _ in digits), max(a for _, a in digits)
+    return DecimalType(before + after, after) if before + after <= _MOST_DIGITS else _Open(tuple(kinds))
+
+
+def _common(kinds: Sequence[DataType]) -> DataType:
+    """A type for the values of all the types; fields that need a look at their values are ``_Open``. What has no closer
+    common type becomes text, nested values as JSON."""
+    kinds = [t for t in dict.fromkeys(kinds) if not isinstance(t, NullType)] or [NullType()]
+    if len(kinds) == 1:
+        return kinds[0]
+    if all(isinstance(t, StructType) for t in kinds):
+        names = dict.fromkeys(name for t in kinds for name in t.fieldNames())
+        return StructType([StructField(name, _common([t[name].dataType for t in kinds if name in t.fieldNames()])) for name in names])
+    if all(isinstance(t, ArrayType) for t in kinds):
+        return ArrayType(_common([t.elementType for t in kinds]))
+    if all(isinstance(t, MapType) for t in kinds):
+        key = _common([t.keyType for t in kinds])
+        return MapType(StringType() if _open_paths(key) else key, _common([t.valueType for t in kinds]))
+    if all(isinstance(t, NumericType) for t in kinds):
+        return _common_number(kinds)
+    return TimestampType() if all(isinstance(t, (DateType, TimestampType)) for t in kinds) else StringType()
+
+
+def _open_paths(kind: DataType, above: tuple[str | None, ...] = ()) -> list[tuple[str | None, ...]]:
+    """Where open fields stand: names, and None for the elements of an array or the values of a map."""
+    if isinstance(kind, _Open):
+        return [above]
+    if isinstance(kind, StructType):
+        return [path for f in kind.fields for path in _open_paths(f.dataType, (*above, f.name))]
+    if isinstance(kind, (ArrayType, MapType)):
+        return _open_paths(kind.elementType if isinstance(kind, ArrayType) else kind.valueType, (*above, None))
+    return []
+
+
+def _digits(value: Column, kind: DataType) -> Column:
+    """[digits before the point, digits after it, 1 if a double cannot hold the value] of a number; zeros of a null."""
+    text = value.cast("string")
+    number = r"^-?([0-9]+)(?:[.]([0-9]+))?(?:E([+-]?[0-9]+))?$"
+    part = lambda i: F.regexp_extract(text, number, i)
+    after = F.length(part(2)) - F.coalesce(part(3).try_cast("int"), F.lit(0))
+    digits = F.concat(part(1), part(2))
+    zeros = F.length(digits) - F.length(F.rtrim(digits, F.lit("0")))
+    whole = F.greatest(F.lit(0), F.length(F.ltrim(digits, F.lit("0"))) - after)
+    none = F.length(F.replace(digits, F.lit("0"), F.lit(""))) == 0
+    inexact = F.lit(0)
+    if isinstance(kind, LongType):
+        inexact = F.when(value.cast("double").cast("decimal(20,0)") != value.cast("decimal(20,0)"), 1).otherwise(0)
+    never = F.array(*[F.lit(_MOST_DIGITS + 1)] * 2, F.lit(0))  # not a number, or infinite
+    measured = F.array(whole, F.greatest(F.lit(0), after - zeros), inexact)
+    nothing = F.array(F.lit(0), F.lit(0), F.lit(0))
+    return F.when(value.isNull(), nothing).when(~text.rlike(number), never).when(none, nothing).otherwise(measured)
+
+
+def _measured(value: Column, kind: DataType, path: tuple[str | None, ...]) -> Column:
+    """The greatest ``_digits`` of a field, over all elements where arrays and maps stand above it."""
+    if not path:
+        return _digits(value, kind)
+    step, rest = path[0], path[1:]
+    nothing = F.array(F.lit(0), F.lit(0), F.lit(0))
+    if step is not None:
+        known = isinstance(kind, StructType) and step in kind.fieldNames()
+        return _measured(value[step], kind[step].dataType, rest) if known else nothing
+    inner = kind.elementType if isinstance(kind, ArrayType) else kind.valueType if isinstance(kind, MapType) else None
+    if inner is None:
+        return nothing
+    each = F.transform(value if isinstance(kind, ArrayType) else F.map_values(value), lambda x: _measured(x, inner, rest))
+    return F.coalesce(F.aggregate(each, nothing, lambda a, b: F.zip_with(a, b, lambda x, y: F.greatest(x, y))), nothing)
+
+
+def _settled(kind: DataType, found: dict, above: tuple[str | None, ...] = ()) -> DataType:
+    """The type with its open fields decided by what was measured."""
+    if isinstance(kind, _Open):
+        return kind.settled(*found[above])
+    if isinstance(kind, StructType):
+        return StructType([StructField(f.name, _settled(f.dataType, found, (*above, f.name))) for f in kind.fields])
+    if isinstance(kind, ArrayType):
+        return ArrayType(_settled(kind.elementType, found, (*above, None)))
+    return MapType(kind.keyType, _settled(kind.valueType, found, (*above, None))) if isinstance(kind, MapType) else kind
 
 
 def merge_types(first: DataType, second: DataType) -> DataType:
-    """A type that takes the values of both without loss. What has no closer common type becomes text,
-    nested values as JSON."""
-    if first == second:
-        return first
-    kinds = {type(first), type(second)}
-    if kinds == {StructType}:
-        every = {f.name: f.dataType for f in first.fields}
-        for f in second.fields:
-            every[f.name] = merge_types(every[f.name], f.dataType) if f.name in every else f.dataType
-        return StructType([StructField(name, kind) for name, kind in every.items()])
-    if kinds == {ArrayType}:
-        return ArrayType(merge_types(first.elementType, second.elementType))
-    if kinds == {MapType}:
-        return MapType(merge_types(first.keyType, second.keyType), merge_types(first.valueType, second.valueType))
-    if NullType in kinds:
-        return second if isinstance(first, NullType) else first
-    if kinds & {*_NESTED}:
-        return StringType()
-    return _common_simple(first, second)
+    """A type that takes the values of both without loss, whatever they are; Variant where no simple type surely does."""
+    merged = _common([first, second])
+    return _settled(merged, dict.fromkeys(_open_paths(merged), (_MOST_DIGITS, _MOST_DIGITS, 1)))
+
+
+def common_schema(frames: Sequence[DataFrame]) -> StructType:
+    """The schema that holds the values of all tables without loss.
+
+    Where types alone cannot tell (long with double, decimals of over 38 digits together), one pass over each table that has the
+    field finds the digits its values need: a double if it holds every whole number, else a decimal, else a Variant, which keeps
+    each value in the type it has.
+    """
+    schema = _common([df.schema for df in frames])
+    paths = _open_paths(schema)
+    found = {path: [0, 0, 0] for path in paths}
+    for df in frames if paths else ():
+        whole = F.struct(*[F.col(f"`{name}`") for name in df.columns])
+        measures = [F.col("m")[str(i)][k] for i in range(len(paths)) for k in range(3)]
+        each = df.select(F.struct(*[_measured(whole, df.schema, path).alias(str(i)) for i, path in enumerate(paths)]).alias("m"))
+        row = each.agg(*[F.max(m).alias(f"m{i}") for i, m in enumerate(measures)]).first()
+        for i, path in enumerate(paths):
+            found[path] = [max(a, b or 0) for a, b in zip(found[path], row[3 * i : 3 * i + 3])]
+    return _settled(schema, found)
 
 
 def evolve_union(frames: Sequence[DataFrame]) -> DataFrame:
-    """Tables of differing nested schemas as one table; types are widened so that no value is lost."""
-    schema = frames[0].schema
-    for df in frames[1:]:
-        schema = merge_types(schema, df.schema)
+    """Tables of differing nested schemas as one table; types are widened so that no value is lost, by a look at the
+    values where that is needed."""
+    schema = frames[0].schema if len(frames) == 1 else common_schema(frames)
     first, *rest = [coerce(df, schema) for df in frames]
     for df in rest:
         first = first.unionByName(df)
@@ -209,5 +316,12 @@ def relevant_columns(posts: DataFrame) -> list[Column]:
     ]
 
 
+def without_corrupt(rows: DataFrame) -> DataFrame:
+    """The rows that could be read, without the column for the others."""
+    return rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT) if CORRUPT in rows.columns else rows
+
+
 def extract_relevant(posts: DataFrame) -> DataFrame:
-    return posts.select(*relevant_columns(posts))
+    """Nine flat columns of each post; records that could not be read are left out."""
+    readable = without_corrupt(posts)
+    return readable.select(*relevant_columns(readable))
