@@ -252,3 +252,29 @@ def test_range_questions_read_roll_ups(spark, tmp_path):
         assert found.agg(F.sum("Volume_Tweet")).first()[0] == expected > 0
         plan = found._jdf.queryExecution().toString()
         assert all("day" in part.split("]")[0] for part in plan.split("== Physical Plan ==")[1].split("PartitionFilters: [")[1:])
+
+
+def test_scratch_is_freed(spark, monkeypatch):
+    from tidemark import session
+
+    monkeypatch.setattr(session, "_SCRATCH", [])
+    kept = session.settle(spark.range(5))
+    assert kept.count() == 5 and len(session._SCRATCH) == 1
+    folder = session._SCRATCH[0].removeprefix("file:")
+    import os
+
+    assert os.path.isdir(folder) and session.free_scratch(spark) == 1 and not os.path.exists(folder) and not session._SCRATCH
+
+
+def test_clusters_do_not_hang_on_partitions(spark):
+    from tidemark.ml import cluster
+
+    rng = np.random.default_rng(3)
+    rows = [(i, float(x), float(y)) for i, (x, y) in enumerate(np.concatenate([rng.normal(c, 1, (150, 2)) for c in (0, 6, 14)]))]
+    rows += [(1000 + i, 6.0, 6.0) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, x double, y double")
+    for method in (cluster.k_means, cluster.bisecting_k_means):
+        found = [method(df.repartition(n, "id"), ["x", "y"], max_k=5) for n in (2, 8)]
+        labels = [{r["id"]: r["cluster"] for r in f.rows.collect()} for f in found]
+        assert labels[0] == labels[1] and len(labels[0]) == len(rows)
+        assert found[0].k == found[1].k and found[0].silhouette == pytest.approx(found[1].silhouette)

@@ -8,13 +8,14 @@ from dataclasses import dataclass, field
 from pyspark import StorageLevel
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from tidemark.functions import fixed_values as fixed
-from tidemark.ml.features import cluster_features
-from tidemark.session import in_parallel
+from tidemark.ml.features import cluster_features, training_tasks
+from tidemark.session import in_parallel, settle
 
 
 @dataclass
@@ -27,21 +28,33 @@ class Clusters:
     scores: dict[int, float] = field(default_factory=dict)
 
 
-def _best_k(ready: DataFrame, make, ks: Sequence[int], threads: int) -> Clusters:
-    evaluator = ClusteringEvaluator(predictionCol="cluster", featuresCol="features", metricName="silhouette")
+def _best_k(ready: DataFrame, points: DataFrame, make, ks: Sequence[int], threads: int) -> Clusters:
+    evaluator = ClusteringEvaluator(predictionCol="cluster", featuresCol="features", metricName="silhouette", weightCol="weight")
 
     def attempt(k: int):
-        model = make(k).fit(ready)
-        labelled = model.transform(ready)
-        if sum(size > 0 for size in model.summary.clusterSizes) < 2:
-            return k, None, labelled  # the silhouette needs two clusters
-        return k, evaluator.evaluate(labelled), labelled
+        model = make(k).setWeightCol("weight").fit(points)
+        labelled = model.transform(points)
+        if labelled.select("cluster").distinct().limit(2).count() < 2:
+            return k, None, model  # the silhouette needs two clusters
+        return k, evaluator.evaluate(labelled), model
 
-    tried = {k: (score, rows) for k, score, rows in in_parallel(attempt, ks, threads) if score is not None}
+    tried = {k: (score, model) for k, score, model in in_parallel(attempt, ks, threads) if score is not None}
     if not tried:
         raise ValueError("no number of clusters gave two clusters")
     best = max(tried, key=lambda k: (tried[k][0], -k))
-    return Clusters(tried[best][1], best, tried[best][0], {k: score for k, (score, _) in tried.items()})
+    return Clusters(tried[best][1].transform(ready), best, tried[best][0], {k: score for k, (score, _) in tried.items()})
+
+
+def _points(ready: DataFrame) -> DataFrame:
+    """The different feature vectors with their number of rows as ``weight``, dealt and ordered by their values alone.
+
+    Training then sees the same partitions in the same order however the rows came, so its random draws and with them the
+    clusters are the same; and rows of one vector, however many, are one point.
+    """
+    listed = ready.select(vector_to_array("features").alias("x")).groupBy("x").agg(F.count("*").cast("double").alias("weight"))
+    listed = settle(listed)
+    dealt = listed.repartition(training_tasks(listed.count()), "x").sortWithinPartitions("x")
+    return dealt.select(array_to_vector("x").alias("features"), "weight")
 
 
 def _candidates(rows: int, max_k: int) -> range:
@@ -51,11 +64,13 @@ def _candidates(rows: int, max_k: int) -> range:
 
 
 def _search(df: DataFrame, features: Sequence[str], make, max_k: int, threads: int) -> Clusters:
-    ready = cluster_features(df, features).persist(StorageLevel.MEMORY_AND_DISK)
+    ready = cluster_features(df, features)
+    ks = _candidates(ready.count(), max_k)
+    points = _points(ready).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _best_k(ready, make, _candidates(ready.count(), max_k), threads)
+        return _best_k(ready, points, make, ks, threads)
     finally:
-        ready.unpersist()  # the chosen model labels the rows without it
+        points.unpersist()  # the chosen model labels the rows without it
 
 
 def k_means(

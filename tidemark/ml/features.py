@@ -31,14 +31,19 @@ def need_rows(df: DataFrame, least: int) -> int:
     return rows
 
 
-def fitting_tasks(df: DataFrame, rows: int) -> DataFrame:
-    """Even partitions for iterative training, whose every step pays for every task.
+#: Tasks of one training step, unless they would get some million rows each.
+MOST_TASKS = 512
 
-    Small tables get few partitions, medium ones a few per core, and none of more than some million
-    rows. One shuffle of the feature table, before the many passes over it.
-    """
-    few = min(rows // fixed.ROWS_PER_TASK_LEAST + 1, 4 * df.sparkSession.sparkContext.defaultParallelism)
-    return df.repartition(max(few, rows // fixed.ROWS_PER_TASK_MOST + 1))
+
+def training_tasks(rows: int) -> int:
+    """Tasks for iterative training, whose every step pays for every task: few for small tables, and none of more than some
+    million rows. The number hangs on the rows alone, not on the cluster."""
+    return max(min(rows // fixed.ROWS_PER_TASK_LEAST + 1, MOST_TASKS), rows // fixed.ROWS_PER_TASK_MOST + 1)
+
+
+def fitting_tasks(df: DataFrame, rows: int) -> DataFrame:
+    """Even partitions for iterative training: one shuffle of the feature table, before the many passes over it."""
+    return df.repartition(training_tasks(rows))
 
 
 def encode_text(df: DataFrame, column: str, output: str, *, by_frequency: bool) -> DataFrame:
@@ -72,7 +77,7 @@ def cluster_features(df: DataFrame, features: Sequence[str], *, least: int = fix
     """All columns of the rows without nulls in the features, and their vector ``features``."""
     need_columns(df, features)
     ready = df.dropna(subset=list(features))
-    rows = need_rows(ready, least)
+    need_rows(ready, least)
     inputs = []
     for name in features:
         kind = df.schema[name].dataType
@@ -82,7 +87,7 @@ def cluster_features(df: DataFrame, features: Sequence[str], *, least: int = fix
         else:
             ready = ready.withColumn(inputs[-1], number(F.col(name), kind))
     assembled = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep").transform(ready)
-    return fitting_tasks(assembled.drop(*inputs), rows)
+    return assembled.drop(*inputs)
 
 
 def supervised_features(

@@ -44,9 +44,25 @@ def shared_folder(spark: SparkSession) -> str:
     return shared_folder(spark)
 
 
+# Folders below the shared one that this process has named and not freed.
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder; every call gives another one."""
-    return f"{shared_folder(spark)}/tidemark-{uuid.uuid4().hex}/{name}"
+    _SCRATCH.append(f"{shared_folder(spark)}/tidemark-{uuid.uuid4().hex}")
+    return f"{_SCRATCH[-1]}/{name}"
+
+
+def free_scratch(spark: SparkSession) -> int:
+    """Delete the tables that operators have left in the shared folder, and give their number. For when results are
+    written elsewhere: those that still read such a table can no longer be computed."""
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    freed = 0
+    while _SCRATCH:
+        path = hadoop.Path(_SCRATCH.pop())
+        freed += path.getFileSystem(conf).delete(path, True)
+    return freed
 
 
 def settle(df: DataFrame) -> DataFrame:
