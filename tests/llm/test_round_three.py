@@ -104,9 +104,25 @@ def test_marks_reject_unlike_pairs_only(spark):
         near[at] = "other"
     far = base[:200] + words(rng, 200)
     df = spark.createDataFrame([(" ".join(base), " ".join(near), " ".join(far))], "a string, b string, c string")
-    sketched = df.select(*[shingles.sketch(F.col(c))["marks"].alias(c) for c in "abc"])
-    row = sketched.select(shingles.may_be_alike("a", "b").alias("near"), shingles.may_be_alike("a", "c").alias("far")).first()
-    assert jaccard(" ".join(base), " ".join(near)) > 0.8 and row.near and not row.far
+    parts = [(c, shingles.sketch(F.col(c))) for c in "abc"]
+    sketched = df.select(*[s[k].alias(f"{k}_{c}") for c, s in parts for k in ("marks", "parities", "size")])
+    both = lambda a, b: [shingles.may_be_alike(a, b), shingles.may_be_equal_enough(a, b)]
+    row = sketched.select(F.array(*both("_a", "_b")).alias("near"), F.array(*both("_a", "_c")).alias("far")).first()
+    assert jaccard(" ".join(base), " ".join(near)) > 0.8 and row.near == [True, True] and row.far == [False, False]
+
+
+def test_parities_never_reject_an_alike_pair(spark):
+    rng, rows = random.Random(12), []
+    for _ in range(300):
+        base = words(rng, rng.choice([3, 8, 30, 150, 900]), of=rng.choice([4, 5000]))
+        other = list(base)
+        for _ in range(rng.randrange(0, 1 + len(base) // 20)):
+            other[rng.randrange(len(other))] = "other"
+        rows.append((" ".join(base), " ".join(other)))
+    parts = [(c, shingles.sketch(F.col(c))) for c in "ab"]
+    sketched = spark.createDataFrame(rows, "a string, b string").select("a", "b", *[s[k].alias(f"{k}_{c}") for c, s in parts for k in ("marks", "parities", "size")])
+    found = sketched.select("a", "b", shingles.may_be_equal_enough("_a", "_b").alias("x")).collect()
+    assert all(r.x for r in found if jaccard(r.a, r.b) >= 0.8) and sum(not r.x for r in found) > 20
 
 
 def test_pipeline_near_copies_keep_columns(spark):
@@ -361,3 +377,61 @@ def test_url_columns_may_clash(spark):
 
 def test_quality_columns_in_their_order(spark):
     assert queries.op7_quality(spark, "/root/testdata/sf0.001").columns == ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "content_share"]
+
+
+def test_pipeline_against_brute_force(spark):
+    """Every stage on all that the one before kept: its decisions, and the rows of the whole."""
+    import corpus_pipeline
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    columns, stages = docs.columns, dict(corpus_pipeline.STAGES)
+    assert list(stages) == ["quality_rules", "language_id", "simhash_near_dedup", "mixing", "bpe"]
+
+    kept = stages["quality_rules"](spark, docs, sf)
+    verdicts = {r.doc_id: r.kept for r in queries.op7_quality(spark, sf).collect()}
+    first = {r.doc_id: r for r in kept.collect()}
+    assert kept.columns == columns and set(first) == {i for i, good in verdicts.items() if good}
+
+    kept = spark.createDataFrame(list(first.values()), docs.schema)
+    second = {r.doc_id: r for r in stages["language_id"](spark, kept, sf).collect()}
+    assert set(second) <= set(first) and len(second) >= 0.98 * len(first)
+
+    rows = [second[i] for i in sorted(second)]
+    kept = spark.createDataFrame(rows, docs.schema)
+    third = stages["simhash_near_dedup"](spark, kept, sf).collect()
+    assert {r.doc_id for r in third} == {rows[i].doc_id for i in groups_by_brute_force([r.text for r in rows])}
+
+    kept = spark.createDataFrame(third, docs.schema)
+    fourth = stages["mixing"](spark, kept, sf)
+    copies = collections.Counter(r.doc_id for r in fourth.collect())
+    assert fourth.columns == columns and set(copies) == {r.doc_id for r in third}
+    tokens = collections.Counter()
+    for r in third:
+        tokens[r.lang] += len(r.text.split()) * copies[r.doc_id]
+    natural = collections.Counter()
+    for r in third:
+        natural[r.lang] += len(r.text.split())
+    flat = {lang: n**corpus_pipeline.FLATTENING for lang, n in natural.items()}
+    for lang in natural:  # whole copies of long texts come near the rates only
+        assert abs(tokens[lang] / sum(tokens.values()) - flat[lang] / sum(flat.values())) < 0.05
+
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    last = stages["bpe"](spark, fourth, sf).collect()
+    assert collections.Counter(r.doc_id for r in last) == copies
+    of = {r.doc_id: len(library.encode(r.text or "", add_special_tokens=False).ids) for r in third}
+    assert all(r.n_tokens == of[r.doc_id] for r in last)
+
+
+def test_toxicity_on_held_out_labels(spark):
+    import zlib
+
+    sf = "/root/testdata/sf0.01"
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    rows = [r for r in queries.op1_toxicity(spark, sf).collect() if r.held_out and r.doc_id in labels]
+    assert all(zlib.crc32(str(r.doc_id).encode()) % 5 == 0 for r in rows)
+    caught = [r.predicted == 1 for r in rows if labels[r.doc_id] == 1]
+    clean = [r.predicted == 0 for r in rows if labels[r.doc_id] == 0]
+    assert len(caught) > 3 and np.mean(caught) > 0.8 and np.mean(clean) > 0.95
