@@ -58,6 +58,21 @@ def test_csv_names_that_look_like_patterns(spark, put):
     assert sorted((r["a"], r["b"]) for r in readers.read_csv(spark, folder).collect()) == [(1, "x"), (2, "y")]
 
 
+def test_csv_of_one_header_takes_provenance(spark, put):
+    path = put("one.csv", "a\n1\n")
+    assert [tuple(r) for r in readers.with_provenance(readers.read_csv(spark, path), [path]).collect()] == [(1, "one.csv", 1)]
+
+
+def test_ranges_need_an_offset(spark):
+    with pytest.raises(ValueError, match="offset"):
+        rollups.volume_by_minute(spark, "p", "r", start="2024-01-01T00:00:00", end="2024-01-02T00:00:00Z")
+
+
+def test_nothing_to_convert(spark, put, tmp_path):
+    sinks.convert_to_parquet(spark, [put("bad.json", "broken {\n")], str(tmp_path / "out"))
+    assert sinks.converted_sources(spark, str(tmp_path / "out")).count() == 1
+
+
 def test_csv_of_one_header_is_read_as_given(spark, put, tmp_path):
     put("days/day=1/a.csv", "a\n1\n")
     put("days/day=2/a.csv", "a\n2\n")

@@ -133,7 +133,8 @@ def read_csv(spark: SparkSession, paths: Paths, schema: StructType | None = None
     """
     groups = csv_groups(spark, paths)
     if schema is None:
-        return evolve_union([tolerant_reader(spark, "csv").csv(group) for group in groups])
+        parts = [tolerant_reader(spark, "csv").csv(group) for group in groups]
+        return parts[0] if len(parts) == 1 else evolve_union(parts)
     wanted = {f.name: f for f in schema.fields}
     parts = []
     for group in groups:
