@@ -7,10 +7,10 @@ digests. Null ids and texts, empty tables and further columns pass as each opera
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid, mixing, quality, shingles
+from tidemark.llm import langid, mixing, quality, shingles, simhash
 from tidemark.llm.common import bounded_batches
 from tidemark.llm.queries import encoded, is_remainder, labelled, picked, table
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, settle
 
 #: A language found with less certainty rejects a document.
 LEAST_LANGUAGE_SCORE = 0.1
@@ -34,15 +34,19 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: that with the smallest id, then text hash. An id that is no whole number
-    counts by a hash of it, a null one by that of its text, both below zero. Rows with one id and different texts are
+    """One document of each group of near copies: that with the smallest id, then text hash. SimHash components, as
+    ``op8_simhash`` finds them, are near copies, and so are texts whose shingle sets are alike; a group holds all that either links.
+
+    An id that is no whole number counts by a hash of it, a null one by that of its text, both below zero. Rows with one id and different texts are
     documents of their own; of rows with equal id and text one stays."""
     bounded_batches(spark)
     hashed = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.col("text")))
     key = F.coalesce(F.col("doc_id").try_cast("long"), -1 - F.pmod(hashed, F.lit((1 << 62) - 1)))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     keyed = docs.select(row.alias("row"), key.alias("id"), F.xxhash64("doc_id", "text").alias("hash"), "text")
-    first = shingles.first_of_groups(keyed, ["id", "hash"])
+    placed = simhash.near_duplicates(keyed.select(F.struct("id", "hash").alias("place"), "text"), "place", "text")
+    components = settle(placed.select("id.id", "id.hash", F.col("component_id").alias("component")).distinct())
+    first = shingles.first_of_groups(keyed, ["id", "hash"], linked=components)
     kept = keyed.join(first, ["id", "hash"]).groupBy("id", "hash").agg(F.any_value("row").alias("row"))
     return kept.select("row.*")
 

@@ -80,11 +80,14 @@ def test_no_window_sums_up_the_rest_of_a_block_for_each_line(spark, tmp_path):
 
 
 def test_pipeline_keeps_one_document_of_each_simhash_component(spark):
+    """Two texts with equal fingerprints and few common shingles: each word sequence comes often in one and once in the other."""
     import corpus_pipeline
     from tidemark.llm import simhash
 
-    words = [f"w{i}" for i in range(400)]
-    texts = [" ".join(words), " ".join([*words[:399], "other"]), " ".join(reversed(words)), "", None]
-    docs = spark.createDataFrame([(10 - i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
-    components = {r.component_id for r in simhash.near_duplicates(settle(docs)).collect()}
-    assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()} == components
+    often = " ".join(["a b c d e f g"] * 60)
+    rare = " ".join(f"x{i}" for i in range(12))
+    texts = [f"{often} {rare}", f"{often} {' '.join(reversed(rare.split()))}", " ".join(f"w{i}" for i in range(50))]
+    docs = spark.createDataFrame([(10 + i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    found = {r.id: r.component_id for r in simhash.near_duplicates(docs).collect()}
+    assert found == {10: 10, 11: 10, 12: 12}
+    assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()} == {10, 12}

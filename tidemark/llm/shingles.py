@@ -184,9 +184,16 @@ def _prefixes(pool: DataFrame, texts: DataFrame) -> DataFrame:
     return settle(listed.select("node", prefix.alias("prefix"))).select("node", F.explode("prefix").alias("shingle"))
 
 
-def first_of_groups(rows: DataFrame, key: list[str], text_col: str = "text") -> DataFrame:
+def _of_components(sketched: DataFrame, linked: DataFrame, key: list[str]) -> DataFrame:
+    """(u, v): from the smallest node of each component to its others."""
+    placed = settle(sketched.select(*key, "node").join(linked, key).select("component", "node").distinct())
+    least = placed.groupBy("component").agg(F.min("node").alias("u"))
+    return placed.join(least, "component").filter("u <> node").select("u", F.col("node").alias("v"))
+
+
+def first_of_groups(rows: DataFrame, key: list[str], text_col: str = "text", linked: DataFrame | None = None) -> DataFrame:
     """The columns ``key`` of one row of each group of near copies: that where they are smallest. Rows with equal
-    ``key`` have equal texts."""
+    ``key`` have equal texts. ``linked`` (key, component) names rows that are one group by another method, too."""
     sketches = ["bands", "marks", "parities", "size"]
     texts = rows.select(*key, F.col(text_col).alias("text"))
     sketched = settle(texts.select(*key, sketch(F.col("text")).alias("s")).select(*key, "s.*"))
@@ -212,6 +219,8 @@ def first_of_groups(rows: DataFrame, key: list[str], text_col: str = "text") ->
         listed = _prefixes(pool, texts).join(pool, "node").join(with_sketches, "node")
         found = found.unionByName(_pairs(settle(listed), "shingle"))
     edges = edges.union(_verified(found, texts))
+    if linked is not None:
+        edges = edges.union(_of_components(sketched, linked, key))
 
     named = nodes.join(_labels(edges), "node", "left")
     return named.groupBy(F.coalesce("label", "node").alias("group")).agg(F.min("first").alias("first")).select("first.*")
