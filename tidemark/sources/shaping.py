@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -161,39 +162,57 @@ def _open_paths(kind: DataType, above: tuple[str | None, ...] = ()) -> list[tupl
     return []
 
 
-def _digits(value: Column, kind: DataType) -> Column:
-    """[digits before the point, digits after it, 1 if a double cannot hold the value] of a number; zeros of a null."""
-    text = value.cast("string")
-    number = r"^-?([0-9]+)(?:[.]([0-9]+))?(?:E([+-]?[0-9]+))?$"
-    part = lambda i: F.regexp_extract(text, number, i)
-    after = F.length(part(2)) - F.coalesce(part(3).try_cast("int"), F.lit(0))
-    digits = F.concat(part(1), part(2))
-    zeros = F.length(digits) - F.length(F.rtrim(digits, F.lit("0")))
-    whole = F.greatest(F.lit(0), F.length(F.ltrim(digits, F.lit("0"))) - after)
-    none = F.length(F.replace(digits, F.lit("0"), F.lit(""))) == 0
-    inexact = F.lit(0)
-    if isinstance(kind, LongType):
-        inexact = F.when(value.cast("double").cast("decimal(20,0)") != value.cast("decimal(20,0)"), 1).otherwise(0)
-    never = F.array(*[F.lit(_MOST_DIGITS + 1)] * 2, F.lit(0))  # not a number, or infinite
-    measured = F.array(whole, F.greatest(F.lit(0), after - zeros), inexact)
-    nothing = F.array(F.lit(0), F.lit(0), F.lit(0))
-    return F.when(value.isNull(), nothing).when(~text.rlike(number), never).when(none, nothing).otherwise(measured)
-
-
-def _measured(value: Column, kind: DataType, path: tuple[str | None, ...]) -> Column:
-    """The greatest ``_digits`` of a field, over all elements where arrays and maps stand above it."""
+#: Whole numbers up to this one are all held by a double.
+_EXACT_IN_DOUBLE = 1 << 53
+
+
+def _numbers(value: Column, kind: DataType, path: tuple[str | None, ...]) -> tuple[Column, DataType, bool] | None:
+    """The number at a path with its type, or all of them as one array where arrays and maps stand above it."""
     if not path:
-        return _digits(value, kind)
+        return value, kind, False
     step, rest = path[0], path[1:]
-    nothing = F.array(F.lit(0), F.lit(0), F.lit(0))
     if step is not None:
         known = isinstance(kind, StructType) and step in kind.fieldNames()
-        return _measured(value[step], kind[step].dataType, rest) if known else nothing
+        return _numbers(value[step], kind[step].dataType, rest) if known else None
     inner = kind.elementType if isinstance(kind, ArrayType) else kind.valueType if isinstance(kind, MapType) else None
-    if inner is None:
-        return nothing
-    each = F.transform(value if isinstance(kind, ArrayType) else F.map_values(value), lambda x: _measured(x, inner, rest))
-    return F.coalesce(F.aggregate(each, nothing, lambda a, b: F.zip_with(a, b, lambda x, y: F.greatest(x, y))), nothing)
+    found = None if inner is None else _numbers(F.lit(None).cast(inner), inner, rest)
+    if found is None:
+        return None
+    each = F.transform(value if isinstance(kind, ArrayType) else F.map_values(value), lambda x: _numbers(x, inner, rest)[0])
+    return F.flatten(F.filter(each, lambda x: x.isNotNull())) if found[2] else each, found[1], True
+
+
+def _places(value: Column, kind: DataType) -> Column:
+    """Digits after the point that a number needs; 0 for a null."""
+    if isinstance(kind, _WHOLE) or isinstance(kind, DecimalType) and kind.scale == 0:
+        return F.lit(0)
+    text = value.cast("string")
+    number = F.substring_index(text, "E", 1)
+    exponent = F.when(text.contains("E"), F.substring_index(text, "E", -1).try_cast("int")).otherwise(0)
+    fraction = F.when(number.contains("."), F.length(F.rtrim(F.substring_index(number, ".", -1), F.lit("0")))).otherwise(0)
+    return F.when(value.isNull() | (value == 0), 0).otherwise(F.greatest(F.lit(0), fraction - exponent))
+
+
+def _inexact(value: Column, kind: DataType) -> Column:
+    """1 for a whole number that no double shows; those up to 2^53 need no closer look."""
+    if not isinstance(kind, LongType):
+        return F.lit(0)
+    exact = value.isNull() | value.between(-_EXACT_IN_DOUBLE, _EXACT_IN_DOUBLE)
+    return F.when(exact, 0).when(value.cast("double").cast("decimal(20,0)") != value.cast("decimal(20,0)"), 1).otherwise(0)
+
+
+def _measures(value: Column, kind: DataType, many: bool) -> list[Column]:
+    """Aggregates over all rows: the greatest and the smallest number as text, the most places, and whether one is inexact."""
+    if not many:
+        return [F.max(value).cast("string"), F.min(value).cast("string"), F.max(_places(value, kind)), F.max(_inexact(value, kind))]
+    of_all = lambda use: F.max(F.array_max(F.transform(value, lambda x: use(x, kind))))
+    return [F.max(F.array_max(value)).cast("string"), F.min(F.array_min(value)).cast("string"), of_all(_places), of_all(_inexact)]
+
+
+def _whole_digits(text: str | None) -> int:
+    """Digits before the point, of the text of a number; too many to hold if it is none."""
+    number = Decimal(text or "0")
+    return max(0, number.adjusted() + 1 if number else 0) if number.is_finite() else _MOST_DIGITS + 1
 
 
 def _settled(kind: DataType, found: dict, above: tuple[str | None, ...] = ()) -> DataType:
@@ -225,11 +244,13 @@ def common_schema(frames: Sequence[DataFrame]) -> StructType:
     found = {path: [0, 0, 0] for path in paths}
     for df in frames if paths else ():
         whole = F.struct(*[F.col(f"`{name}`") for name in df.columns])
-        measures = [F.col("m")[str(i)][k] for i in range(len(paths)) for k in range(3)]
-        each = df.select(F.struct(*[_measured(whole, df.schema, path).alias(str(i)) for i, path in enumerate(paths)]).alias("m"))
-        row = each.agg(*[F.max(m).alias(f"m{i}") for i, m in enumerate(measures)]).first()
-        for i, path in enumerate(paths):
-            found[path] = [max(a, b or 0) for a, b in zip(found[path], row[3 * i : 3 * i + 3])]
+        known = {path: numbers for path in paths if (numbers := _numbers(whole, df.schema, path))}
+        measures = [m for numbers in known.values() for m in _measures(*numbers)]
+        row = df.agg(*[m.alias(f"m{i}") for i, m in enumerate(measures)]).first() if measures else ()
+        for i, path in enumerate(known):
+            most, least, places, inexact = row[4 * i : 4 * i + 4]
+            here = max(_whole_digits(most), _whole_digits(least)), places or 0, inexact or 0
+            found[path] = [max(a, b) for a, b in zip(found[path], here)]
     return _settled(schema, found)
 
 
