@@ -4,6 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from tidemark.llm import toxicity
 from tidemark.ml import supervised
 from tidemark.sources import paths, shaping
 
@@ -46,3 +47,20 @@ def test_a_line_is_fitted_on_stored_rows(spark):
     plan = fitted.predictions._jdf.queryExecution().toString()
     assert "RoundRobin" not in plan and "InMemoryRelation" not in plan and "Range" not in plan
     assert fitted.predictions.filter(F.abs(F.col("prediction") - F.col("y")) > 1e-6).count() == 0 and "other" in fitted.predictions.columns
+
+
+def test_toxicity_learns_from_every_labelled_row(spark, monkeypatch):
+    """Words that only a few rows of one shard hold are learned too, and rows beyond any fixed number count."""
+    monkeypatch.setattr(toxicity, "CHUNK_ROWS", 100)
+    rows = [(i, f"this is a {'vile' if i % 4 == 0 else 'kind'} thing number {i % 9}", "en" if i % 2 else "de", int(i % 4 == 0), i % 5 == 1) for i in range(600)]
+    rows += [(1000 + i, f"word{i % 3}rare stands alone", None, 1, False) for i in range(30)] + [(None, None, None, 0, False), (5000, "", "en", 0, None)]
+    df = spark.createDataFrame(rows, "id long, text string, lang string, toxic int, calibrate boolean")
+    used = []
+    over = toxicity._over_chunks
+    monkeypatch.setattr(toxicity, "_over_chunks", lambda rows, *a: used.append((rows.count(), rows.select("shard").distinct().count())) or over(rows, *a))
+    model = toxicity.fit(df)
+    assert set(used) == {(632, 7)} and model.languages == ["de", "en"]
+    asked = spark.createDataFrame([("this is a vile thing", 1), ("this is a kind thing", 0), ("word2rare stands", 1), ("some kind number", 0)], "text string, toxic int")
+    for r in asked.select("toxic", toxicity.score(F.col("text"), model).alias("score")).collect():
+        assert (r.score >= 0.5) == bool(r.toxic)
+    assert toxicity.fit(df.filter("toxic = 1")) is None and toxicity.fit(df.limit(0)) is None

@@ -1,4 +1,4 @@
-"""Toxicity: a convolutional text classifier in numpy, applied by Spark to whole texts.
+"""Toxicity: a convolutional text classifier in numpy, trained on all labelled texts and applied to whole texts by Spark.
 
 A word is hashed whole and by its beginnings and endings; hashes seen in training have an embedding, others none, and
 the word's is their highest component by component: one telling part is enough. Filters one, two and three words wide run over the whole text, the highest answer of each filter goes to
@@ -11,6 +11,7 @@ text alone.
 """
 
 import zlib
+from copy import deepcopy
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import raw, text_column
+from tidemark.llm.common import give_back, raw, text_column
+from tidemark.session import settle
 
 WIDTHS = (1, 2, 3)
 PAD = max(WIDTHS)
@@ -149,9 +151,10 @@ def logits(model: ToxicityModel, docs: list[np.ndarray], vectors: np.ndarray) ->
 
 
 class Words:
-    """The distinct words of the training texts: documents as word numbers from 1, and the embedding rows of each word."""
+    """The distinct words of the training texts: documents as word numbers from 1, and the embedding rows of each word.
+    Buckets are those in ``known``, or in at least ``least`` texts."""
 
-    def __init__(self, texts: list[str | None], least: int = 3):
+    def __init__(self, texts: list[str | None], least: int = 3, known: np.ndarray | None = None):
         number: dict[bytes, int] = {}
         self.docs = [np.array([number.setdefault(w, len(number) + 1) for w in (t or "").encode().split()], dtype=np.int64) for t in texts]
         of, word = hashes(list(number)) if number else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
@@ -160,12 +163,14 @@ class Words:
         lengths = np.bincount(word, minlength=len(number) + 1)
         ends = np.cumsum(lengths)
         buckets, row_of = np.unique(of, return_inverse=True)
-        seen = np.zeros(len(buckets), dtype=np.int64)  # in how many texts a bucket occurs
-        for d in self.docs:
-            own = np.unique(d)
-            spots = np.repeat(ends[own] - lengths[own] - (np.cumsum(lengths[own]) - lengths[own]), lengths[own]) + np.arange(lengths[own].sum())
-            seen[np.unique(row_of[spots])] += 1
-        keep = seen >= least
+        keep = np.ones(len(buckets), dtype=bool) if known is None else np.isin(buckets, known)
+        if known is None and least > 1:
+            seen = np.zeros(len(buckets), dtype=np.int64)  # in how many texts a bucket occurs
+            for d in self.docs:
+                own = np.unique(d)
+                spots = np.repeat(ends[own] - lengths[own] - (np.cumsum(lengths[own]) - lengths[own]), lengths[own]) + np.arange(lengths[own].sum())
+                seen[np.unique(row_of[spots])] += 1
+            keep = seen >= least
         new = np.cumsum(keep) - 1
         kept = keep[row_of]
         word = word[kept]
@@ -190,36 +195,41 @@ class Words:
         return out
 
 
-def _embedding(words: Words, target, size, rng, fit, prior=10.0):
-    """Small random rows, with the log-odds of the toxic class in front: training starts from there. Rows seen in few
-    texts stay near the common odds, as if seen in ``prior`` more."""
-    toxic, times = np.zeros(len(words.buckets)), np.zeros(len(words.buckets))
-    for i in fit:
-        once = np.unique(words.rows_of(np.unique(words.docs[i]))[0])
-        times[once] += 1
-        toxic[once] += target[i]
-    base = target[fit].mean()
+def _start(toxic, times, base, size, n_filters, seed, prior=10.0):
+    """Small random embedding rows, with the log-odds of the toxic class in front: training starts from there. Rows seen in few
+    texts stay near the common odds, as if seen in ``prior`` more. And the random filters, and the generator for what follows."""
+    rng = np.random.default_rng(seed)
     share = (toxic + prior * base) / (times + prior)
     e = rng.normal(0, 0.02, (len(times), size)).astype(np.float32)
     e[:, 0] = np.clip(np.log(share / (1 - share)) - np.log(base / (1 - base)), -4, 4)
-    return e
-
-
-def _fit(words: Words, target, fit, size, n_filters, steps, seed):
-    """Mini-batch descent: Adagrad on the rows of the words that won a maximum, Adam on the rest."""
-    rng = np.random.default_rng(seed)
-    e = _embedding(words, target, size, rng, fit)
     params = [rng.normal(0, 0.3, (w, size, n_filters)).astype(np.float32) for w in WIDTHS]
     params += [np.zeros(n_filters, dtype=np.float32) for _ in WIDTHS]
     params += [rng.normal(0, 0.3, n_filters * len(WIDTHS)).astype(np.float32), np.zeros(1, dtype=np.float32)]
     for w in params[: len(WIDTHS)]:  # half the filters begin by listening to the log-odds
         w[:, 0, : n_filters // 2] = np.abs(w[:, 0, : n_filters // 2])
-    share = target[fit].mean()
+    return e, params, rng
+
+
+def _seen(words: Words, which) -> np.ndarray:
+    """In how many of some texts each bucket occurs."""
+    out = np.zeros(len(words.buckets), dtype=np.int64)
+    for i in which:
+        out[np.unique(words.rows_of(np.unique(words.docs[i]))[0])] += 1
+    return out
+
+
+def _texts_at_once(n_fit: int) -> int:
+    return max(8, min(64, n_fit // 20))
+
+
+def _descend(words: Words, target, fit, e, params, share, many, passes, rng):
+    """Mini-batch descent from ``e`` and ``params``, which it changes: Adagrad on the rows of the words that won a maximum, Adam
+    on the rest. ``share`` is that of the toxic class in all training texts."""
+    size, n_filters = e.shape[1], len(params[-2]) // len(WIDTHS)
     balance = np.where(target > 0, 0.5 / share, 0.5 / (1 - share)).astype(np.float32)
     k, g2 = len(WIDTHS), np.full(e.shape, 1e-2, dtype=np.float32)
     m, v, step = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], 0
-    many = max(8, min(64, len(fit) // 20))  # texts in a batch
-    for _ in range(max(4, round(steps * many / len(fit)))):
+    for _ in range(passes):
         order = rng.permutation(fit)
         for at in range(0, len(order), many):
             batch = order[at : at + many]
@@ -264,55 +274,220 @@ def _fit(words: Words, target, fit, size, n_filters, steps, seed):
     return e, params
 
 
-def threshold(scores: np.ndarray, target: np.ndarray) -> float:
-    """The middle of the widest gap among the cuts with the fewest errors."""
+def threshold(scores: np.ndarray, target: np.ndarray, times: np.ndarray | None = None) -> float:
+    """The middle of the widest gap among the cuts with the fewest errors; a score may stand for several texts."""
     order = np.argsort(scores, kind="stable")
     s, t = scores[order], target[order]
-    errors = np.concatenate([[0], np.cumsum(t)]) + np.concatenate([np.cumsum((1 - t)[::-1])[::-1], [0]])
+    n = np.ones(len(s)) if times is None else times[order]
+    errors = np.concatenate([[0], np.cumsum(t * n)]) + np.concatenate([np.cumsum(((1 - t) * n)[::-1])[::-1], [0]])
     low, high = np.concatenate([[s[0] - 2], s]), np.concatenate([s, [s[-1] + 2]])
-    errors = np.where(high > low, errors, len(s) + 1)
+    errors = np.where(high > low, errors, np.inf)
     best = np.flatnonzero(errors == errors.min())
     best = best[np.argmax((high - low)[best])]
     return float((low[best] + high[best]) / 2)
 
 
+def _thresholds(languages: int, out, y, cal, found, times) -> np.ndarray:
+    """Thresholds by language on the rows marked ``calibrate``, a common one where a language has fewer than 20 of each class."""
+    both = cal.any() and len(set(y[cal].tolist())) > 1
+    common = threshold(out[cal], y[cal], times[cal]) if both else threshold(out, y, times)
+    limits = np.full(languages, common)
+    for i in range(languages):
+        own = (found == i) & cal
+        if min((y * times)[own].sum(), ((1 - y) * times)[own].sum()) >= 20:
+            limits[i] = threshold(out[own], y[own], times[own])
+    return limits
+
+
+def _language_rows(counts: np.ndarray) -> np.ndarray:
+    """Log-odds of each language for each embedding row, from how often its texts hold the row."""
+    share = np.log((counts + 0.05) / (counts + 0.05).sum(0))
+    return (share - share.mean(1, keepdims=True)).astype(np.float32)
+
+
+def _model(buckets, e, params, languages, language_rows, thresholds) -> ToxicityModel:
+    k = len(WIDTHS)
+    return ToxicityModel(buckets, e, params[:k], params[k : 2 * k], params[-2], float(params[-1][0]), languages, language_rows, thresholds)
+
+
 def train(texts: list[str | None], toxic: list[int], langs: list[str | None], calibrate: list[bool], size=8, n_filters=8, steps=500, seed=7) -> ToxicityModel | None:
-    """Fit on the rows not marked ``calibrate`` and set thresholds by language on those marked, with
-    the others where a language has fewer than 20 marked rows of each class. None unless both classes occur."""
+    """Fit on a few rows, those not marked ``calibrate``, and set thresholds by language on those marked. None unless both
+    classes occur. ``fit`` does the same over a table of any size."""
     y, cal = np.array(toxic, dtype=np.float32), np.array(calibrate, dtype=bool)
     if cal.all() or len(set(y[~cal].tolist())) < 2:
         cal[:] = False
     if len(set(y.tolist())) < 2:
         return None
-    words = Words(texts)
-    e, params = _fit(words, y, np.flatnonzero(~cal), size, n_filters, steps, seed)
+    words, chosen = Words(texts), np.flatnonzero(~cal)
+    base = y[chosen].mean()
+    e, params, rng = _start(_seen(words, chosen[y[chosen] > 0]), _seen(words, chosen), base, size, n_filters, seed)
+    many = _texts_at_once(len(chosen))
+    _descend(words, y, chosen, e, params, base, many, max(4, round(steps * many / len(chosen))), rng)
     languages = sorted({x for x in langs if x is not None}) or ["und"]
-    counts = np.full((len(words.buckets), len(languages)), 0.05)
-    for d, lang in zip(words.docs, langs):
-        if lang is not None:
-            np.add.at(counts[:, languages.index(lang)], words.rows_of(np.unique(d))[0], 1)
-    share = np.log(counts / counts.sum(0))
-    share = (share - share.mean(1, keepdims=True)).astype(np.float32)
-    k = len(WIDTHS)
-    model = ToxicityModel(words.buckets, e, params[:k], params[k : 2 * k], params[-2], float(params[-1][0]), languages, share, np.zeros(len(languages)))
-    every = np.arange(len(words.count))
-    vectors = np.concatenate([words.vectors(every, e), words.vectors(every, share, np.add) / np.maximum(1, words.count)[:, None]], 1)
-    outs = [logits(model, words.docs[i : i + 64], vectors) for i in range(0, len(words.docs), 64)]
-    out, found = np.concatenate([o for o, _ in outs]), np.concatenate([x for _, x in outs])
-    common = threshold(out[cal], y[cal]) if cal.any() and len(set(y[cal].tolist())) > 1 else threshold(out, y)
-    for i in range(len(languages)):
-        own = (found == i) & cal
-        both = min(y[own].sum(), (1 - y[own]).sum()) if own.any() else 0
-        model.thresholds[i] = threshold(out[own], y[own]) if both >= 20 else common
+    counts = np.stack([_seen(words, [i for i, x in enumerate(langs) if x == lang]) for lang in languages], 1)
+    model = _model(words.buckets, e, params, languages, _language_rows(counts), np.zeros(len(languages)))
+    out, found = _answers(model, WordVectors(model), [None if t is None else t.encode() for t in texts])
+    model.thresholds = _thresholds(len(languages), out, y, cal, found, np.ones(len(y)))
+    return model
+
+
+#: Rows and characters of text that one step of training holds.
+CHUNK_ROWS, CHUNK_CHARS = 2500, 24 << 20
+#: One in so many training texts must hold a bucket, three at least: bounds the embedding of a large table.
+RAREST = 20_000
+#: Logits are counted in steps of this size to set thresholds.
+STEPS = 1000
+
+
+def _chunks(batches):
+    """(texts, toxic, langs, calibrate) of consecutive rows of one shard, of bounded size."""
+    rows, chars, last = [], 0, None
+    for batch in batches:
+        for shard, *row in zip(*[batch.column(name).to_pylist() for name in ("shard", "text", "toxic", "lang", "calibrate")]):
+            if rows and (shard != last or len(rows) >= CHUNK_ROWS or chars >= CHUNK_CHARS):
+                yield tuple(map(list, zip(*rows)))
+                rows, chars = [], 0
+            rows.append(row)
+            chars += len(row[0] or "")
+            last = shard
+    if rows:
+        yield tuple(map(list, zip(*rows)))
+
+
+def _over_chunks(rows: DataFrame, work, schema: pa.Schema, ddl: str) -> DataFrame:
+    """The rows that ``work`` gives for each chunk, as columns of arrays."""
+
+    def run(batches):
+        for chunk in _chunks(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(column, type=f.type) for column, f in zip(work(*chunk), schema)], schema=schema)
+            give_back()
+
+    return rows.mapInArrow(run, ddl)
+
+
+def _counted(rows: DataFrame, languages: list[str], all_fit: bool, least: int) -> pa.Table:
+    """Per bucket the texts to fit on, the toxic ones of these, and the texts of each language; buckets in few texts left out."""
+
+    def count(texts, toxic, langs, calibrate):
+        words, kinds = Words(texts, 1), {}
+        for i, kind in enumerate(zip(toxic, langs, calibrate)):
+            kinds.setdefault(kind, []).append(i)
+        parts = []
+        for (bad, lang, cal), which in kinds.items():
+            n = _seen(words, which)
+            some = np.flatnonzero(n)
+            used = all_fit or not cal
+            parts.append((words.buckets[some].view(np.int64), [lang] * len(some), n[some], n[some] * used, n[some] * (used and bad)))
+        return [np.concatenate([p[0] for p in parts]), [x for p in parts for x in p[1]], *[np.concatenate([p[k] for p in parts]) for k in (2, 3, 4)]]
+
+    fields = [("bucket", pa.int64()), ("lang", pa.string()), ("texts", pa.int64()), ("used", pa.int64()), ("bad", pa.int64())]
+    each = _over_chunks(rows, count, pa.schema(fields), "bucket long, lang string, texts long, used long, bad long")
+    sums = [F.sum("used").alias("used"), F.sum("bad").alias("bad")]
+    sums += [F.coalesce(F.sum(F.when(F.col("lang") == lang, F.col("texts"))), F.lit(0)).alias(f"lang_{i}") for i, lang in enumerate(languages)]
+    return each.groupBy("bucket").agg(F.sum("texts").alias("texts"), *sums).filter(F.col("texts") >= least).drop("texts").toArrow()
+
+
+def _averaged(rows: DataFrame, buckets, e, params, share, many, passes, all_fit, rng):
+    """One round: every chunk descends from the same state, then each row of the embedding becomes the mean over the chunks that
+    moved it, and each filter that over all chunks, by their texts."""
+    size, shapes = e.shape[1], [p.shape for p in params]
+    flat = np.concatenate([p.ravel() for p in params])
+    cuts = np.cumsum([p.size for p in params])[:-1]
+
+    def descend(texts, toxic, langs, calibrate):
+        chosen = np.array([i for i, c in enumerate(calibrate) if all_fit or not c], dtype=np.int64)
+        words = Words([texts[i] for i in chosen], known=buckets)
+        at = np.searchsorted(buckets, words.buckets)
+        own, mine = e[at], [p.reshape(shape).copy() for p, shape in zip(np.split(flat, cuts), shapes)]
+        target = np.array([toxic[i] for i in chosen], dtype=np.float32)
+        if len(chosen):
+            _descend(words, target, np.arange(len(chosen)), own, mine, share, many, passes, deepcopy(rng))
+        moved = np.flatnonzero((own != e[at]).any(1))
+        rest = np.concatenate([p.ravel() for p in mine])
+        rest = np.pad(rest, (0, -len(rest) % size)).reshape(-1, size)
+        part = np.concatenate([at[moved], -1 - np.arange(len(rest))]).astype(np.int64)
+        return [part, np.full(len(part), float(len(chosen))), *np.concatenate([own[moved], rest]).T]
+
+    names = [f"v{i}" for i in range(size)]
+    fields = [("part", pa.int64()), ("weight", pa.float64()), *[(name, pa.float32()) for name in names]]
+    each = _over_chunks(rows, descend, pa.schema(fields), "part long, weight double, " + ", ".join(f"{name} float" for name in names))
+    means = [(F.sum(F.col(name) * F.col("weight")) / F.sum("weight")).alias(name) for name in names]
+    found = each.filter("weight > 0").groupBy("part").agg(*means).toArrow()
+    part = found["part"].to_numpy()
+    values = np.stack([found[name].to_numpy() for name in names], 1).astype(np.float32)
+    e = e.copy()
+    e[part[part >= 0]] = values[part >= 0]
+    rest = values[part < 0][np.argsort(-part[part < 0])].ravel()[: len(flat)]
+    return e, [p.reshape(shape).copy() for p, shape in zip(np.split(rest, cuts), shapes)]
+
+
+def _outcomes(rows: DataFrame, model: ToxicityModel, all_fit: bool) -> pa.Table:
+    """How many rows have each logit, in steps, by class, language found and whether they set thresholds."""
+
+    def answer(texts, toxic, langs, calibrate):
+        out, found = _answers(model, numbers, [None if t is None else t.encode() for t in texts])
+        return [np.round(np.clip(out, -1e6, 1e6) * STEPS).astype(np.int64), found, toxic, [c and not all_fit for c in calibrate]]
+
+    numbers = WordVectors(model)
+    fields = [("step", pa.int64()), ("found", pa.int64()), ("toxic", pa.int64()), ("cal", pa.bool_())]
+    each = _over_chunks(rows, answer, pa.schema(fields), "step long, found long, toxic long, cal boolean")
+    return each.groupBy("step", "found", "toxic", "cal").agg(F.count(F.lit(1)).alias("times")).toArrow()
+
+
+def fit(labelled: DataFrame, size=8, n_filters=8, steps=500, seed=7) -> ToxicityModel | None:
+    """Train on all rows of (id, text, lang, toxic, calibrate) whose label is 0 or 1.
+
+    The rows are stored in shards of about CHUNK_ROWS. Spark sums the counts that the embedding and the languages start from;
+    then each shard descends from the common state in a task of its own, and Spark averages the results, for a few rounds.
+    A table of one shard is trained in one round, as ``train`` does. Thresholds come from the counted logits of all
+    rows. The driver gets the model and sums only. None unless both classes occur.
+    """
+    known = labelled.filter(F.col("toxic").isin(0, 1))
+    kind = F.col("toxic").cast("int")
+    usable = known.select("text", "lang", kind.alias("toxic"), F.coalesce("calibrate", F.lit(False)).alias("calibrate"), F.xxhash64("id").alias("place"))
+    told = usable.groupBy("toxic", "calibrate").agg(F.count(F.lit(1)).alias("n")).collect()
+    n, n_fit = [{t: sum(r.n for r in told if r.toxic == t and not (fit_only and r.calibrate)) for t in (0, 1)} for fit_only in (False, True)]
+    if not all(n.values()):
+        return None
+    all_fit = not all(n_fit.values())
+    n_fit = n if all_fit else n_fit
+    total, shards = sum(n_fit.values()), -(-sum(n.values()) // CHUNK_ROWS)
+    sharded = usable.withColumn("shard", F.pmod(F.xxhash64("place", "text"), F.lit(shards)).cast("int"))
+    rows = settle(sharded.repartition(shards, "shard").sortWithinPartitions("shard", "toxic", "place", "text"))
+    languages = sorted(r.lang for r in rows.select("lang").filter("lang IS NOT NULL").distinct().collect()) or ["und"]
+    counted = _counted(rows, languages, all_fit, max(3, sum(n.values()) // RAREST))
+    buckets = counted["bucket"].to_numpy().view(np.uint64)
+    order = np.argsort(buckets)
+    column = lambda name: counted[name].to_numpy()[order]
+    buckets, share = buckets[order], n_fit[1] / total
+    e, params, rng = _start(column("bad"), column("used"), share, size, n_filters, seed)
+    many = _texts_at_once(total)
+    passes = max(4, round(steps * many / min(total, CHUNK_ROWS)))
+    rounds = 1 if shards == 1 else 2
+    for _ in range(rounds):
+        e, params = _averaged(rows, buckets, e, params, share, many, max(1, round(passes / rounds / min(shards, 4))), all_fit, rng)
+        rng.random()  # another order of texts in the next round
+    counts = np.stack([column(f"lang_{i}") for i in range(len(languages))], 1)
+    model = _model(buckets, e, params, languages, _language_rows(counts), np.zeros(len(languages)))
+    found = _outcomes(rows, model, all_fit)
+    out, y, at, times = [found[name].to_numpy() for name in ("step", "toxic", "found", "times")]
+    model.thresholds = _thresholds(len(languages), out / STEPS, y.astype(float), found["cal"].to_numpy(), at, times)
     return model
 
 
-def fit(labelled: DataFrame, max_rows: int = 5000) -> ToxicityModel | None:
-    """Train on at most ``max_rows`` rows of (id, text, lang, toxic, calibrate), half of them of each class,
-    picked by a hash of the id. The sample goes to the driver; its bound is ``max_rows`` texts."""
-    picked = labelled.orderBy(F.xxhash64("id"), "id")
-    rows = [r for t in (0, 1) for r in picked.filter(F.col("toxic") == t).limit(max_rows // 2).collect()]
-    return train([r.text for r in rows], [r.toxic for r in rows], [r.lang for r in rows], [r.calibrate for r in rows])
+def _answers(model: ToxicityModel, numbers: WordVectors, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Logits and languages of texts, a bounded number of words at a time."""
+    docs = numbers.numbers(texts)
+    out, found = np.empty(len(docs)), np.empty(len(docs), dtype=np.int64)
+    start = 0
+    while start < len(docs):
+        end, n = start + 1, len(docs[start])
+        while end < len(docs) and n + len(docs[end]) < 30_000:
+            n += len(docs[end])
+            end += 1
+        out[start:end], found[start:end] = logits(model, docs[start:end], numbers.matrix)
+        start = end
+    return out, found
 
 
 def score(text: Column, model: ToxicityModel | None) -> Column:
@@ -324,18 +499,8 @@ def score(text: Column, model: ToxicityModel | None) -> Column:
         numbers = WordVectors(model)
 
         def do(texts: pa.Array) -> pa.Array:
-            docs = numbers.numbers(raw(texts))
-            out = np.empty(len(docs))
-            start = 0
-            while start < len(docs):
-                end, n = start + 1, len(docs[start])
-                while end < len(docs) and n + len(docs[end]) < 30_000:
-                    n += len(docs[end])
-                    end += 1
-                z, language = logits(model, docs[start:end], numbers.matrix)
-                out[start:end] = 1 / (1 + np.exp(-np.clip(z - model.thresholds[language], -30, 30)))
-                start = end
-            return pa.array(out)
+            z, language = _answers(model, numbers, raw(texts))
+            return pa.array(1 / (1 + np.exp(-np.clip(z - model.thresholds[language], -30, 30))))
 
         return do
 
