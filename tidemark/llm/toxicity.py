@@ -87,37 +87,41 @@ class WordVectors(dict):
         self.source = np.concatenate([model.embedding, model.language_rows], 1)
         self.size = model.embedding.shape[1]
         self.matrix = np.zeros((1, self.source.shape[1]), dtype=np.float32)
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        """A number for a new word, whose vector is made with those of the others that are new."""
+        self.new.append(word)
+        self[word] = number = len(self.matrix) - 1 + len(self.new)
+        return number
+
+    def learn(self) -> None:
+        """Make the vectors of the new words; those of words without a known part are zero."""
+        new, self.new = self.new, []
+        vectors = np.zeros((len(new), self.source.shape[1]), dtype=np.float32)
+        if new and len(self.buckets):
+            bucket, of = hashes(new)
+            row = np.searchsorted(self.buckets, bucket)
+            row[row == len(self.buckets)] = 0
+            known = self.buckets[row] == bucket
+            row, of = row[known], of[known]
+            order = np.argsort(of, kind="stable")
+            row, of = row[order], of[order]
+            own, first, many = np.unique(of, return_index=True, return_counts=True)
+            if len(own):
+                vectors[own, : self.size] = np.maximum.reduceat(self.source[row, : self.size], first, axis=0)
+                vectors[own, self.size :] = np.add.reduceat(self.source[row, self.size :], first, axis=0) / many[:, None]
+        self.matrix = np.concatenate([self.matrix, vectors])
 
-    def learn(self, words: set[bytes]) -> None:
-        """Add the words not yet known; forget all others when there are too many."""
+    def numbers(self, texts: list[bytes | None]) -> list[np.ndarray]:
+        """The words of each text as numbers; words of earlier texts are forgotten when there are too many."""
         if len(self) > REMEMBERED:
             self.clear()
             self.matrix = self.matrix[:1]
-        new = [w for w in words if w not in self]
-        if not new or not len(self.buckets):
-            self.update((w, 0) for w in new)
-            return
-        bucket, of = hashes(new)
-        row = np.searchsorted(self.buckets, bucket)
-        row[row == len(self.buckets)] = 0
-        known = self.buckets[row] == bucket
-        row, of = row[known], of[known]
-        order = np.argsort(of, kind="stable")
-        row, of = row[order], of[order]
-        own, first, many = np.unique(of, return_index=True, return_counts=True)
-        vectors = np.zeros((len(own), self.source.shape[1]), dtype=np.float32)
-        if len(own):
-            vectors[:, : self.size] = np.maximum.reduceat(self.source[row, : self.size], first, axis=0)
-            vectors[:, self.size :] = np.add.reduceat(self.source[row, self.size :], first, axis=0) / many[:, None]
-        number = np.zeros(len(new), dtype=np.int64)
-        number[own] = len(self.matrix) + np.arange(len(own))
-        self.matrix = np.concatenate([self.matrix, vectors])
-        self.update(zip(new, number.tolist()))
-
-    def numbers(self, texts: list[bytes | None]) -> list[np.ndarray]:
         words = [t.split() if t else [] for t in texts]
-        self.learn(set().union(*words))
-        return [np.fromiter(map(self.__getitem__, w), dtype=np.int64, count=len(w)) for w in words]
+        found = [np.fromiter(map(self.__getitem__, w), dtype=np.int64, count=len(w)) for w in words]
+        self.learn()
+        return found
 
 
 def laid_out(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -434,9 +438,16 @@ def _outcomes(rows: DataFrame, model: ToxicityModel, all_fit: bool) -> pa.Table:
     return each.groupBy("step", "found", "toxic", "cal").agg(F.count(F.lit(1)).alias("times")).toArrow()
 
 
-def fit(labelled: DataFrame, size=8, n_filters=8, steps=500, seed=7) -> ToxicityModel | None:
+def shards_of(n: int) -> int:
+    """The shards that so many rows are trained in."""
+    return max(1, -(-n // CHUNK_ROWS))
+
+
+def fit(labelled: DataFrame, size=8, n_filters=8, steps=500, seed=7, dealt: int | None = None) -> ToxicityModel | None:
     """Train on all rows of (id, text, lang, toxic, calibrate) whose label is 0 or 1.
 
+    Rows that a join has ``dealt`` out by their id, in so many parts, stay there: shards then go by the id, and no text moves again.
+
     The rows are stored in shards of about CHUNK_ROWS. Spark sums the counts that the embedding and the languages start from;
     then each shard descends from the common state in a task of its own, and Spark averages the results, for a few rounds.
     A table of one shard is trained in one round, as ``train`` does. Thresholds come from the counted logits of all
@@ -444,16 +455,21 @@ def fit(labelled: DataFrame, size=8, n_filters=8, steps=500, seed=7) -> Toxicity
     """
     known = labelled.filter(F.col("toxic").isin(0, 1))
     kind = F.col("toxic").cast("int")
-    usable = known.select("text", "lang", kind.alias("toxic"), F.coalesce("calibrate", F.lit(False)).alias("calibrate"), F.xxhash64("id").alias("place"))
+    usable = known.select("text", "lang", kind.alias("toxic"), F.coalesce("calibrate", F.lit(False)).alias("calibrate"), F.xxhash64("id").alias("place"), F.hash("id").alias("key"))
     told = usable.groupBy("toxic", "calibrate").agg(F.count(F.lit(1)).alias("n")).collect()
     n, n_fit = [{t: sum(r.n for r in told if r.toxic == t and not (fit_only and r.calibrate)) for t in (0, 1)} for fit_only in (False, True)]
     if not all(n.values()):
         return None
     all_fit = not all(n_fit.values())
     n_fit = n if all_fit else n_fit
-    total, shards = sum(n_fit.values()), -(-sum(n.values()) // CHUNK_ROWS)
-    sharded = usable.withColumn("shard", F.pmod(F.xxhash64("place", "text"), F.lit(shards)).cast("int"))
-    rows = settle(sharded.repartition(shards, "shard").sortWithinPartitions("shard", "toxic", "place", "text"))
+    total = sum(n_fit.values())
+    if dealt is None:
+        shards = shards_of(sum(n.values()))
+        sharded = usable.withColumn("shard", F.pmod(F.xxhash64("place", "text"), F.lit(shards)).cast("int")).repartition(shards, "shard")
+    else:
+        shards = dealt
+        sharded = usable.withColumn("shard", F.pmod("key", F.lit(shards)))
+    rows = settle(sharded.sortWithinPartitions("shard", "toxic", "place", "text"))
     languages = sorted(r.lang for r in rows.select("lang").filter("lang IS NOT NULL").distinct().collect()) or ["und"]
     counted = _counted(rows, languages, all_fit, max(3, sum(n.values()) // RAREST))
     buckets = counted["bucket"].to_numpy().view(np.uint64)
