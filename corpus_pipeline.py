@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import langid, mixing, quality, shingles, simhash
 from tidemark.llm.common import bounded_batches
 from tidemark.llm.queries import encoded, is_remainder, labelled, picked, table
-from tidemark.session import scratch_path, settle
+from tidemark.session import release, scratch_path, settle
 
 #: A language found with less certainty rejects a document.
 LEAST_LANGUAGE_SCORE = 0.1
@@ -46,6 +46,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     keyed = docs.select(row.alias("row"), key.alias("id"), F.xxhash64("doc_id", "text").alias("hash"), "text")
     placed = simhash.near_duplicates(keyed.select(F.struct("id", "hash").alias("place"), "text"), "place", "text")
     components = settle(placed.select("id.id", "id.hash", F.col("component_id").alias("component")).distinct())
+    release(spark)
     first = shingles.first_of_groups(keyed, ["id", "hash"], linked=components)
     kept = keyed.join(first, ["id", "hash"]).groupBy("id", "hash").agg(F.any_value("row").alias("row"))
     return kept.select("row.*")
@@ -55,6 +56,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their rate says, once at least: languages by their natural shares, flattened."""
     domains = mixing.fit(docs.select(F.col("doc_id").alias("id"), "text", F.col("lang").alias("domain")))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    release(spark)
     mixed = mixing.mix(docs.select(row.alias("row"), "doc_id", "text"), domains, FLATTENING)
     times = mixing.copies(F.greatest(F.lit(1.0), F.col("mixed.rate")), "doc_id", "text")
     return mixed.select("row", F.explode(F.array_repeat(F.lit(1), times)).alias("copy")).select("row.*")
@@ -84,4 +86,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         made = stage(spark, docs, sf_dir)
         made.write.parquet(path)
         docs = spark.read.schema(made.schema).parquet(path)
+        release(spark)
     return docs

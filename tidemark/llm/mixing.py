@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import unit_hash
-from tidemark.session import settle
+from tidemark.session import release, settle
 
 FEATURES = 1 << 14
 
@@ -103,7 +103,9 @@ def solve(docs: DataFrame, targets: np.ndarray, budget: float | None, iterations
     d = len(targets)
     steps: list[list[float]] = []
     goal = reached = np.zeros(d)
-    for _ in range(iterations + 1):
+    for turn in range(iterations + 1):
+        if turn % 8 == 7:
+            release(docs.sparkSession)  # every pass is a job with code of its own
         r, p, n = F.col("__rate"), F.col("__p"), F.col("__tokens")
         sums = [F.sum(r * n * p[i]) for i in range(d)]
         gram = [F.sum(F.when(r > 0, n * p[i] * p[j])) for i in range(d) for j in range(i, d)]

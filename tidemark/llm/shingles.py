@@ -9,7 +9,7 @@ shingles of their own: a pair that differs in more bits than 0.8 allows is surel
 
 Texts with equal sets are one node. In each band's bucket all nodes are first compared with its hub, the node whose buckets are the
 fullest: of copies of one text that is the text itself, or what is nearest to it. Then only those that are still in different groups are
-compared with each other, in buckets of up to ``BUCKET`` nodes. Larger rests are mostly
+compared with each other, in buckets of up to ``BUCKET`` nodes; what another method has linked counts as one group from the start. Larger rests are mostly
 texts that share a passage and nothing else. They all go to an exact prefix join: a text's rarest shingles among
 them, one more than a fifth, hold one in common with any text that is 0.8 alike, and a shared passage is not rare there.
 
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import raw, text_column
 from tidemark.ml.components import components
-from tidemark.session import settle
+from tidemark.session import release, settle
 
 SHINGLE = 5
 BANDS, ROWS = 30, 5
@@ -201,26 +201,37 @@ def first_of_groups(rows: DataFrame, key: list[str], text_col: str = "text", lin
     bands = settle(nodes.select("node", F.explode("bands").alias("band")))
     buckets = bands.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
     met = settle(bands.join(buckets, "band"))
+    release(rows.sparkSession)
     fullness = met.groupBy("node").agg(F.sum("n").alias("fullness"))
     hubs = met.join(fullness, "node").groupBy("band").agg(F.max_by("node", F.struct("fullness", "node")).alias("hub"))
     met = settle(met.join(hubs, "band"))
     chosen = nodes.join(met.select("node").distinct(), "node").select("node", *sketches[1:], *[F.col("first")[k].alias(k) for k in key])
     whole = texts.join(chosen, key).groupBy("node").agg(*[F.any_value(c).alias(c) for c in ("text", *sketches[1:])])
     texts = settle(whole)
+    release(rows.sparkSession)
 
     edges = _verified(met.filter("node <> hub").select(F.col("hub").alias("u"), F.col("node").alias("v")), texts)
-    grouped = met.join(_labels(edges), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    if linked is not None:
+        edges = edges.union(_of_components(sketched, linked, key))
+    release(rows.sparkSession)
+    labels = _labels(edges)
+    release(rows.sparkSession)
+    grouped = met.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     mixed = grouped.groupBy("band").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a <> b").select("band")
     left = settle(grouped.join(mixed, "band").filter("node <> hub"))  # those with the hub were tried
     with_sketches = texts.drop("text")
     found = _pairs(left.filter(F.col("n") <= BUCKET).select("band", "node", "label").join(with_sketches, "node"), "band")
     pool = settle(left.filter(F.col("n") > BUCKET).select("node", "label").distinct())
+    release(rows.sparkSession)
     if pool.take(1):
         listed = _prefixes(pool, texts).join(pool, "node").join(with_sketches, "node")
         found = found.unionByName(_pairs(settle(listed), "shingle"))
-    edges = edges.union(_verified(found, texts))
-    if linked is not None:
-        edges = edges.union(_of_components(sketched, linked, key))
-
-    named = nodes.join(_labels(edges), "node", "left")
-    return named.groupBy(F.coalesce("label", "node").alias("group")).agg(F.min("first").alias("first")).select("first.*")
+    found = _verified(found, texts)
+    release(rows.sparkSession)
+
+    # The groups so far are the nodes of what is left to link.
+    of = lambda x: labels.select(F.col("node").alias(x), F.col("label").alias(f"group_{x}"))
+    between = found.join(of("u"), "u", "left").join(of("v"), "v", "left").select(F.coalesce("group_u", "u").alias("u"), F.coalesce("group_v", "v").alias("v"))
+    wider = _labels(settle(between.distinct())).select(F.col("node").alias("group"), F.col("label").alias("wider"))
+    named = nodes.join(labels, "node", "left").select("first", F.coalesce("label", "node").alias("group")).join(wider, "group", "left")
+    return named.groupBy(F.coalesce("wider", "group").alias("group")).agg(F.min("first").alias("first")).select("first.*")

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import raw, text_column
 from tidemark.ml.components import components
-from tidemark.session import settle
+from tidemark.session import release, settle
 
 BITS = 64
 SAMPLE = 4096  # fingerprints that the partitioning is fitted on, at most
@@ -252,6 +252,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     printed = settle(docs.select(F.col(id_col).alias("id"), fingerprint(F.col(text_col), shingle).alias("fp")))
     prints = settle(printed.groupBy("fp").agg(F.min("id").alias("first_id")))
     edges = settle(linked_prints(prints, limit).distinct())
+    release(docs.sparkSession)
     nodes = edges.select(F.col("u").alias("node")).union(edges.select(F.col("v").alias("node"))).distinct()
     labels = components(nodes, edges).select(F.col("node").alias("fp"), "label")
     ids = labels.join(prints, "fp").groupBy("label").agg(F.min("first_id").alias("least"))
