@@ -22,6 +22,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents that pass the base rules and the line field."""
     bounded_batches(spark)
     field = quality.fit(labelled(docs, picked(table(spark, sf_dir, "labels"), "quality", 2000), "quality"), 4000)
+    release(spark)
     return docs.filter(quality.rules(F.col("text"), field)["kept"])
 
 
@@ -30,6 +31,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
     learned = docs.filter(~is_remainder("doc_id", 4, 2)).select(F.col("doc_id").alias("id"), "text", "lang")
     model = langid.fit(learned)
+    release(spark)
     return docs if model is None else docs.filter(langid.identify(F.col("text"), model)["score"] >= LEAST_LANGUAGE_SCORE)
 
 

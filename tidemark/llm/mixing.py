@@ -82,6 +82,7 @@ def fit(labelled: DataFrame, per_domain: int = 1000) -> Domains:
     hashing = HashingTF(inputCol="__words", outputCol="__counts", numFeatures=FEATURES, binary=True)
     scaling = Normalizer(inputCol="__counts", outputCol="__features")
     features = settle(scaling.transform(hashing.transform(sample)).select("label", "__features"))
+    release(labelled.sparkSession)
     model = LogisticRegression(
         featuresCol="__features", rawPredictionCol="__raw", probabilityCol="__probability", predictionCol="__prediction", regParam=1e-4, maxIter=40, family="multinomial"
     ).fit(features)
