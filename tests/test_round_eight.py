@@ -25,3 +25,23 @@ def test_path_tree_has_the_texts_of_posts_and_originals(spark, folder):
     for parent, kind in (("root", "object"), ("retweeted_status", "dict")):
         assert {(parent, kind, "text", "str"), (parent, kind, "full_text", "str"), (parent, kind, "extended_tweet", "dict")} <= found
     assert {("extended_tweet", "dict", "full_text", "str"), ("retweeted_status.extended_tweet", "dict", "full_text", "str")} <= found
+
+
+def test_posts_by_day_are_written_without_a_shuffle(spark, tmp_path):
+    """Long posts stay in their tasks, also where a task meets more days than it has files open."""
+    from pyspark.sql import functions as F
+
+    from tidemark.sources import sinks
+
+    at = F.timestamp_seconds(F.lit(1503741600) + F.col("id") % 40 * 86400)
+    posts = spark.range(0, 400, 1, 3).select(F.col("id").cast("string").alias("id_str"), F.concat(F.date_format(at, "EEE MMM dd HH:mm:ss"), F.lit(" +0000 "), F.date_format(at, "yyyy")).alias("created_at"))
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", None)
+    tracker = spark.sparkContext._jsc.sc().env().mapOutputTracker()
+    shuffles = tracker.shuffleStatuses().size()
+    folder = sinks.save_posts(posts, str(tmp_path / "posts"), "one")
+    assert tracker.shuffleStatuses().size() <= shuffles
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", None) == before
+    stored = spark.read.parquet(folder)
+    assert sorted(int(r.id_str) for r in stored.collect()) == list(range(400))
+    assert stored.filter(F.to_date("created_ts") != F.col("day")).count() == 0 and stored.select("day").distinct().count() == 40
+
