@@ -45,3 +45,17 @@ def test_posts_by_day_are_written_without_a_shuffle(spark, tmp_path):
     assert sorted(int(r.id_str) for r in stored.collect()) == list(range(400))
     assert stored.filter(F.to_date("created_ts") != F.col("day")).count() == 0 and stored.select("day").distinct().count() == 40
 
+
+def test_boosted_trees_train_on_counted_rows(spark, monkeypatch):
+    """Equal rows are one with their number; scores and predictions are those of all rows."""
+    from tidemark.ml import supervised
+
+    rows = [(i, float(i % 6), float(i % 4), int(i % 6 > 2 or i % 7 == 0)) for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, y int")
+    seen = []
+    counted = supervised._counted
+    monkeypatch.setattr(supervised, "_counted", lambda train, folds: seen.append((train.count(), counted(train, folds))) or seen[-1][1])
+    found = supervised.boosted_trees(df, ["a", "b"], "y", key="id", rounds=(3,), depths=(2,))
+    [(train, small)] = seen
+    assert small.agg({"rows": "sum"}).first()[0] == train > 400 and small.count() <= 12 * 2 * 3
+    assert {(r.a > 2) == (r.prediction == 0) for r in found.predictions.collect()} == {True}  # label 0 is the commoner class
