@@ -59,3 +59,15 @@ def test_boosted_trees_train_on_counted_rows(spark, monkeypatch):
     [(train, small)] = seen
     assert small.agg({"rows": "sum"}).first()[0] == train > 400 and small.count() <= 12 * 2 * 3
     assert {(r.a > 2) == (r.prediction == 0) for r in found.predictions.collect()} == {True}  # label 0 is the commoner class
+
+
+def test_nested_columns_as_json_are_stored_small(spark, folder, monkeypatch):
+    import pyarrow.dataset as ds
+
+    from tidemark.plans import checked_sources
+
+    paths, written = [], checked_sources.written
+    monkeypatch.setattr(checked_sources, "written", lambda *a, **k: paths.append(written(*a, **k)) or paths[-1])
+    assert checked_sources.s25(spark, folder).count() == 60
+    files = [f.metadata for f in ds.dataset(paths[0].removeprefix("file:")).get_fragments() if f.metadata.num_rows]
+    assert {f.row_group(0).column(c).compression for f in files for c in range(f.num_columns)} == {"ZSTD"}
